@@ -1,0 +1 @@
+"""Empty on purpose: the workload is batch only (yearly editions with one deadline)."""
