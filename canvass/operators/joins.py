@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions.local import local_table
 from ..functions.missing import as_col, quoted
-from .reshape import PLAN_LEVELS
 
+# pattern lists up to this length are compiled into the plan
+PLAN_PATTERNS = 1000
 # mappings up to this size are looked up as a literal map, larger ones are joined
 LITERAL_CODES = 128
 
@@ -78,14 +79,21 @@ def recode(
     key: str = "name",
     label: str = "label",
     null_safe: bool = False,
+    check: bool = True,
 ) -> DataFrame:
-    """Replace the codes of a column by their labels; unmatched codes give NULL."""
+    """Replace the codes of a column by their labels; unmatched codes give NULL.
+
+    A mapping table is checked for duplicate codes first (one pass over the
+    mapping), unless the caller knows it to be unique.
+    """
     if isinstance(mapping, Mapping):
         if len(mapping) <= LITERAL_CODES:
             return df.withColumn(column, code_label(column, mapping))
         mapping = local_table(df.sparkSession, mapping.items(), f"{key} string, {label} string")
     else:
-        mapping = unique_keys(mapping.select(key, label), [key])
+        mapping = mapping.select(key, label)
+        if check:
+            unique_keys(mapping, [key])
     dim = mapping.select(F.col(key).alias("_code"), F.col(label).alias("_label"))
     joined = lookup(df, dim, {column: "_code"}, null_safe)
     return joined.withColumn(column, F.col("_label")).drop("_label")
@@ -142,19 +150,19 @@ def regex_join(
     by an equi-join, and each pair is then tested.
     """
     if isinstance(patterns, DataFrame):
-        rows = patterns.select(name, label).limit(PLAN_LEVELS + 1).collect()
+        rows = patterns.select(name, label).limit(PLAN_PATTERNS + 1).collect()
         pairs = [tuple(r) for r in rows]
     else:
         pairs = list(patterns.items())
     text = quoted(column)
-    if len(pairs) <= PLAN_LEVELS:
+    if len(pairs) <= PLAN_PATTERNS:
         hits = F.array(
             *[F.when(text.rlike(p), F.struct(F.lit(p).alias(name), F.lit(v).alias(label))) for p, v in pairs]
         )
         return df.select("*", F.inline(F.array_compact(hits)))
     if not isinstance(patterns, DataFrame):
         patterns = local_table(df.sparkSession, pairs, f"{name} string, {label} string")
-    chunks = math.ceil(patterns.count() / PLAN_LEVELS)
+    chunks = math.ceil(patterns.count() / PLAN_PATTERNS)
     dim = patterns.select(
         name, label, F.pmod(F.xxhash64(name), F.lit(chunks)).cast("int").alias("_chunk")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -14,14 +15,23 @@ MIN_CELL = 3
 
 
 def delink(
-    df: DataFrame, column: str, seed: int | None = None, keep: Sequence[str] = ()
+    df: DataFrame,
+    column: str,
+    ids: Sequence[str],
+    salt: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One answer column in random order, without ids.
 
-    The random sort is range partitioned, so no task sees the whole column.
-    `keep` may name the edition, never anything that points at an entity.
+    The order is that of a hash over a secret salt, the ids and the answer: it
+    looks random to anyone without the salt, yet a task that is run again after
+    a lost executor sorts its rows the same way, which rand() would not.  The
+    sort is range partitioned, so no task sees the whole column.  `keep` may
+    name the edition, never anything that points at an entity.
     """
-    return df.select(*keep, quoted(column)).orderBy(F.rand(seed))
+    secret = secrets.randbits(63) if salt is None else salt
+    order = F.xxhash64(F.lit(secret), *[quoted(c) for c in ids], quoted(column))
+    return df.orderBy(order).select(*keep, quoted(column))
 
 
 def suppress_small(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -12,8 +11,8 @@ from pyspark.sql import types as T
 from ..functions.local import local_table
 from ..functions.missing import quoted, to_int
 
-# level lists up to this length are placed into the plan; longer ones are joined
-PLAN_LEVELS = 1000
+# pieces into which levels found in the data are cut when a grid is built
+LEVEL_CHUNKS = 16
 
 
 def multiselect_long(
@@ -74,54 +73,49 @@ def matrix_long(
     return long.withColumn("label", F.when(F.col(value) == 1, "✓").otherwise("✗"))
 
 
-def level_values(levels: Sequence | DataFrame) -> list | None:
-    """Levels as a plan-sized list, or None when there are too many of them."""
-    if not isinstance(levels, DataFrame):
-        values = list(dict.fromkeys(levels))
-        return values if len(values) <= PLAN_LEVELS else None
-    rows = levels.distinct().limit(PLAN_LEVELS + 1).collect()
-    return [r[0] for r in rows] if len(rows) <= PLAN_LEVELS else None
+def paired(left: DataFrame, right: DataFrame, chunks: int = LEVEL_CHUNKS) -> DataFrame:
+    """Every left row with every right row, as an equi-join over hashed chunks.
+
+    The right side is cut into chunks by hash and each left row is sent once to
+    every chunk, so no task needs the whole right side, and a small right side
+    is still broadcast at run time.  Meant for dimensions: levels, editions,
+    groups.
+    """
+    cut = F.pmod(F.xxhash64(*[quoted(c) for c in right.columns]), F.lit(chunks)).cast("int")
+    spread = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    return spread.join(right.withColumn("_chunk", cut), "_chunk").drop("_chunk")
 
 
 def with_levels(df: DataFrame, levels: Sequence | DataFrame, name: str) -> DataFrame:
     """Every row of a dimension paired with every level.
 
-    Short level lists are exploded from a literal array.  Long ones are cut into
-    chunks; each row is replicated once per chunk and meets its chunk in an
-    equi-join, so no task ever holds all levels.
+    A level list known from the form is exploded from a literal array; levels
+    that come out of the data are paired chunk by chunk.
     """
-    values = level_values(levels)
-    if values is not None:
-        if not values:
-            dtype = levels.schema[0].dataType if isinstance(levels, DataFrame) else T.StringType()
-            return df.withColumn(name, F.lit(None).cast(dtype)).filter(F.lit(False))
-        return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
-    if not isinstance(levels, DataFrame):
-        levels = local_table(df.sparkSession, [(v,) for v in dict.fromkeys(levels)], f"`{name}` string")
-    level = levels.distinct().toDF(name)
-    chunks = math.ceil(level.count() / PLAN_LEVELS)
-    level = level.withColumn("_chunk", F.pmod(F.xxhash64(name), F.lit(chunks)).cast("int"))
-    spread = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    return spread.join(level, "_chunk").select(*df.columns, name)
+    if isinstance(levels, DataFrame):
+        return paired(df, levels.distinct().toDF(name))
+    values = list(dict.fromkeys(levels))
+    if not values:
+        return df.withColumn(name, F.lit(None).cast("string")).filter(F.lit(False))
+    return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
 def grid(left: DataFrame, right: DataFrame) -> DataFrame:
     """All combinations of the distinct rows of two dimensions."""
-    packed = right.select(F.struct(*right.columns).alias("_level"))
-    schema = packed.schema[0].dataType
-    rows = packed.distinct().limit(PLAN_LEVELS + 1).collect()
-    if len(rows) <= PLAN_LEVELS:
-        literals = [
-            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, r[0])])
-            for r in rows
-        ]
-        if not literals:
-            out = left.distinct().withColumn("_level", F.lit(None).cast(schema)).filter(F.lit(False))
-        else:
-            out = left.distinct().withColumn("_level", F.explode(F.array(*literals)))
-    else:
-        out = with_levels(left.distinct(), packed, "_level")
-    return out.select(*left.columns, "_level.*")
+    return paired(left.distinct(), right.distinct())
+
+
+def add_zero_rows(counts: DataFrame, cells: DataFrame, value: str = "n") -> DataFrame:
+    """Cells that were never counted, with value 0.
+
+    Zero rows for all cells are added and summed up again: no join, NULL keys
+    behave like any other key, and sums combine before the shuffle.
+    """
+    dtype = counts.schema[value].dataType
+    keys = cells.columns
+    zeros = cells.withColumn(value, F.lit(0).cast(dtype))
+    rows = counts.select(*keys, value).unionByName(zeros)
+    return rows.groupBy(*keys).agg(F.sum(value).cast(dtype).alias(value))
 
 
 def complete(
@@ -134,32 +128,22 @@ def complete(
 ) -> DataFrame:
     """Missing (group, level) pairs with value 0.
 
-    Zero rows for the full grid are added and summed up again: no join, NULL
-    groups behave like any other group, and sums combine before the shuffle.
     Groups come from the counts themselves or from a given dimension.
     """
-    by = list(by)
-    dtype = counts.schema[value].dataType
     base = (groups if groups is not None else counts).select(*by).distinct()
-    zeros = with_levels(base, levels, level).withColumn(value, F.lit(0).cast(dtype))
-    rows = counts.select(*by, level, value).unionByName(zeros)
-    return rows.groupBy(*by, level).agg(F.sum(value).cast(dtype).alias(value))
+    return add_zero_rows(counts, with_levels(base, levels, level), value)
 
 
 def complete_levels(
     counts: DataFrame, level: str, levels: Sequence | DataFrame, value: str = "n"
 ) -> DataFrame:
     """Ungrouped variant: every level once, 0 where nothing was counted."""
-    dtype = counts.schema[value].dataType
     if isinstance(levels, DataFrame):
-        zeros = levels.distinct().toDF(level)
+        cells = levels.distinct().toDF(level)
     else:
-        zeros = local_table(
-            counts.sparkSession, [(v,) for v in dict.fromkeys(levels)], T.StructType([counts.schema[level]])
-        )
-    zeros = zeros.withColumn(value, F.lit(0).cast(dtype))
-    rows = counts.select(level, value).unionByName(zeros)
-    return rows.groupBy(level).agg(F.sum(value).cast(dtype).alias(value))
+        rows = [(v,) for v in dict.fromkeys(levels)]
+        cells = local_table(counts.sparkSession, rows, T.StructType([counts.schema[level]]))
+    return add_zero_rows(counts, cells, value)
 
 
 def labelled_long(

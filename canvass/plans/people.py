@@ -130,11 +130,11 @@ def age_by_group(people: DataFrame) -> DataFrame:
     return group_mean_suppressed(people, ["year", "og_name"], "alter", "avg_alter")
 
 
-def demographics(raw: DataFrame, form: Form, contact: DataFrame, seed: int | None = None) -> dict[str, DataFrame]:
+def demographics(raw: DataFrame, form: Form, contact: DataFrame, salt: int | None = None) -> dict[str, DataFrame]:
     """Sensitive answers as single columns in random order, without ids."""
     cat = form.catalog
     answers = raw.select(
-        "year",
+        *PERSON_IDS,
         quoted(cat.column("gender")).alias("gender"),
         drop_above(to_int(cat.column("alter")), MAX_AGE).alias("alter"),
         quoted(cat.column("schule")).alias("schule"),
@@ -143,11 +143,12 @@ def demographics(raw: DataFrame, form: Form, contact: DataFrame, seed: int | Non
     answers = recode(answers, form.mapping("gender"), "gender")
     answers = recode(answers, form.mapping("schule"), "schule")
     out = {
-        f"tn.demo.{c}": delink(answers, c, seed, keep=["year"]) for c in ("gender", "alter", "schule")
+        f"tn.demo.{c}": delink(answers, c, PERSON_IDS, salt, keep=["year"])
+        for c in ("gender", "alter", "schule")
     }
     typed = answers.filter(F.col("kontakt_chrgl_sonst").isNotNull())
-    out["tn.demo.kontakt_chrgl_sonst"] = delink(typed, "kontakt_chrgl_sonst", seed, keep=["year"])
-    out["tn.demo.kontakt_chrgl"] = delink(contact, "kontaktpunkt", seed, keep=["year"])
+    out["tn.demo.kontakt_chrgl_sonst"] = delink(typed, "kontakt_chrgl_sonst", PERSON_IDS, salt, ["year"])
+    out["tn.demo.kontakt_chrgl"] = delink(contact, "kontaktpunkt", PERSON_IDS, salt, ["year"])
     return out
 
 
@@ -157,7 +158,7 @@ def clean_people(
     spelling: DataFrame,
     regions: DataFrame,
     brand_words: Sequence[str] = (),
-    seed: int | None = None,
+    salt: int | None = None,
 ) -> dict[str, DataFrame]:
     """All tables of the person form."""
     raw = prepare_people(submissions, form)
@@ -189,4 +190,4 @@ def clean_people(
         "tn.long.info_wege_wunsch": closed_multiselect(raw, form, "info_wunsch", "info_weg"),
         "tn.long.kontakt_chrgl": contact,
     }
-    return {**tables, **demographics(raw, form, contact, seed)}
+    return {**tables, **demographics(raw, form, contact, salt)}

@@ -108,9 +108,9 @@ def workshop_shares_overall(
 
 def option_share(long: DataFrame, column: str, option: str) -> DataFrame:
     """People who ticked one option among those who answered, rounded share."""
-    out = long.groupBy("year").agg(
-        F.count_distinct("tn_id").alias("n_gesamt"),
-        F.count_distinct(F.when(F.col(column) == option, F.col("tn_id"))).alias("n_option"),
+    person = long.groupBy(*PERSON_IDS).agg(F.bool_or(F.col(column) == option).alias("_ticked"))
+    out = person.groupBy("year").agg(
+        F.count(F.lit(1)).alias("n_gesamt"), F.count_if("_ticked").alias("n_option")
     )
     return out.withColumn("anteil", F.bround(F.col("n_option") / F.col("n_gesamt"), 2))
 

@@ -17,7 +17,7 @@ from ..operators.aggregate import (
     word_frequency,
 )
 from ..operators.joins import lookup
-from ..operators.reshape import complete
+from ..operators.reshape import add_zero_rows, grid
 from ..operators.windows import stacked_positions
 from .people import PERSON_IDS
 
@@ -44,13 +44,7 @@ def trait_distribution(traits: DataFrame, choices: DataFrame, pad: bool = True)
     """
     n = counts(traits, ["year", "eig", "value"])
     if pad:
-        years = traits.select("year").distinct()
-        levels = choices.select("eig", "value")
-        grid = complete(
-            n.select("year", F.struct("eig", "value").alias("_cell"), "n"),
-            ["year"], "_cell", levels.select(F.struct("eig", "value").alias("_cell")), groups=years,
-        )
-        n = grid.select("year", "_cell.eig", "_cell.value", "n")
+        n = add_zero_rows(n, grid(traits.select("year"), choices.select("eig", "value")))
     people = traits.groupBy("year").agg(F.count_distinct("tn_id").alias("n_personen"))
     out = lookup(n, choices, ["eig", "value"]).join(people, "year")
     return out.withColumn("percent", F.col("n") / F.col("n_personen"))

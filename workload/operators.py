@@ -1075,4 +1075,4 @@ def edition_resolve(spark, sf):
 
 @query("SELECT c_mktsegment FROM customer")
 def delink(spark, sf):
-    return privacy.delink(table(spark, sf, "customer"), "c_mktsegment", seed=7)
+    return privacy.delink(table(spark, sf, "customer"), "c_mktsegment", ["c_custkey"], salt=7)
