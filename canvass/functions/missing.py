@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 NO_ANSWER = "keine Angabe"
 
-# digits, sign, point and exponent only: keeps Java-only spellings such as "3d" out
-_PLAIN_NUMBER = r"^\s*[-+]?[0-9.]+([eE][-+]?[0-9]+)?\s*$"
+# last letters of number spellings that only Java knows: 3d, 3f, inf, NaN, Infinity
+_JAVA_ENDINGS = ("d", "f", "n", "y")
 
 
 def quoted(name: str) -> Column:
@@ -27,9 +27,10 @@ def as_col(c: str | Column) -> Column:
 
 
 def to_double(c: str | Column) -> Column:
-    """Text to double; anything that is not a plain number becomes NULL."""
+    """Text to double; anything that is not a finite decimal number becomes NULL."""
     c = as_col(c).cast("string")
-    return F.when(c.rlike(_PLAIN_NUMBER), c).try_cast("double")
+    last = F.lower(F.substring(F.trim(c, F.lit(" \t\r\n")), -1, 1))
+    return F.when(~last.isin(*_JAVA_ENDINGS), c).try_cast("double")
 
 
 def to_int(c: str | Column) -> Column:

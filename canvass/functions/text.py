@@ -35,7 +35,7 @@ def spoken_code(c: str | Column) -> Column:
 
 def weekday_name(c: str | Column) -> Column:
     """Weekday of an hours column path, or of a bare weekday code."""
-    return F.initcap(F.regexp_replace(as_col(c), r"^.+?/(.+?)_[sS]tunden$", "$1"))
+    return F.initcap(F.regexp_replace(as_col(c), r"^(?:.*/)?([^/]+?)_[sS]tunden$", "$1"))
 
 
 def without_number_suffix(name: str) -> str:

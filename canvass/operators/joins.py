@@ -172,8 +172,8 @@ def regex_join(
 
 
 def map_region(df: DataFrame, regions: DataFrame, region: str = "og_region") -> DataFrame:
-    """Append the grouped region of each region."""
-    dim = regions.select(F.col("og_region").alias("_r"), "region_grouped").distinct()
+    """Append the grouped region of each region; the map has one row per region."""
+    dim = regions.select(F.col("og_region").alias("_r"), "region_grouped")
     return lookup(df, dim, {region: "_r"}, null_safe=True)
 
 

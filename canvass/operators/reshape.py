@@ -90,10 +90,10 @@ def with_levels(df: DataFrame, levels: Sequence | DataFrame, name: str) -> DataF
     """Every row of a dimension paired with every level.
 
     A level list known from the form is exploded from a literal array; levels
-    that come out of the data are paired chunk by chunk.
+    that come out of the data are paired chunk by chunk.  NULL is not a level.
     """
     if isinstance(levels, DataFrame):
-        return paired(df, levels.distinct().toDF(name))
+        return paired(df, levels.toDF(name).dropna().distinct())
     values = list(dict.fromkeys(levels))
     if not values:
         return df.withColumn(name, F.lit(None).cast("string")).filter(F.lit(False))
@@ -151,13 +151,18 @@ def labelled_long(
     labels: Sequence[tuple[str, Mapping[str, str]]],
     ids: Sequence[str],
     value: str = "value",
+    label_names: Sequence[str] = (),
 ) -> DataFrame:
     """Chosen columns as rows that already carry their labels; NULL answers vanish.
 
     `labels` lists (column, {label name: label}), worked out from the form before
     the job starts, so no join back to the form is needed.  A column listed twice
-    gives two rows.
+    gives two rows.  A block without any column gives no rows; `label_names`
+    then tells its label columns.
     """
+    if not labels:
+        absent = [F.lit(None).cast("string").alias(n) for n in [*label_names, value]]
+        return df.select(*[quoted(c) for c in ids], *absent).filter(F.lit(False))
     parts = [
         F.struct(
             *[F.lit(text).cast("string").alias(name) for name, text in about.items()],
@@ -179,4 +184,4 @@ def matrix_cells(
 ) -> DataFrame:
     """Matrix block to (row label, column label, whole number)."""
     labels = [(path, {row: r, col: c}) for path, r, c in cells]
-    return labelled_long(df, labels, ids, value).withColumn(value, to_int(value))
+    return labelled_long(df, labels, ids, value, [row, col]).withColumn(value, to_int(value))

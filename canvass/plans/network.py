@@ -162,9 +162,13 @@ def info_change(people: DataFrame) -> DataFrame:
     return stacked_positions(known, "info_wege_aenderung", ["year"], CHANGE_LEVELS, percent=False)
 
 
-def info_channels(channels: DataFrame, levels: Sequence[str] | DataFrame) -> DataFrame:
-    """Use of every channel, as percent of the people who answered."""
-    n = complete(counts(channels, ["year", "info_weg"]), ["year"], "info_weg", levels)
+def info_channels(channels: DataFrame, levels: Sequence[str] | None = None) -> DataFrame:
+    """Use of every channel, as percent of the people who answered.
+
+    Without a level list all channels named in any edition are shown.
+    """
+    n = counts(channels, ["year", "info_weg"])
+    n = complete(n, ["year"], "info_weg", n.select("info_weg") if levels is None else levels)
     people = channels.groupBy("year").agg(F.count_distinct("tn_id").alias("n_personen"))
     return n.join(people, "year").withColumn("perc", F.col("n") * 100 / F.col("n_personen"))
 

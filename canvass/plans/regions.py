@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from ..operators.aggregate import (
     share_of_group,
     weighted_mean,
 )
+from ..operators.clean import slice_region
 from ..operators.joins import lookup, natural_join, suffixed_join
 from ..operators.reshape import complete, grid, presence_matrix
 from ..operators.sets import sorted_nulls_last
@@ -26,6 +27,22 @@ from .people import PERSON_IDS
 _GROUP = ["year", "og_name"]
 
 
+def slice_edition(tables: Mapping[str, DataFrame], region: str) -> dict[str, DataFrame]:
+    """One region of all stored tables.
+
+    Group and person tables keep the rows of that region's entities, group
+    aggregates are filtered by region, aggregates of people stay whole.
+    """
+    og = {n: t for n, t in tables.items() if n.startswith("og.") and n != "og.data"}
+    tn = {n: t for n, t in tables.items() if n.startswith(("tn.long.", "tn.wide."))}
+    out = dict(tables)
+    for form, rest, ids in (("og", og, GROUP_IDS), ("tn", tn, PERSON_IDS)):
+        part = slice_region(tables[f"{form}.data"], rest, region, ids)
+        out[f"{form}.data"] = part.pop("data")
+        out.update(part)
+    return out
+
+
 def region_overview(group_totals: DataFrame, group_data: DataFrame, ages: DataFrame) -> DataFrame:
     """Groups with head counts, answers of their own form, and mean age."""
     answers = group_data.select(*_GROUP, "hat_probleme_tn_gewinnung", "hat_hauptamt", "auftritte")
@@ -74,9 +91,15 @@ def workshop_matrix(pairs: DataFrame, levels: Sequence[str]) -> DataFrame:
     return presence_matrix(pairs, _GROUP, "angebot", levels)
 
 
-def workshop_presence(pairs: DataFrame, levels: Sequence[str] | DataFrame, group_totals: DataFrame) -> DataFrame:
-    """Every group against every workshop, marked present or not, with the region."""
+def workshop_presence(
+    pairs: DataFrame, group_totals: DataFrame, levels: Sequence[str] | None = None
+) -> DataFrame:
+    """Every group against every workshop, marked present or not, with the region.
+
+    Without a level list all workshops named in any edition are shown.
+    """
     has = pairs.filter(F.col("angebot").isNotNull()).withColumn("has", F.lit(1))
+    levels = pairs.select("angebot") if levels is None else levels
     cells = complete(has, _GROUP, "angebot", levels, "has", groups=pairs)
     marked = cells.withColumn("label", F.when(F.col("has") == 1, "✓").otherwise("✗"))
     regions = group_totals.select(*_GROUP, "og_region").distinct()
@@ -84,20 +107,27 @@ def workshop_presence(pairs: DataFrame, levels: Sequence[str] | DataFrame, group
 
 
 def workshop_shares(
-    people_workshops: DataFrame, people: DataFrame, levels: Sequence[str] | DataFrame, region: str = "og_region"
+    people_workshops: DataFrame,
+    people: DataFrame,
+    levels: Sequence[str] | None = None,
+    region: str = "og_region",
 ) -> DataFrame:
-    """Participants of each workshop as share of all people of the region."""
+    """Participants of each workshop as share of all people of the region.
+
+    Without a level list all workshops named in any region and edition are shown.
+    """
     where = people.select(*PERSON_IDS, region)
     named = people_workshops.join(where, list(PERSON_IDS), "left").filter(F.col(region).isNotNull())
     once = named.select(*PERSON_IDS, region, "angebot").distinct()
     by = ["year", region]
-    n = complete(counts(once, [*by, "angebot"]), by, "angebot", levels)
+    n = counts(once, [*by, "angebot"])
+    n = complete(n, by, "angebot", n.select("angebot") if levels is None else levels)
     people_n = counts(people.filter(F.col(region).isNotNull()), by, "n_tn_region")
     return n.join(people_n, by, "left").withColumn("percent", F.try_divide(F.col("n"), F.col("n_tn_region")))
 
 
 def workshop_shares_overall(
-    people_workshops: DataFrame, people: DataFrame, levels: Sequence[str] | DataFrame
+    people_workshops: DataFrame, people: DataFrame, levels: Sequence[str]
 ) -> DataFrame:
     """Same without regions: ticks over all people of the edition."""
     ticks = counts(people_workshops.filter(F.col("angebot").isNotNull()), ["year", "angebot"])

@@ -6,26 +6,52 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def write_table(df: DataFrame, root: str, name: str) -> None:
-    """Replace the editions contained in df, keep all others."""
+def write_table(df: DataFrame, root: str, name: str, rebalance: bool = True) -> None:
+    """Replace the editions contained in df, keep all others.
+
+    Rows are rebalanced by year first: every edition gets files of a useful
+    size, and a large edition is split over many tasks.
+    """
+    out = df.hint("rebalance", "year") if rebalance else df
     (
-        df.write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
         .parquet(f"{root}/{name}")
     )
 
 
+def save_bucketed(df: DataFrame, table: str, ids: Sequence[str], buckets: int) -> None:
+    """Table bucketed and sorted by entity.
+
+    Long tables saved with the same ids and bucket count join with the entity
+    table without a shuffle.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, *ids).sortBy(*ids).saveAsTable(table)
+
+
 def write_edition(tables: Mapping[str, DataFrame], root: str) -> None:
     for name, df in tables.items():
         write_table(df, root, name)
 
 
-def read_table_of(spark: SparkSession, root: str, name: str, years: Sequence[int] | None = None) -> DataFrame:
-    """One table; a year filter only touches that edition's files."""
-    df = spark.read.parquet(f"{root}/{name}")
+def read_table_of(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    years: Sequence[int] | None = None,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """One table; a year filter only touches that edition's files.
+
+    With a schema no file is opened to infer it, and a table without rows reads
+    as empty.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(f"{root}/{name}")
     return df if years is None else df.filter(F.col("year").isin(list(years)))
 
 

@@ -12,21 +12,23 @@ from .forms import answer_schema
 
 
 def read_submissions(
-    spark: SparkSession, path: str, year: int, columns: Sequence[str], fmt: str = "json"
+    spark: SparkSession, path: str, year: int | None, columns: Sequence[str], fmt: str = "json"
 ) -> DataFrame:
-    """Submissions of one survey and edition.
+    """Submissions of one survey and edition; without a year the folder is partitioned by it.
 
     JSON and Parquet are read with the schema of the question catalog, so there
     is no inference pass and a question nobody answered comes back as NULL.
     """
     schema = answer_schema(columns)
+    if year is None:
+        schema = schema.add("year", "int")
     if fmt == "csv":
         raw = spark.read.csv(path, header=True, nullValue="NA", escape='"', multiLine=True)
         found = [c for c in schema.fields if c.name in raw.columns]
         df = raw.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in found])
     else:
         df = spark.read.schema(schema).format(fmt).load(path)
-    return df.withColumn("year", F.lit(year))
+    return df if year is None else df.withColumn("year", F.lit(year))
 
 
 def write_raw_export(

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from canvass.functions.local import local_table
 from canvass.operators import catalog as c
-from canvass.operators.sets import level_union
+from canvass.operators.sets import union_all
 from canvass.operators.windows import year_chart
 from canvass.plans import combine, groups, network, people, regions, topics, trends
+from canvass.plans.editions import Editions
+from canvass.session import shared_folder
 from canvass.sources import editions
+from canvass.sources.editions import read_table_of, write_table
 
 from . import forms as f
 from .registry import query
@@ -23,24 +26,44 @@ from .registry import query
 # ------------------------------------------------------------- Spark tables
 
 
+class Survey:
+    """Landed submissions, lazy cleaning plans, and stored editions of one input folder."""
+
+    def __init__(self, spark: SparkSession, sf: str) -> None:
+        root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{sf.strip("/").replace("/", "_")}"
+        regs, spell = f.region_map(spark), f.spelling_map(spark, sf)
+        write_table(f.group_submissions(spark, sf), root, "landed.og")
+        write_table(f.person_submissions(spark, sf), root, "landed.tn")
+        landed = {n: read_table_of(spark, root, f"landed.{n}") for n in ("og", "tn")}
+        self.raw = groups.clean_groups(landed["og"], f.form(spark, "og"), regs)
+        self.people = people.clean_people(landed["tn"], f.form(spark, "tn"), spell, regs, f.BRAND_WORDS, salt=1)
+        typed = self.raw | {"og.data": groups.harmonize_groups(self.raw["og.data"], spell, regs)}
+        self.first = groups.first_submissions(typed)
+        self.totals = combine.combined_totals(self.first["og.data"], self.people["tn.data"])
+        self.editions = Editions(spark, root, self.raw, self.people, regs, spell)
+
+
 @lru_cache(maxsize=8)
-def _tables(app: str, sf: str) -> dict[str, DataFrame]:
-    spark = SparkSession.getActiveSession()
-    regs, spell = f.region_map(spark), f.spelling_map(spark, sf)
-    og_form, tn_form = f.form(spark, "og"), f.form(spark, "tn")
-    raw_og = groups.clean_groups(f.group_submissions(spark, sf), og_form, regs)
-    typed = dict(raw_og)
-    typed["og.data"] = groups.harmonize_groups(raw_og["og.data"], spell, regs)
-    out = {f"raw.{name}": df for name, df in raw_og.items()}
-    out.update(groups.first_submissions(typed))
-    out.update(people.clean_people(f.person_submissions(spark, sf), tn_form, spell, regs, f.BRAND_WORDS, salt=1))
-    out["totals"] = combine.combined_totals(out["og.data"], out["tn.data"])
-    out["tn.long.aussagen"] = people.statements_long(out["tn.wide.aussagen"])
-    return out
+def _survey(app: str, sf: str) -> Survey:
+    return Survey(SparkSession.getActiveSession(), sf)
+
+
+def survey(spark: SparkSession, sf: str) -> Survey:
+    return _survey(spark.sparkContext.applicationId, sf)
+
 
+class Tables:
+    """Stored tables by name."""
 
-def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return _tables(spark.sparkContext.applicationId, sf)
+    def __init__(self, editions: Editions) -> None:
+        self.editions = editions
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.editions.table("og.agg.total_tn_by_og" if name == "totals" else name)
+
+
+def tables(spark: SparkSession, sf: str) -> Tables:
+    return Tables(survey(spark, sf).editions)
 
 
 def choice_labels(spark, list_name: str, code: str, label: str) -> DataFrame:
@@ -192,10 +215,15 @@ over_ AS (SELECT tot.*, hat_probleme_tn_gewinnung, hat_hauptamt, auftritte, avg_
 """
 
 
-def flow(key: str, sql: str, drop: tuple[str, ...] = ()):
-    """Register a cleaned table as a query."""
+def flow(key: str, sql: str):
+    """Register a cleaning plan, from landed submissions to a cleaned table, as a query."""
     def run(spark, sf):
-        return tables(spark, sf)[key].drop(*drop)
+        plans = survey(spark, sf)
+        if key == "totals":
+            return plans.totals
+        if key.startswith("raw."):
+            return plans.raw[key.removeprefix("raw.")]
+        return (plans.first | plans.people)[key]
 
     return query(CTES + sql, name="clean_" + key.replace(".long", "").replace(".", "_"))(run)
 
@@ -394,14 +422,12 @@ JOIN (SELECT year, count(DISTINCT tn_id) AS n_personen FROM {cte} GROUP BY 1) US
 
 @report(channels_sql("now"))
 def report_info_channels(spark, sf):
-    now = tables(spark, sf)["tn.long.info_wege_aktuell"]
-    return network.info_channels(now, level_union([now], "info_weg"))
+    return network.info_channels(tables(spark, sf)["tn.long.info_wege_aktuell"])
 
 
 @report(channels_sql("wish"))
 def report_info_wishes(spark, sf):
-    wish = tables(spark, sf)["tn.long.info_wege_wunsch"]
-    return network.info_channels(wish, level_union([wish], "info_weg"))
+    return network.info_channels(tables(spark, sf)["tn.long.info_wege_wunsch"])
 
 
 def participation_sql(x: str) -> str:
@@ -465,6 +491,20 @@ def report_need_distribution(spark, sf):
 # -- regions
 
 
+@report("""SELECT 'og.data' AS name, count(*) AS n FROM gd WHERE region_grouped = 'West'
+UNION ALL SELECT 'tn.data', count(*) FROM td WHERE region_grouped = 'West'
+UNION ALL SELECT 'og.long.unterstuetzungsbedarfe', count(*) FROM need JOIN gd USING (year, og_id) WHERE region_grouped = 'West'
+UNION ALL SELECT 'og.agg.total_tn_by_og', count(*) FROM tot WHERE region_grouped = 'West'
+UNION ALL SELECT 'tn.long.zugangsweg', count(*) FROM access JOIN td USING (year, tn_id) WHERE region_grouped = 'West'
+UNION ALL SELECT 'tn.agg.alter_by_og', count(*) FROM ages""")
+def report_region_slice(spark, sf):
+    names = ["og.data", "tn.data", "og.long.unterstuetzungsbedarfe", "og.agg.total_tn_by_og", "tn.long.zugangsweg",
+             "tn.agg.alter_by_og"]
+    stored = tables(spark, sf)
+    part = regions.slice_edition({n: stored[n] for n in names}, "West")
+    return union_all([part[n].agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in names])
+
+
 @report("SELECT * FROM over_")
 def report_region_overview(spark, sf):
     t = tables(spark, sf)
@@ -513,8 +553,7 @@ def report_workshop_matrix(spark, sf):
   LEFT JOIN pairs q ON q.year = n.year AND q.og_name = n.og_name AND q.angebot = l.angebot) x
 LEFT JOIN (SELECT DISTINCT year, og_name, og_region FROM tot) r USING (year, og_name)""")
 def report_workshop_presence(spark, sf):
-    t, pairs = tables(spark, sf), offered(spark, sf)
-    return regions.workshop_presence(pairs, level_union([pairs], "angebot"), t["totals"])
+    return regions.workshop_presence(offered(spark, sf), tables(spark, sf)["totals"])
 
 
 @report("""SELECT year, og_region, angebot, n, n_tn_region, n / n_tn_region AS percent FROM (
@@ -522,12 +561,11 @@ def report_workshop_presence(spark, sf):
     SELECT year, og_region, angebot, count(*) AS n FROM (SELECT DISTINCT year, tn_id, og_region, angebot FROM tw JOIN td USING (year, tn_id)
       WHERE og_region IS NOT NULL) GROUP BY 1, 2, 3
     UNION ALL SELECT DISTINCT year, og_region, a.angebot, 0 FROM tw JOIN td USING (year, tn_id),
-      (SELECT DISTINCT angebot FROM tw WHERE angebot IS NOT NULL) a WHERE og_region IS NOT NULL) GROUP BY 1, 2, 3)
+      (SELECT DISTINCT angebot FROM tw JOIN td USING (year, tn_id) WHERE angebot IS NOT NULL AND og_region IS NOT NULL) a WHERE og_region IS NOT NULL) GROUP BY 1, 2, 3)
 LEFT JOIN (SELECT year, og_region, count(*) AS n_tn_region FROM td WHERE og_region IS NOT NULL GROUP BY 1, 2) USING (year, og_region)""")
 def report_workshop_shares(spark, sf):
     t = tables(spark, sf)
-    ticks = t["tn.long.angebote_vor_ort"]
-    return regions.workshop_shares(ticks, t["tn.data"], level_union([ticks], "angebot"))
+    return regions.workshop_shares(t["tn.long.angebote_vor_ort"], t["tn.data"])
 
 
 @report("""SELECT year, angebot, coalesce(n, 0) AS n, n_tn, coalesce(n, 0) / n_tn AS percent FROM (SELECT year, count(*) AS n_tn FROM td GROUP BY 1)
