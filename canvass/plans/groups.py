@@ -47,10 +47,9 @@ class Form:
 
 
 def prepare_groups(submissions: DataFrame, form: Form) -> DataFrame:
-    """Submissions in time, without system columns and empty rows."""
+    """Submissions in time, without system columns, with all questions of the form."""
     raw = before_deadline(submissions, "year").withColumnRenamed("_id", "og_id")
-    raw = drop_empty_rows(drop_system_columns(raw), GROUP_IDS)
-    return add_missing_columns(raw, form.catalog.answer_columns())
+    return add_missing_columns(drop_system_columns(raw), form.catalog.answer_columns())
 
 
 def weekdays(raw: DataFrame, form: Form) -> DataFrame:
@@ -159,10 +158,15 @@ def group_data(raw: DataFrame, form: Form, regions: DataFrame) -> DataFrame:
 
 
 def clean_groups(submissions: DataFrame, form: Form, regions: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the group form."""
+    """All tables of the group form.
+
+    Only the table with one row per submission has to look for empty forms,
+    which means reading every column.  A long table holds answers only, so an
+    empty form has no row there and each table scans just its own question.
+    """
     raw = prepare_groups(submissions, form)
     return {
-        "og.data": group_data(raw, form, regions),
+        "og.data": group_data(drop_empty_rows(raw, GROUP_IDS), form, regions),
         "og.long.wochentage": weekdays(raw, form),
         "og.long.angebote_vor_ort": workshops(raw, form),
         "og.long.gender_by_participant_type": matrix(raw, form, "geschlecht_begin", "gender"),

@@ -51,8 +51,9 @@ def region_overview(group_totals: DataFrame, group_data: DataFrame, ages: DataFr
 
 
 def overview_footer(overview: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
-    """Sums, yes counts and the mean age weighted by group size."""
+    """Number of groups, sums, yes counts and the mean age weighted by group size."""
     return overview.groupBy(*by).agg(
+        n_distinct("og_name").alias("n_og"),
         F.count_if(F.col("hat_hauptamt") == "Ja").alias("hat_hauptamt"),
         *[sum_or_zero(c).alias(c) for c in [*HEADCOUNTS, "auftritte"]],
         F.bround(weighted_mean("avg_alter", "n")).alias("avg_alter"),
@@ -72,10 +73,7 @@ def subregion_table(overview: DataFrame) -> DataFrame:
 def offered_workshops(
     group_workshops: DataFrame, people_workshops: DataFrame, group_data: DataFrame, people: DataFrame
 ) -> DataFrame:
-    """Distinct (group, workshop) pairs named by either form.
-
-    Person answers are reduced to distinct pairs before the two sides meet.
-    """
+    """Distinct (group, workshop) pairs named by either form; the group may be unknown."""
     by_group = natural_join(
         group_workshops.withColumnRenamed("angebote_vor_ort", "angebot"), group_data.select(*GROUP_IDS, "og_name")
     )
@@ -83,12 +81,12 @@ def offered_workshops(
         people_workshops.select(*PERSON_IDS, "angebot"), people.select(*PERSON_IDS, "og_name")
     )
     pairs = by_group.select(*_GROUP, "angebot").unionByName(by_person.select(*_GROUP, "angebot"))
-    return pairs.distinct().filter(F.col("og_name").isNotNull())
+    return pairs.distinct()
 
 
 def workshop_matrix(pairs: DataFrame, levels: Sequence[str]) -> DataFrame:
     """One 0/1 column per workshop, the same columns in every edition."""
-    return presence_matrix(pairs, _GROUP, "angebot", levels)
+    return presence_matrix(pairs.filter(F.col("og_name").isNotNull()), _GROUP, "angebot", levels)
 
 
 def workshop_presence(
@@ -98,9 +96,10 @@ def workshop_presence(
 
     Without a level list all workshops named in any edition are shown.
     """
-    has = pairs.filter(F.col("angebot").isNotNull()).withColumn("has", F.lit(1))
+    named = pairs.filter(F.col("og_name").isNotNull())
+    has = named.filter(F.col("angebot").isNotNull()).withColumn("has", F.lit(1))
     levels = pairs.select("angebot") if levels is None else levels
-    cells = complete(has, _GROUP, "angebot", levels, "has", groups=pairs)
+    cells = complete(has, _GROUP, "angebot", levels, "has", groups=named)
     marked = cells.withColumn("label", F.when(F.col("has") == 1, "✓").otherwise("✗"))
     regions = group_totals.select(*_GROUP, "og_region").distinct()
     return lookup(marked, regions, _GROUP, null_safe=True)
@@ -114,14 +113,14 @@ def workshop_shares(
 ) -> DataFrame:
     """Participants of each workshop as share of all people of the region.
 
-    Without a level list all workshops named in any region and edition are shown.
+    Without a level list all workshops named by anybody are shown.
     """
     where = people.select(*PERSON_IDS, region)
     named = people_workshops.join(where, list(PERSON_IDS), "left").filter(F.col(region).isNotNull())
     once = named.select(*PERSON_IDS, region, "angebot").distinct()
     by = ["year", region]
-    n = counts(once, [*by, "angebot"])
-    n = complete(n, by, "angebot", n.select("angebot") if levels is None else levels)
+    levels = people_workshops.select("angebot") if levels is None else levels
+    n = complete(counts(once, [*by, "angebot"]), by, "angebot", levels)
     people_n = counts(people.filter(F.col(region).isNotNull()), by, "n_tn_region")
     return n.join(people_n, by, "left").withColumn("percent", F.try_divide(F.col("n"), F.col("n_tn_region")))
 
@@ -145,6 +144,11 @@ def option_share(long: DataFrame, column: str, option: str) -> DataFrame:
     return out.withColumn("anteil", F.bround(F.col("n_option") / F.col("n_gesamt"), 2))
 
 
+def shown_routes(choices: DataFrame, access: DataFrame) -> DataFrame:
+    """Access routes of the form that somebody named in the given editions."""
+    return choices.join(access.select("zugangsweg").distinct(), "zugangsweg", "left_semi")
+
+
 def access_shares(
     access: DataFrame,
     people: DataFrame,

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.missing import n_distinct, strict_sum, sum_or_zero
+from ..functions.missing import n_distinct, strict_max, strict_sum, sum_or_zero
 from ..functions.text import titled
 from ..operators.aggregate import likert_summary, yearly
 from ..operators.catalog import source_labels
@@ -52,10 +52,15 @@ def people_per_year_long(group_totals: DataFrame) -> DataFrame:
     return columns_long(wide, ["Teilnehmende", "Mitarbeitende"], "anzahl", ["year"], "gruppe", keep_null=True)
 
 
-def people_per_year_and_region(group_totals: DataFrame) -> DataFrame:
-    """Active people per region and edition, with the common axis limit."""
-    out = yearly(group_totals, {"insg": strict_sum("anzahl_insg")}, ["region_grouped"])
-    return out.withColumn("y_max", out.agg(F.max("insg")).scalar())
+def people_per_year_and_region(group_totals: DataFrame, skip_missing: bool = False) -> DataFrame:
+    """Active people per region and edition, with the common axis limit.
+
+    One unknown head count makes its sum, and with it the limit, unknown, unless
+    skip_missing is set.
+    """
+    add, top = (sum_or_zero, F.max) if skip_missing else (strict_sum, strict_max)
+    out = yearly(group_totals, {"insg": add("anzahl_insg")}, ["region_grouped"])
+    return out.withColumn("y_max", out.agg(top("insg")).scalar())
 
 
 def shows_per_year(group_data: DataFrame) -> DataFrame:

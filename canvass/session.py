@@ -20,6 +20,16 @@ SETTINGS = {
 }
 
 
+def shuffle_partitions(input_bytes: int, cores: int, target: int = 256 << 20) -> int:
+    """Shuffle partitions for an input: about `target` bytes each, two rounds of cores at least.
+
+    Adaptive execution merges what turns out too small, it cannot split what
+    starts too large outside of joins; the number is therefore taken from the
+    input before filters.
+    """
+    return max(2 * cores, -(-input_bytes // target))
+
+
 def build_session(app: str = "canvass", master: str | None = None, **extra: str) -> SparkSession:
     """Session with the settings above; `extra` uses '__' for '.' in names."""
     builder = SparkSession.builder.appName(app)

@@ -516,7 +516,7 @@ W_AGE = "sum(avg_alter * n) / sum(CASE WHEN avg_alter IS NOT NULL THEN n END)"
 
 @report(f"""SELECT year, count(*) FILTER (hat_hauptamt = 'Ja') AS hat_hauptamt, sum(anzahl_insg)::BIGINT AS anzahl_insg,
   sum(anzahl_tn)::BIGINT AS anzahl_tn, sum(anzahl_ma_leitung)::BIGINT AS anzahl_ma_leitung, sum(auftritte)::BIGINT AS auftritte,
-  round_even({W_AGE}, 0) AS avg_alter FROM over_ GROUP BY 1""")
+  round_even({W_AGE}, 0) AS avg_alter FROM over_ GROUP BY 1""".replace("SELECT year,", "SELECT year, count(DISTINCT og_name) AS n_og,", 1))
 def report_overview_footer(spark, sf):
     return regions.overview_footer(report_region_overview(spark, sf))
 
@@ -528,8 +528,9 @@ def report_subregions(spark, sf):
     return regions.subregion_table(report_region_overview(spark, sf))
 
 
-PAIRS = """, pairs AS (SELECT year, og_name, angebote_vor_ort AS angebot FROM gw JOIN gd USING (year, og_id) WHERE og_name IS NOT NULL
-UNION SELECT year, og_name, angebot FROM tw JOIN td USING (year, tn_id) WHERE og_name IS NOT NULL)
+PAIRS = """, all_pairs AS (SELECT year, og_name, angebote_vor_ort AS angebot FROM gw JOIN gd USING (year, og_id)
+UNION SELECT year, og_name, angebot FROM tw JOIN td USING (year, tn_id)),
+pairs AS (SELECT * FROM all_pairs WHERE og_name IS NOT NULL)
 """
 WORKSHOPS = ["Andere Workshops", "Chor", "Tanz", "Technik/Licht", "Theater"]
 
@@ -549,7 +550,7 @@ def report_workshop_matrix(spark, sf):
 
 @report(PAIRS + """SELECT x.*, r.og_region FROM (SELECT n.year, n.og_name, l.angebot, (q.angebot IS NOT NULL)::INT AS has,
   CASE WHEN q.angebot IS NULL THEN '✗' ELSE '✓' END AS label FROM (SELECT DISTINCT year, og_name FROM pairs) n
-  CROSS JOIN (SELECT DISTINCT angebot FROM pairs WHERE angebot IS NOT NULL) l
+  CROSS JOIN (SELECT DISTINCT angebot FROM all_pairs WHERE angebot IS NOT NULL) l
   LEFT JOIN pairs q ON q.year = n.year AND q.og_name = n.og_name AND q.angebot = l.angebot) x
 LEFT JOIN (SELECT DISTINCT year, og_name, og_region FROM tot) r USING (year, og_name)""")
 def report_workshop_presence(spark, sf):
@@ -561,7 +562,7 @@ def report_workshop_presence(spark, sf):
     SELECT year, og_region, angebot, count(*) AS n FROM (SELECT DISTINCT year, tn_id, og_region, angebot FROM tw JOIN td USING (year, tn_id)
       WHERE og_region IS NOT NULL) GROUP BY 1, 2, 3
     UNION ALL SELECT DISTINCT year, og_region, a.angebot, 0 FROM tw JOIN td USING (year, tn_id),
-      (SELECT DISTINCT angebot FROM tw JOIN td USING (year, tn_id) WHERE angebot IS NOT NULL AND og_region IS NOT NULL) a WHERE og_region IS NOT NULL) GROUP BY 1, 2, 3)
+      (SELECT DISTINCT angebot FROM tw WHERE angebot IS NOT NULL) a WHERE og_region IS NOT NULL) GROUP BY 1, 2, 3)
 LEFT JOIN (SELECT year, og_region, count(*) AS n_tn_region FROM td WHERE og_region IS NOT NULL GROUP BY 1, 2) USING (year, og_region)""")
 def report_workshop_shares(spark, sf):
     t = tables(spark, sf)
@@ -584,33 +585,37 @@ def report_theater_share(spark, sf):
 
 MANUAL = ["Von anderen mitgenommen", "Aufführung gesehen", "Schnupperprobe", "Seminar besucht", "Anderes"]
 SPOKEN = ["Andere Person", "Auffuehrung", "Schnupperprobe", "Seminar", "Sonstiges"]
-ROUTES = ", ".join(
-    f"('{label}', '{short}', '{manual}')" for (_, label), short, manual in zip(f.CHOICES["access"], SPOKEN, MANUAL))
+ROUTES = "(SELECT * FROM (VALUES " + ", ".join(
+    f"('{label}', '{short}', '{manual}')" for (_, label), short, manual in zip(f.CHOICES["access"], SPOKEN, MANUAL)
+) + ") AS w(zugangsweg, label_short, label_manual) WHERE zugangsweg IN (SELECT zugangsweg FROM access)) v"
 
 
-def routes(spark):
-    return c.short_choice_labels(f.choice_table(spark), "access", MANUAL).withColumnRenamed("label", "zugangsweg")
+def routes(spark, access):
+    listed = c.short_choice_labels(f.choice_table(spark), "access", MANUAL)
+    return regions.shown_routes(listed.withColumnRenamed("label", "zugangsweg"), access)
 
 
 @report(f"""SELECT year, zugangsweg, coalesce(n, 0) AS n, label_short, label_manual, total_n, coalesce(n, 0) / total_n AS prop
 FROM (SELECT year, count(*) AS total_n FROM td GROUP BY 1)
-CROSS JOIN (VALUES {ROUTES}) AS v(zugangsweg, label_short, label_manual)
+CROSS JOIN {ROUTES}
 LEFT JOIN (SELECT year, zugangsweg, count(*) AS n FROM access GROUP BY 1, 2) USING (year, zugangsweg)""")
 def report_access_shares(spark, sf):
     t = tables(spark, sf)
-    return regions.access_shares(t["tn.long.zugangsweg"], t["tn.data"], routes(spark))
+    access = t["tn.long.zugangsweg"]
+    return regions.access_shares(access, t["tn.data"], routes(spark, access))
 
 
 @report(f"""SELECT year, og_region, zugangsweg, n, label_short, label_manual, total_n, n / total_n AS prop FROM (
   SELECT year, og_region, zugangsweg, sum(n)::BIGINT AS n FROM (
     SELECT year, og_region, zugangsweg, count(*) AS n FROM access JOIN td USING (year, tn_id) WHERE og_region IS NOT NULL GROUP BY 1, 2, 3
     UNION ALL SELECT DISTINCT year, og_region, v.zugangsweg, 0 FROM access JOIN td USING (year, tn_id),
-      (VALUES {ROUTES}) AS v(zugangsweg, label_short, label_manual) WHERE og_region IS NOT NULL) GROUP BY 1, 2, 3)
-LEFT JOIN (VALUES {ROUTES}) AS v(zugangsweg, label_short, label_manual) USING (zugangsweg)
+      {ROUTES} WHERE og_region IS NOT NULL) GROUP BY 1, 2, 3)
+LEFT JOIN {ROUTES} USING (zugangsweg)
 LEFT JOIN (SELECT year, og_region, count(*) AS total_n FROM td GROUP BY 1, 2) USING (year, og_region)""")
 def report_access_shares_by_region(spark, sf):
     t = tables(spark, sf)
-    return regions.access_shares(t["tn.long.zugangsweg"], t["tn.data"], routes(spark), "og_region")
+    access = t["tn.long.zugangsweg"]
+    return regions.access_shares(access, t["tn.data"], routes(spark, access), "og_region")
 
 
 MEASURES = "(VALUES ('Flyer verteilen', 'Flyer'), ('Soziale Medien', 'Social Media'), ('Sonstige Maßnahmen', 'Sonstige'), ('Tour', 'Show Tour'))"
@@ -798,11 +803,18 @@ def report_people_per_year_long(spark, sf):
     return trends.people_per_year_long(tables(spark, sf)["totals"])
 
 
-@report(f"""SELECT *, max(insg) OVER () AS y_max FROM (SELECT year, region_grouped, {strict('anzahl_insg')} AS insg FROM tot GROUP BY 1, 2)""")
+@report(f"""SELECT *, CASE WHEN count(*) OVER () = count(insg) OVER () THEN max(insg) OVER () END AS y_max
+FROM (SELECT year, region_grouped, {strict('anzahl_insg')} AS insg FROM tot GROUP BY 1, 2)""")
 def report_people_per_region(spark, sf):
     return trends.people_per_year_and_region(tables(spark, sf)["totals"])
 
 
+@report("""SELECT *, max(insg) OVER () AS y_max
+FROM (SELECT year, region_grouped, coalesce(sum(anzahl_insg), 0)::BIGINT AS insg FROM tot GROUP BY 1, 2)""")
+def report_people_per_region_known(spark, sf):
+    return trends.people_per_year_and_region(tables(spark, sf)["totals"], skip_missing=True)
+
+
 @report("SELECT year, coalesce(sum(auftritte), 0)::BIGINT AS auftritte FROM gd GROUP BY 1")
 def report_shows(spark, sf):
     return trends.shows_per_year(tables(spark, sf)["og.data"])
