@@ -99,6 +99,19 @@ def recode(
     return joined.withColumn(column, F.col("_label")).drop("_label")
 
 
+def recode_all(df: DataFrame, mappings: Mapping[str, Mapping[str, str] | DataFrame]) -> DataFrame:
+    """Recode several columns; all short mappings go into one projection."""
+    short = {
+        c: m for c, m in mappings.items() if isinstance(m, Mapping) and len(m) <= LITERAL_CODES
+    }
+    if short:
+        df = df.withColumns({c: code_label(c, m) for c, m in short.items()})
+    for column, mapping in mappings.items():
+        if column not in short:
+            df = recode(df, mapping, column)
+    return df
+
+
 def attach_other(
     options: DataFrame,
     answers: DataFrame,

@@ -23,7 +23,7 @@ from ..operators.clean import (
     drop_empty_rows,
     drop_system_columns,
 )
-from ..operators.joins import keep_ids, map_region, harmonize, recode
+from ..operators.joins import harmonize, keep_ids, map_region, recode, recode_all
 from ..operators.reshape import labelled_long, matrix_cells, multiselect_long
 from ..operators.windows import dedup_first
 
@@ -148,12 +148,14 @@ def group_data(raw: DataFrame, form: Form, regions: DataFrame) -> DataFrame:
         quoted(cat.column("region")).alias("og_region"),
         name.alias("og_name") if names else empty_to_null(name).alias("og_name_orig"),
     )
-    data = recode(data, form.mapping("hauptamt"), "hat_hauptamt")
-    data = recode(data, form.mapping("gewinnung_probleme"), "hat_probleme_tn_gewinnung")
-    data = recode(data, form.mapping("region"), "og_region")
+    mappings = {
+        "hat_hauptamt": form.mapping("hauptamt"),
+        "hat_probleme_tn_gewinnung": form.mapping("gewinnung_probleme"),
+        "og_region": form.mapping("region"),
+    }
     if names:
-        data = recode(data, names, "og_name")
-    data = map_region(data, regions)
+        mappings["og_name"] = names
+    data = map_region(recode_all(data, mappings), regions)
     return data.withColumn("anzahl_insg", F.col("anzahl_tn") + F.col("anzahl_ma_leitung"))
 
 

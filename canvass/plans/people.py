@@ -25,7 +25,7 @@ from ..operators.clean import (
     drop_system_columns,
     fill_region,
 )
-from ..operators.joins import harmonize, map_region, multiselect_with_other, recode
+from ..operators.joins import harmonize, map_region, multiselect_with_other, recode, recode_all
 from ..operators.privacy import delink
 from ..operators.reshape import columns_long, labelled_long, multiselect_long, rename_block
 from .groups import Form
@@ -112,12 +112,10 @@ def person_rows(
         drop_above(to_int(cat.column("alter")), MAX_AGE).alias("alter"),
         *[quoted(cat.column(key)).alias(name) for name, key in column.items()],
     )
-    for name, key in column.items():
-        mapping = form.mapping(key)
-        if key == "region":
-            mapping = mapping | {c: label for c, label in REGION_PATCH.items() if c in mapping}
-        people = recode(people, mapping, name)
-    people = people.withColumn(
+    mappings = {name: form.mapping(key) for name, key in column.items()}
+    listed = mappings["og_region_orig"]
+    mappings["og_region_orig"] = listed | {c: label for c, label in REGION_PATCH.items() if c in listed}
+    people = recode_all(people, mappings).withColumn(
         "og_name_cleaned", without_words(null_to_empty("og_name_orig"), brand_words)
     )
     people = harmonize(people, spelling, "og_name_cleaned")
@@ -140,8 +138,7 @@ def demographics(raw: DataFrame, form: Form, contact: DataFrame, salt: int | Non
         quoted(cat.column("schule")).alias("schule"),
         quoted(cat.column("glaube_kontakt_sonst")).alias("kontakt_chrgl_sonst"),
     )
-    answers = recode(answers, form.mapping("gender"), "gender")
-    answers = recode(answers, form.mapping("schule"), "schule")
+    answers = recode_all(answers, {"gender": form.mapping("gender"), "schule": form.mapping("schule")})
     out = {
         f"tn.demo.{c}": delink(answers, c, PERSON_IDS, salt, keep=["year"])
         for c in ("gender", "alter", "schule")
