@@ -71,10 +71,6 @@ def n_distinct(c: str | Column) -> Column:
     return F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
 
 
-def count_true(c: Column) -> Column:
-    return F.count_if(c)
-
-
 def no_answer(c: str | Column) -> Column:
     """NULL becomes the reported category."""
     return F.coalesce(as_col(c), F.lit(NO_ANSWER))

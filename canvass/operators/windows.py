@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import as_col
 from .aggregate import counts
-from .reshape import complete, complete_levels
+from .reshape import complete
 
 
 def stacked_positions(

@@ -200,6 +200,7 @@ def person_answers() -> dict[str, str]:
         P4 + "ortsgruppe_region": f"CASE {cu} % 8 WHEN 0 THEN 'nord' WHEN 1 THEN 'sued' WHEN 2 THEN 'ost' "
                                   f"WHEN 3 THEN 'hessen' WHEN 4 THEN 'owl' WHEN 5 THEN 'anhalt' WHEN 7 THEN 'xx' END",
         P4 + "ortsgruppe_name": f"CASE WHEN {k} % 19 = 0 THEN '' WHEN {k} % 23 = 0 THEN NULL "
+                                f"WHEN {k} % 31 = 0 THEN concat('Grp ', {g}) "
                                 f"WHEN {k} % 3 = 0 THEN concat('SingKreis Gruppe ', {g}) "
                                 f"WHEN {k} % 3 = 1 THEN concat('gruppe ', {g}, ' sing-kreis') ELSE concat('Gruppe ', {g}) END",
         P5 + "veranst_region": f"CASE {k} % 5 WHEN 0 THEN 'ja' WHEN 1 THEN 'nein' WHEN 2 THEN 'nein' WHEN 3 THEN 'ja' END",
@@ -256,7 +257,7 @@ def group_answers() -> dict[str, str]:
         "weitereUnterstuetzung": f"CASE WHEN {k} % 6 = 0 THEN concat('mehr ', {s('c_nationkey')}) END",
         W + "region": f"CASE {k} % 5 WHEN 0 THEN 'nord' WHEN 1 THEN 'sued' WHEN 2 THEN 'ost' WHEN 3 THEN 'owl' END",
         W + "ortsgruppe_name": f"CASE WHEN {k} % 11 = 0 THEN '' WHEN {k} % 13 = 0 THEN NULL "
-                               f"WHEN {k} % 2 = 0 THEN concat('Gruppe ', {g}) ELSE concat('gruppe ', {g}) END",
+                               f"WHEN {k} % 17 = 0 THEN concat('Grp ', {g}) WHEN {k} % 2 = 0 THEN concat('Gruppe ', {g}) ELSE concat('gruppe ', {g}) END",
     }
     need = ["nein", "eher_nein", "eher_ja", "ja", "unsicher"]
     for i, name in enumerate(("technik", "geld", "werbung")):
@@ -304,7 +305,7 @@ GROUP_REGION = ("CASE g % 7 WHEN 0 THEN 'Nord' WHEN 1 THEN 'Süden' WHEN 2 THEN
 def spelling_map(spark: SparkSession, sf: str) -> DataFrame:
     """Two spellings per known group, and one entry for a missing name."""
     g = table(spark, sf, "customer").select(F.expr("CAST(floor(c_custkey / 14) AS BIGINT)").alias("g")).distinct()
-    known = g.filter("g % 10 <> 9").select(
+    known = g.select(
         F.explode(F.array(F.concat(F.lit("Gruppe "), "g"), F.concat(F.lit("gruppe "), "g"))).alias("og_name_orig"),
         F.concat(F.lit("Gruppe "), "g").alias("og_name"),
         F.expr(GROUP_REGION).alias("og_region"),

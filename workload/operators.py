@@ -157,14 +157,14 @@ def matrix_roundtrip(spark, sf):
 
 @query(f"""
 WITH c AS (SELECT r_name, o_orderpriority AS level, count(*) AS n FROM {PLACED}
-  WHERE o_orderstatus = 'F' AND o_totalprice > 495000 GROUP BY ALL),
+  WHERE o_orderstatus = 'F' GROUP BY ALL),
 l AS (SELECT unnest(['1-URGENT','2-HIGH','3-MEDIUM','4-NOT SPECIFIED','5-LOW','6-NEVER']) AS level)
 SELECT r.r_name, l.level, coalesce(c.n, 0)::BIGINT AS n
 FROM region r CROSS JOIN l LEFT JOIN c ON c.r_name = r.r_name AND c.level = l.level
 """)
 def all_levels_zero(spark, sf):
-    big = placed_orders(spark, sf).filter("o_orderstatus = 'F' AND o_totalprice > 495000")
-    n = a.counts(big.withColumnRenamed("o_orderpriority", "level"), ["r_name", "level"])
+    done = placed_orders(spark, sf).filter("o_orderstatus = 'F'")
+    n = a.counts(done.withColumnRenamed("o_orderpriority", "level"), ["r_name", "level"])
     return reshape.complete(
         n, ["r_name"], "level", [*PRIORITIES, "6-NEVER"], groups=table(spark, sf, "region")
     )
@@ -353,9 +353,9 @@ def summary_chain(spark, sf):
 
 
 @query("""
-SELECT p_brand, count(*) AS total_non_na, avg(v) AS average, count(*) FILTER (v > 3) AS zustimmung,
-  count(*) FILTER (v > 3) / count(*) AS zustimmung_perc
-FROM (SELECT p_brand, 1 + p_size % 6 AS v FROM part WHERE p_size % 7 <> 0) GROUP BY p_brand
+SELECT p_brand, count(v) AS total_non_na, avg(v) AS average, count(*) FILTER (v > 3) AS zustimmung,
+  count(*) FILTER (v > 3) / count(v) AS zustimmung_perc
+FROM (SELECT p_brand, CASE WHEN p_size % 7 <> 0 THEN 1 + p_size % 6 END AS v FROM part) GROUP BY p_brand
 """)
 def likert_summary(spark, sf):
     v = F.when(F.col("p_size") % 7 != 0, (1 + F.col("p_size") % 6).cast("string"))
@@ -567,8 +567,8 @@ def share_ge(spark, sf):
 
 
 @query("""
-SELECT p_size % 6 AS value, count(*) AS n, count(*) / (SELECT count(*) FROM part WHERE p_size % 6 <> 0) AS percent
-FROM part WHERE p_size % 6 <> 0 GROUP BY 1
+WITH v AS (SELECT nullif(p_size % 6, 0) AS value FROM part)
+SELECT value, count(*) AS n, count(*) / (SELECT count(value) FROM v) AS percent FROM v WHERE value IS NOT NULL GROUP BY 1
 """)
 def frequency_of_valid(spark, sf):
     parts = table(spark, sf, "part").withColumn("value", F.nullif(F.col("p_size") % 6, F.lit(0)))
