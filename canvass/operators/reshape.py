@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,13 +125,20 @@ def complete(
     levels: Sequence | DataFrame,
     value: str = "n",
     groups: DataFrame | None = None,
+    counted_only: bool = False,
 ) -> DataFrame:
     """Missing (group, level) pairs with value 0.
 
-    Groups come from the counts themselves or from a given dimension.
+    Groups come from the counts themselves, or from a given dimension, which
+    saves computing the counts a second time for their groups; counted_only then
+    leaves out groups in which nothing was counted.
     """
     base = (groups if groups is not None else counts).select(*by).distinct()
-    return add_zero_rows(counts, with_levels(base, levels, level), value)
+    full = add_zero_rows(counts, with_levels(base, levels, level), value)
+    if not counted_only:
+        return full
+    total = F.sum(value).over(Window.partitionBy(*by))
+    return full.withColumn("_total", total).filter(F.col("_total") > 0).drop("_total")
 
 
 def complete_levels(

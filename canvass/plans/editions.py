@@ -19,6 +19,7 @@ from ..sources.editions import read_table_of, write_table
 from .combine import combined_totals
 from .groups import GROUP_IDS, harmonize_groups
 from .people import statements_long
+from .regions import offered_workshops
 
 
 class Editions:
@@ -49,12 +50,17 @@ class Editions:
             return keep_ids(self.groups[name], self.table("og.data"), GROUP_IDS)
         if name == "og.agg.total_tn_by_og":
             return combined_totals(self.table("og.data"), self.table("tn.data"))
+        if name == "og.agg.angebote":
+            return offered_workshops(
+                self.table("og.long.angebote_vor_ort"), self.table("tn.long.angebote_vor_ort"),
+                self.table("og.data"), self.table("tn.data"),
+            )
         if name == "tn.long.aussagen":
             return statements_long(self.table("tn.wide.aussagen"))
         return self.people[name]
 
     def names(self) -> list[str]:
-        return [*self.groups, *self.people, "og.agg.total_tn_by_og"]
+        return [*self.groups, *self.people, "og.agg.total_tn_by_og", "og.agg.angebote"]
 
     def table(self, name: str) -> DataFrame:
         """One stored table, built when it is asked for the first time."""

@@ -31,8 +31,11 @@ def slice_edition(tables: Mapping[str, DataFrame], region: str) -> dict[str, Dat
     """One region of all stored tables.
 
     Group and person tables keep the rows of that region's entities, group
-    aggregates are filtered by region, aggregates of people stay whole.
+    aggregates are filtered by region, aggregates of people stay whole.  The
+    offered workshops know no region; they are left out and can be computed
+    again from the sliced tables.
     """
+    tables = {n: t for n, t in tables.items() if n != "og.agg.angebote"}
     og = {n: t for n, t in tables.items() if n.startswith("og.") and n != "og.data"}
     tn = {n: t for n, t in tables.items() if n.startswith(("tn.long.", "tn.wide."))}
     out = dict(tables)
@@ -120,8 +123,8 @@ def workshop_shares(
     once = named.select(*PERSON_IDS, region, "angebot").distinct()
     by = ["year", region]
     levels = people_workshops.select("angebot") if levels is None else levels
-    n = complete(counts(once, [*by, "angebot"]), by, "angebot", levels)
     people_n = counts(people.filter(F.col(region).isNotNull()), by, "n_tn_region")
+    n = complete(counts(once, [*by, "angebot"]), by, "angebot", levels, groups=people_n, counted_only=True)
     return n.join(people_n, by, "left").withColumn("percent", F.try_divide(F.col("n"), F.col("n_tn_region")))
 
 
@@ -165,7 +168,7 @@ def access_shares(
         named = access.join(where, list(PERSON_IDS), "left").filter(F.col(region).isNotNull())
         n = counts(named, [*by, "zugangsweg"])
         total = counts(people.filter(F.col(region).isNotNull()), by, "total_n")
-        n = complete(n, by, "zugangsweg", choices.select("zugangsweg"))
+        n = complete(n, by, "zugangsweg", choices.select("zugangsweg"), groups=total, counted_only=True)
         out = lookup(n, choices, "zugangsweg")
         return out.join(total, by, "left").withColumn("prop", F.try_divide(F.col("n"), F.col("total_n")))
     total = counts(people, by, "total_n")

@@ -9,8 +9,10 @@ from pyspark.sql import SparkSession
 
 # Settings that matter for plans of this library.  Adaptive execution sizes
 # shuffles, switches small sides to broadcast after measuring them, and splits
-# hot keys even where that costs one more shuffle.
+# hot keys even where that costs one more shuffle.  Files count four times their
+# stored size when Spark decides on a broadcast before it has measured anything.
 SETTINGS = {
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

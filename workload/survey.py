@@ -532,20 +532,20 @@ PAIRS = """, all_pairs AS (SELECT year, og_name, angebote_vor_ort AS angebot FRO
 UNION SELECT year, og_name, angebot FROM tw JOIN td USING (year, tn_id)),
 pairs AS (SELECT * FROM all_pairs WHERE og_name IS NOT NULL)
 """
-WORKSHOPS = ["Andere Workshops", "Chor", "Tanz", "Technik/Licht", "Theater"]
 
 
-def offered(spark, sf):
-    t = tables(spark, sf)
-    return regions.offered_workshops(
-        t["og.long.angebote_vor_ort"], t["tn.long.angebote_vor_ort"], t["og.data"], t["tn.data"]
-    )
+@report(PAIRS + "SELECT * FROM all_pairs")
+def report_offered_workshops(spark, sf):
+    return tables(spark, sf)["og.agg.angebote"]
+
+
+WORKSHOPS = ["Andere Workshops", "Chor", "Tanz", "Technik/Licht", "Theater"]
 
 
 @report(PAIRS + "SELECT year, og_name, " + ", ".join(
     f"max((angebot IS NOT DISTINCT FROM '{w}')::INT) AS \"{w}\"" for w in WORKSHOPS) + " FROM pairs GROUP BY 1, 2")
 def report_workshop_matrix(spark, sf):
-    return regions.workshop_matrix(offered(spark, sf), WORKSHOPS)
+    return regions.workshop_matrix(tables(spark, sf)["og.agg.angebote"], WORKSHOPS)
 
 
 @report(PAIRS + """SELECT x.*, r.og_region FROM (SELECT n.year, n.og_name, l.angebot, (q.angebot IS NOT NULL)::INT AS has,
@@ -554,7 +554,8 @@ def report_workshop_matrix(spark, sf):
   LEFT JOIN pairs q ON q.year = n.year AND q.og_name = n.og_name AND q.angebot = l.angebot) x
 LEFT JOIN (SELECT DISTINCT year, og_name, og_region FROM tot) r USING (year, og_name)""")
 def report_workshop_presence(spark, sf):
-    return regions.workshop_presence(offered(spark, sf), tables(spark, sf)["totals"])
+    t = tables(spark, sf)
+    return regions.workshop_presence(t["og.agg.angebote"], t["totals"])
 
 
 @report("""SELECT year, og_region, angebot, n, n_tn_region, n / n_tn_region AS percent FROM (
