@@ -137,7 +137,7 @@ PERSON_QUESTIONS = [
     Question("huerden_andere", "col_name", "gruende.+?andere"),
     Question("verantwortung", "label", r"Übernimmst.+?Verantwortung\?$"),
     Question("hilfe", "label", "helfen.+?Verantwortung"),
-    Question("hilfe_sonst", "col_name", "hilfe_fuer_verantw", type="text"),
+    Question("hilfe_sonst", "relevant", "hilfe_fuer_verantw", type="text"),
     Question("info_aktuell", "col_name", "informationswege_derzeit"),
     Question("info_komplett", "col_name", "informationen_komplett"),
     Question("info_aenderung", "label", "Wenn du es dir aussuchen.+?Informationen.+?", type="select_one"),

@@ -30,7 +30,8 @@ def delink(
     name the edition, never anything that points at an entity.
     """
     secret = secrets.randbits(63) if salt is None else salt
-    order = F.xxhash64(F.lit(secret), *[quoted(c) for c in ids], quoted(column))
+    # the column name keeps the orders of two released columns unrelated
+    order = F.xxhash64(F.lit(secret), F.lit(column), *[quoted(c) for c in ids], quoted(column))
     return df.orderBy(order).select(*keep, quoted(column))
 
 

@@ -13,8 +13,12 @@ from ..functions.text import weekday_name
 from ..operators.catalog import (
     Catalog,
     Choices,
+    Question,
+    load_catalog,
+    load_choices,
     matrix_cell_list,
     matrix_columns,
+    matrix_headers,
     rule_option,
 )
 from ..operators.clean import (
@@ -45,6 +49,21 @@ class Form:
     def mapping(self, key: str) -> dict[str, str]:
         return self.choices.mapping(self.catalog.list_name(key))
 
+    def blocks(self) -> list[str]:
+        """Names of the matrix blocks, which their cell columns carry."""
+        return [
+            r["name"] for rows in self.catalog.rows.values() for r in rows
+            if r["type"] == "begin_kobomatrix"
+        ]
+
+
+def load_form(questions: DataFrame, choices: DataFrame, specs: Sequence[Question]) -> Form:
+    """Search one form's metadata for the questions, options and matrix headers of a plan."""
+    headers: dict[str, list[tuple[str, str]]] = {}
+    for r in matrix_headers(questions).orderBy("ord").collect():
+        headers.setdefault(r["matrix"], []).append((r["name"], r["label"]))
+    return Form(load_catalog(questions, specs), load_choices(choices), headers)
+
 
 def prepare_groups(submissions: DataFrame, form: Form) -> DataFrame:
     """Submissions in time, without system columns, with all questions of the form."""

@@ -70,8 +70,15 @@ def write_form_csv(rows: DataFrame, path: str) -> None:
 
 
 def read_form_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata CSV written above."""
-    return read_table(spark, path).withColumn("ord", F.col("ord").cast("int"))
+    """Metadata CSV, written above or kept from earlier years.
+
+    A file without `ord` is taken in its own row order: a multi-line CSV file is
+    never split, so the running id follows the lines.
+    """
+    rows = read_table(spark, path).withColumnsRenamed(_NAMES)
+    if "ord" in rows.columns:
+        return rows.withColumn("ord", F.col("ord").cast("int"))
+    return rows.withColumn("ord", F.monotonically_increasing_id().cast("int"))
 
 
 def question_json(rows: DataFrame, name: str = "question") -> DataFrame:

@@ -7,25 +7,54 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.catalog import MAX_FORM_ROWS
 from ..operators.clean import SYSTEM_NAMES, SYSTEM_PREFIXES, drop_system_columns
 from .forms import answer_schema
 
 
+def found_columns(spark: SparkSession, path: str, fmt: str = "json") -> list[str]:
+    """Column names of landed submissions.
+
+    CSV and Parquet name them in header or footer.  For JSON lines the keys are
+    collected in one pass; a form has some hundred of them.
+    """
+    if fmt == "csv":
+        return spark.read.csv(path, header=True, escape='"', multiLine=True).columns
+    if fmt != "json":
+        return spark.read.option("mergeSchema", True).format(fmt).load(path).columns
+    keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("key"))
+    rows = keys.distinct().limit(MAX_FORM_ROWS + 1).collect()
+    if len(rows) > MAX_FORM_ROWS:
+        raise ValueError(f"more than {MAX_FORM_ROWS} columns: not submissions of one form")
+    return sorted(r["key"] for r in rows)
+
+
 def read_submissions(
-    spark: SparkSession, path: str, year: int | None, columns: Sequence[str], fmt: str = "json"
+    spark: SparkSession,
+    path: str,
+    year: int | None,
+    columns: Sequence[str],
+    fmt: str = "json",
+    blocks: Sequence[str] = (),
 ) -> DataFrame:
     """Submissions of one survey and edition; without a year the folder is partitioned by it.
 
-    JSON and Parquet are read with the schema of the question catalog, so there
-    is no inference pass and a question nobody answered comes back as NULL.
+    JSON and Parquet are read with the columns of the question catalog as text,
+    so types are not inferred and a question nobody answered comes back as NULL.
+    Matrix questions have one column per cell, named by the server after the
+    block; with `blocks` these are looked up in the data.
     """
-    schema = answer_schema(columns)
+    wanted = list(columns)
+    if blocks:
+        found = found_columns(spark, path, fmt)
+        wanted += [c for c in found if c not in wanted and any(b in c for b in blocks)]
+    schema = answer_schema(wanted)
     if year is None:
         schema = schema.add("year", "int")
     if fmt == "csv":
         raw = spark.read.csv(path, header=True, nullValue="NA", escape='"', multiLine=True)
-        found = [c for c in schema.fields if c.name in raw.columns]
-        df = raw.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in found])
+        present = [f for f in schema.fields if f.name in raw.columns]
+        df = raw.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in present])
     else:
         df = spark.read.schema(schema).format(fmt).load(path)
     return df if year is None else df.withColumn("year", F.lit(year))

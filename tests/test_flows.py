@@ -212,3 +212,19 @@ def test_editions_store(spark, tmp_path, group_tables, person_tables, spelling):
     assert set(store.names()) == set(store.stored)
     assert store.table("og.long.angebote_vor_ort").count() == 0
     assert store.table("tn.long.aussagen").count() == 6 * 4
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv", "parquet"])
+def test_landed_submissions_give_the_same_tables(spark, tmp_path, group_tables, fmt):
+    from canvass.sources.submissions import found_columns, read_submissions
+
+    path, form = str(tmp_path / fmt), f.form(spark, "og")
+    writer = frame(spark, GROUP_COLUMNS, GROUP_ROWS).drop("year").write.format(fmt)
+    (writer.option("header", True).option("nullValue", "NA") if fmt == "csv" else writer).save(path)
+    assert form.blocks() == ["block_gender", "group_jahre"]
+    assert f.D + "block_gender_weiblich_1_mitarbeitende" in found_columns(spark, path, fmt)
+    raw = read_submissions(spark, path, 2024, form.catalog.answer_columns(), fmt, form.blocks())
+    landed = groups.clean_groups(raw, form, f.region_map(spark))
+    for name, table in group_tables.items():
+        cols = sorted(table.columns)
+        assert rows(landed[name], *cols) == rows(table, *cols), name

@@ -41,6 +41,15 @@ def test_form_definition(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json")).count() == 3
 
 
+def test_metadata_csv_without_order_column(spark, tmp_path):
+    path = tmp_path / "survey.csv"
+    lines = "".join(f'q{i},text,k{i},g/q{i},"Frage\n""{i}""",l{i},NA\n' for i in range(50))
+    path.write_text("name,type,$kuid,col_name,label,select_from_list_name,relevant\n" + lines)
+    got = forms.read_form_csv(spark, str(path)).orderBy("ord").collect()
+    assert [r["name"] for r in got] == [f"q{i}" for i in range(50)]
+    assert (got[3]["kuid"], got[3]["label"], got[3]["list_name"], got[3]["relevant"]) == ("k3", 'Frage\n"3"', "l3", None)
+
+
 def test_two_labels_are_an_error(spark, tmp_path):
     bad = form_json()
     bad["content"]["survey"][1]["label"] = ["a", "b"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from canvass.functions.local import local_table
 from canvass.operators import catalog as c
-from canvass.plans.groups import Form
+from canvass.plans.groups import Form, load_form
 
 from .registry import table
 
@@ -122,7 +122,7 @@ PERSON_FORM = _rows([
     q("text", P5 + "gruende_gegen_andere", "Andere?"),
     q("select_one", P6 + "verantwortung", "Übernimmst du Verantwortung?", "yesno"),
     q("select_multiple", P6 + "hilfe_fuer_verantwortung", "Was würde helfen, Verantwortung zu tragen?", "help"),
-    q("text", P6 + "hilfe_fuer_verantwortung_sonst", "Was sonst?"),
+    q("text", P6 + "hilfe_fuer_verantwortung_sonst", "Was sonst?", rule="selected(${hilfe_fuer_verantwortung}, 'sonstiges')"),
     q("select_multiple", P6 + "informationswege_derzeit", "Woher erfährst du etwas?", "channels"),
     q("select_one", P6 + "informationen_komplett", "Erfährst du alles?", "complete"),
     q("select_one", P6 + "info_aenderung", "Wenn du es dir aussuchen kannst: Informationen wie?", "change"),
@@ -332,10 +332,7 @@ def _form(app: str, which: str) -> Form:
     spark = SparkSession.getActiveSession()
     meta = metadata(spark, which)
     specs = c.GROUP_QUESTIONS if which == "og" else c.eigenschaften_by_block(meta, c.PERSON_QUESTIONS)
-    headers: dict[str, list[tuple[str, str]]] = {}
-    for r in c.matrix_headers(meta).orderBy("ord").collect():
-        headers.setdefault(r["matrix"], []).append((r["name"], r["label"]))
-    return Form(c.load_catalog(meta, specs), c.load_choices(choice_table(spark)), headers)
+    return load_form(meta, choice_table(spark), specs)
 
 
 def form(spark: SparkSession, which: str) -> Form:
