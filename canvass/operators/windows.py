@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.missing import as_col
@@ -46,19 +46,26 @@ def positions_of_counts(
     percent: bool = True,
     n: str = "n",
 ) -> DataFrame:
-    """Stack positions of levels that are counted already."""
+    """Stack positions of levels that are counted already.
+
+    An unknown count makes every sum over it unknown; a position that cannot be
+    stacked falls back to the middle of its own segment.
+    """
     value, size = F.col(column), F.col(n)
     rank = value if levels is None else level_rank(value, levels)
     w = Window.partitionBy(*by).orderBy(rank.asc_nulls_last())
-    down = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    below = w.rowsBetween(1, Window.unboundedFollowing)
-    whole = Window.partitionBy(*by)
-    part = size / F.sum(n).over(whole)
+
+    def strict(frame: WindowSpec) -> Column:
+        known = F.count(F.lit(1)).over(frame) == F.count(n).over(frame)
+        return F.when(known, F.sum(n).over(frame))
+
+    whole = strict(Window.partitionBy(*by))
+    below = strict(w.rowsBetween(1, Window.unboundedFollowing))
     return counted.withColumns(
         {
-            "csum": F.sum(n).over(down),
-            "perc": F.bround(size * 100 / F.sum(n).over(whole), digits) if percent else part,
-            "pos": size / 2 + F.coalesce(F.sum(n).over(below), F.lit(0)),
+            "csum": strict(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+            "perc": F.bround(size * 100 / whole, digits) if percent else size / whole,
+            "pos": size / 2 + F.coalesce(below, F.lit(0)),
         }
     )
 

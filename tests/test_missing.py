@@ -113,3 +113,9 @@ def test_unlisted_levels_count_as_missing(spark):
     df = local_table(spark, [("a",), ("z",), (None,)], "x string")
     got = {r["x"]: (r["n"], r["csum"]) for r in windows.stacked_positions(df, "x", levels=["a", "b"]).collect()}
     assert got == {"a": (1, 3), None: (2, 2)}
+
+
+def test_stack_with_an_unknown_count(spark):
+    df = local_table(spark, [("a", 4), ("b", None), ("c", 2)], "x string, n int")
+    got = {r["x"]: (r["csum"], r["perc"], r["pos"]) for r in windows.positions_of_counts(df, "x").collect()}
+    assert got == {"a": (None, None, 2.0), "b": (None, None, None), "c": (2, None, 1.0)}

@@ -265,7 +265,9 @@ def group_answers() -> dict[str, str]:
         out[S + name] = f"CASE ({k} + {i} * 2) % {6 + i} {cases} END"
     for i, (code, _) in enumerate(CHOICES["m_gender"]):
         for j, who in enumerate(("mitarbeitende", "teilnehmende")):
-            out[f"{D}block_gender_{code}_{who}"] = f"CASE WHEN ({k} + {i}) % 4 <> 0 THEN {s(f'({k} + {i + j}) % 7')} END"
+            out[f"{D}block_gender_{code}_{who}"] = (
+                f"CASE WHEN {k} % 701 = 0 THEN 'x' WHEN ({k} + {i}) % 4 <> 0 THEN {s(f'({k} + {i + j}) % 7')} END"
+            )
     for i, (code, _) in enumerate(CHOICES["m_age"]):
         for j, who in enumerate(("mitarbeitende", "teilnehmende")):
             value = s(f"({k} + {i * 2 + j}) % 9")

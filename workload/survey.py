@@ -319,11 +319,17 @@ def cells_sql(cte: str, column: str) -> str:
   FROM {cte} GROUP BY 1, 2, 3)"""
 
 
-@report(f"""SELECT *, sum(total) OVER (PARTITION BY year, person_type ORDER BY gender
-  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS csum,
-  round_even(total * 100 / sum(total) OVER (PARTITION BY year, person_type), 1) AS perc,
-  total / 2 + coalesce(sum(total) OVER (PARTITION BY year, person_type ORDER BY gender
-  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS pos FROM {cells_sql('gen', 'gender')}""")
+def strict_over(frame: str) -> str:
+    return f"CASE WHEN count(*) OVER ({frame}) = count(total) OVER ({frame}) THEN sum(total) OVER ({frame}) END"
+
+
+STACK = "PARTITION BY year, person_type"
+BELOW = f"{STACK} ORDER BY gender ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
+
+
+@report(f"""SELECT *, ({strict_over(f'{STACK} ORDER BY gender ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING')})::BIGINT AS csum,
+  round_even(total * 100 / {strict_over(STACK)}, 1) AS perc, total / 2 + coalesce({strict_over(BELOW)}, 0) AS pos
+FROM {cells_sql('gen', 'gender')}""")
 def report_gender_shares(spark, sf):
     return network.gender_shares(tables(spark, sf)["og.long.gender_by_participant_type"])
 
