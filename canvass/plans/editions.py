@@ -7,13 +7,13 @@ instead of repeating, or holding on to, the plan before it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.joins import keep_ids
+from ..operators.sets import union_all
 from ..operators.windows import dedup_first
 from ..sources.editions import read_table_of, write_table
 from .combine import combined_totals
@@ -22,6 +22,16 @@ from .people import statements_long
 from .regions import offered_workshops
 
 
+def union_editions(parts: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
+    """Cleaned tables of editions whose forms differ, as one set of tables.
+
+    Editions with typed group names are harmonized before; columns only one
+    edition has are NULL in the others.
+    """
+    names = dict.fromkeys(n for part in parts for n in part)
+    return {n: union_all([part[n] for part in parts if n in part]) for n in names}
+
+
 class Editions:
     """Stored tables of all editions under one root, each built at first use."""
 
@@ -34,11 +44,11 @@ class Editions:
         regions: DataFrame,
         spelling: DataFrame | None = None,
     ) -> None:
-        """`spelling` is given for forms in which group names were typed."""
+        """`spelling` is given when group names were typed in all editions."""
         self.spark, self.root = spark, root
         self.groups, self.people = groups, people
         self.regions, self.spelling = regions, spelling
-        self.stored: dict[str, T.StructType] = {}
+        self.stored: dict[str, DataFrame] = {}
 
     def plan(self, name: str) -> DataFrame:
         if name == "og.data":
@@ -69,8 +79,8 @@ class Editions:
         if name not in self.stored:
             df = self.plan(name)
             write_table(df, self.root, name)
-            self.stored[name] = df.schema
-        return read_table_of(self.spark, self.root, name, schema=self.stored[name])
+            self.stored[name] = read_table_of(self.spark, self.root, name, schema=df.schema)
+        return self.stored[name]
 
     def build(self) -> None:
         for name in self.names():

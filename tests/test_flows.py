@@ -1,11 +1,12 @@
 """Cleaning of a handful of submissions, expected tables worked out by hand."""
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from canvass.functions.local import local_table
 from canvass.plans import combine, groups, network, people, regions
-from canvass.plans.editions import Editions
+from canvass.plans.editions import Editions, union_editions
 from canvass.operators.catalog import Catalog, Choices
 from workload import forms as f
 
@@ -99,15 +100,33 @@ def test_typed_names_are_harmonized_and_first_kept(spark, group_tables, spelling
     assert {r[0] for r in rows(kept["og.long.unterstuetzungsbedarfe"], "og_id")} == {1}
 
 
-def test_form_with_a_name_list(spark, group_tables):
+@pytest.fixture(scope="module")
+def listed_form(spark):
+    """The same form, but the group name is chosen from a list."""
     form = f.form(spark, "og")
-    listed = [r.asDict() | {"list_name": "names"} for r in form.catalog.all("name")]
-    from pyspark.sql import Row
-
-    cat = Catalog(dict(form.catalog.rows) | {"name": [Row(**listed[0])]}, form.catalog.cut)
+    name = Row(**(form.catalog.one("name").asDict() | {"list_name": "names"}))
+    cat = Catalog(dict(form.catalog.rows) | {"name": [name]}, form.catalog.cut)
     choices = Choices(dict(form.choices.lists) | {"names": [("gruppe 1", "Gruppe Eins")]})
+    return groups.Form(cat, choices, form.matrix_headers)
+
+
+def test_editions_with_different_forms(spark, group_tables, listed_form, spelling):
+    regs = f.region_map(spark)
+    typed = dict(group_tables)
+    typed["og.data"] = groups.harmonize_groups(group_tables["og.data"], spelling, regs)
+    later = [(r[0] + 10, 2025, "2025-10-01 00:00:00", *r[3:]) for r in GROUP_ROWS]
+    listed = groups.clean_groups(frame(spark, GROUP_COLUMNS, later), listed_form, regs)
+    kept = groups.first_submissions(union_editions([typed, listed]))
+    assert rows(kept["og.data"], "year", "og_id", "og_name", "og_region", "og_region_orig") == [
+        (2024, 1, "Gruppe 1", "Ostwestfalen-Lippe", "Ostwestfalen-Lippe (OWL)"),
+        (2025, 11, "Gruppe Eins", "Ostwestfalen-Lippe (OWL)", None),
+    ]
+    assert rows(kept["og.long.unterstuetzungsbedarfe"], "year", "og_id") == [(2024, 1), (2025, 11)]
+
+
+def test_form_with_a_name_list(spark, listed_form):
     raw = frame(spark, GROUP_COLUMNS, GROUP_ROWS)
-    out = groups.clean_groups(raw, groups.Form(cat, choices, form.matrix_headers), f.region_map(spark))
+    out = groups.clean_groups(raw, listed_form, f.region_map(spark))
     assert rows(out["og.data"], "og_id", "og_name") == [(1, "Gruppe Eins"), (2, None), (5, None)]
     assert rows(groups.first_submissions(out)["og.data"], "og_id") == [(1,)]
 
