@@ -10,27 +10,34 @@ from pyspark.sql import functions as F
 
 from .missing import as_col
 
+# The characters with the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def trimmed(c: str | Column) -> Column:
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    """Without white space at both ends, including no-break and wide spaces."""
+    return F.trim(as_col(c), F.lit(WHITE_SPACE))
 
 
 def without_words(c: str | Column, words: Sequence[str]) -> Column:
     """Remove every given word, ignoring case, then trim the rest."""
     if not words:
         return trimmed(c)
-    pattern = "(?i)" + "|".join(re.escape(w) for w in words)
+    pattern = "(?iu)" + "|".join(re.escape(w) for w in words)
     return trimmed(F.regexp_replace(as_col(c), pattern, ""))
 
 
 def plain_code(c: str | Column) -> Column:
     """Exported codes carry three underscores where the form has one."""
-    return F.regexp_replace(as_col(c), "___", "_")
+    return F.replace(as_col(c), F.lit("___"), F.lit("_"))
 
 
 def spoken_code(c: str | Column) -> Column:
     """Short display label of a code: andere_person gives Andere Person."""
-    return F.initcap(F.regexp_replace(as_col(c), "_", " "))
+    return F.initcap(F.translate(as_col(c), "_", " "))
 
 
 def weekday_name(c: str | Column) -> Column:

@@ -291,6 +291,8 @@ def test_text(spark):
         ("Nord", "Montag", "Andere Person", "flyer", "stimmt (6)", "x_y"),
         ("", "Dienstag", "X", "insgesamt", "(6) nicht am Ende", "x_y"),
     ]
+    blank = local_table(spark, [("\u00a0 Nord\u3000\t",), ("  ",), (None,)], "x string")
+    assert [r[0] for r in blank.select(t.trimmed("x")).collect()] == ["Nord", "", None]
     q = local_table(spark, [('Bei uns gilt auf einer Skala von "Alle" bis "Keiner":',)], "label string")
     assert q.select(t.scale_label("label", "Bei uns gilt auf einer Skala")).collect()[0][0] == "  Alle SEP Keiner"
     n = local_table(spark, [(1234567, 0.1234), (12, 0.5)], "n int, p double")
