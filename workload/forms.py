@@ -8,8 +8,6 @@ text; everything after that is computed independently.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -329,13 +327,14 @@ def choice_table(spark: SparkSession) -> DataFrame:
     return local_table(spark, rows, "name string, label string, list_name string, ord int")
 
 
-@lru_cache(maxsize=8)
-def _form(app: str, which: str) -> Form:
-    spark = SparkSession.getActiveSession()
-    meta = metadata(spark, which)
-    specs = c.GROUP_QUESTIONS if which == "og" else c.eigenschaften_by_block(meta, c.PERSON_QUESTIONS)
-    return load_form(meta, choice_table(spark), specs)
+_FORMS: dict[tuple[str, str], Form] = {}
 
 
 def form(spark: SparkSession, which: str) -> Form:
-    return _form(spark.sparkContext.applicationId, which)
+    """The group form (og) or the person form (tn), searched once per application."""
+    key = (spark.sparkContext.applicationId, which)
+    if key not in _FORMS:
+        meta = metadata(spark, which)
+        specs = c.GROUP_QUESTIONS if which == "og" else c.eigenschaften_by_block(meta, c.PERSON_QUESTIONS)
+        _FORMS[key] = load_form(meta, choice_table(spark), specs)
+    return _FORMS[key]

@@ -5,8 +5,6 @@ The SQL starts from the same raw answers and computes every table on its own.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,13 +41,15 @@ class Survey:
         self.editions = Editions(spark, root, self.raw, self.people, regs, spell)
 
 
-@lru_cache(maxsize=8)
-def _survey(app: str, sf: str) -> Survey:
-    return Survey(SparkSession.getActiveSession(), sf)
+_SURVEYS: dict[tuple[str, str], Survey] = {}
 
 
 def survey(spark: SparkSession, sf: str) -> Survey:
-    return _survey(spark.sparkContext.applicationId, sf)
+    """The survey of an input folder, landed once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SURVEYS:
+        _SURVEYS[key] = Survey(spark, sf)
+    return _SURVEYS[key]
 
 
 class Tables:
