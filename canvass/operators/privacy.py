@@ -23,16 +23,18 @@ def delink(
 ) -> DataFrame:
     """One answer column in random order, without ids.
 
-    The order is that of a hash over a secret salt, the ids and the answer: it
-    looks random to anyone without the salt, yet a task that is run again after
-    a lost executor sorts its rows the same way, which rand() would not.  The
-    sort is range partitioned, so no task sees the whole column.  `keep` may
-    name the edition, never anything that points at an entity.
+    Rows are shuffled and sorted by a hash over a secret salt, the ids and the
+    answer.  Without the salt that order looks random, yet a task that is run
+    again after a lost executor sorts its rows the same way, which rand() would
+    not.  Hashes spread evenly, so one shuffle is enough and no task sees the
+    whole column.  `keep` may name the edition, never anything that points at an
+    entity.
     """
     secret = secrets.randbits(63) if salt is None else salt
     # the column name keeps the orders of two released columns unrelated
     order = F.xxhash64(F.lit(secret), F.lit(column), *[quoted(c) for c in ids], quoted(column))
-    return df.orderBy(order).select(*keep, quoted(column))
+    rows = df.select(*keep, quoted(column), order.alias("_order"))
+    return rows.repartition("_order").sortWithinPartitions("_order").drop("_order")
 
 
 def suppress_small(

@@ -255,7 +255,7 @@ def test_delink(spark):
     assert out.columns == ["x"]
     values = [r["x"] for r in out.collect()]
     assert Counter(values) == Counter(x for _, x in data) and values != [x for _, x in data]
-    # the same salt gives the same order whatever the partitioning of the input
+    # the same salt gives the same order however the rows arrive
     again = privacy.delink(df.repartition(5, "x"), "x", ["id"], salt=5)
     assert [r["x"] for r in again.collect()] == values
     assert [r["x"] for r in privacy.delink(df, "x", ["id"]).collect()] != values

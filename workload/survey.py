@@ -5,6 +5,8 @@ The SQL starts from the same raw answers and computes every table on its own.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,17 +30,37 @@ class Survey:
     """Landed submissions, lazy cleaning plans, and stored editions of one input folder."""
 
     def __init__(self, spark: SparkSession, sf: str) -> None:
-        root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{sf.strip("/").replace("/", "_")}"
-        regs, spell = f.region_map(spark), f.spelling_map(spark, sf)
-        write_table(f.group_submissions(spark, sf), root, "landed.og")
-        write_table(f.person_submissions(spark, sf), root, "landed.tn")
-        landed = {n: read_table_of(spark, root, f"landed.{n}") for n in ("og", "tn")}
-        self.raw = groups.clean_groups(landed["og"], f.form(spark, "og"), regs)
-        self.people = people.clean_people(landed["tn"], f.form(spark, "tn"), spell, regs, f.BRAND_WORDS, salt=1)
-        typed = self.raw | {"og.data": groups.harmonize_groups(self.raw["og.data"], spell, regs)}
-        self.first = groups.first_submissions(typed)
-        self.totals = combine.combined_totals(self.first["og.data"], self.people["tn.data"])
-        self.editions = Editions(spark, root, self.raw, self.people, regs, spell)
+        self.spark, self.sf = spark, sf
+        self.root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{sf.strip('/').replace('/', '_')}"
+        self.regions, self.spelling = f.region_map(spark), f.spelling_map(spark, sf)
+
+    def landed(self, form: str) -> DataFrame:
+        derive = f.group_submissions if form == "og" else f.person_submissions
+        write_table(derive(self.spark, self.sf), self.root, f"landed.{form}")
+        return read_table_of(self.spark, self.root, f"landed.{form}")
+
+    @cached_property
+    def raw(self) -> dict[str, DataFrame]:
+        return groups.clean_groups(self.landed("og"), f.form(self.spark, "og"), self.regions)
+
+    @cached_property
+    def people(self) -> dict[str, DataFrame]:
+        return people.clean_people(
+            self.landed("tn"), f.form(self.spark, "tn"), self.spelling, self.regions, f.BRAND_WORDS, salt=1
+        )
+
+    @cached_property
+    def first(self) -> dict[str, DataFrame]:
+        data = groups.harmonize_groups(self.raw["og.data"], self.spelling, self.regions)
+        return groups.first_submissions(self.raw | {"og.data": data})
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return combine.combined_totals(self.first["og.data"], self.people["tn.data"])
+
+    @cached_property
+    def editions(self) -> Editions:
+        return Editions(self.spark, self.root, self.raw, self.people, self.regions, self.spelling)
 
 
 _SURVEYS: dict[tuple[str, str], Survey] = {}
@@ -223,7 +245,7 @@ def flow(key: str, sql: str):
             return plans.totals
         if key.startswith("raw."):
             return plans.raw[key.removeprefix("raw.")]
-        return (plans.first | plans.people)[key]
+        return plans.first[key] if key.startswith("og.") else plans.people[key]
 
     return query(CTES + sql, name="clean_" + key.replace(".long", "").replace(".", "_"))(run)
 
