@@ -27,6 +27,14 @@ CATALOG_COLUMNS = [
 ]
 
 
+def form_scale(df: DataFrame) -> list[Row]:
+    """Rows of a form's metadata on the driver; anything larger is an error."""
+    rows = df.limit(MAX_FORM_ROWS + 1).collect()
+    if len(rows) > MAX_FORM_ROWS:
+        raise ValueError(f"more than {MAX_FORM_ROWS} rows: not the metadata of one form")
+    return rows
+
+
 class QuestionError(LookupError):
     """A search found no question, or not exactly one."""
 
@@ -216,9 +224,7 @@ class Catalog:
 
 def load_catalog(meta: DataFrame, specs: Sequence[Question]) -> Catalog:
     """Search one form and check how many rows each question found."""
-    found = build_catalog(meta, specs).orderBy("ord").limit(MAX_FORM_ROWS + 1).collect()
-    if len(found) > MAX_FORM_ROWS:
-        raise ValueError(f"more than {MAX_FORM_ROWS} catalog rows: not a single form")
+    found = form_scale(build_catalog(meta, specs).orderBy("ord"))
     rows: dict[str, list[Row]] = {}
     for r in found:
         rows.setdefault(r["q_key"], []).append(r)
@@ -245,9 +251,7 @@ class Choices:
 
 
 def load_choices(choices: DataFrame) -> Choices:
-    rows = choices.orderBy("list_name", "ord").limit(MAX_FORM_ROWS + 1).collect()
-    if len(rows) > MAX_FORM_ROWS:
-        raise ValueError(f"more than {MAX_FORM_ROWS} choices: not a single form")
+    rows = form_scale(choices.orderBy("list_name", "ord"))
     lists: dict[str, list[tuple[str, str]]] = {}
     for r in rows:
         pairs = lists.setdefault(r["list_name"], [])

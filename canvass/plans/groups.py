@@ -14,6 +14,7 @@ from ..operators.catalog import (
     Catalog,
     Choices,
     Question,
+    form_scale,
     load_catalog,
     load_choices,
     matrix_cell_list,
@@ -60,7 +61,7 @@ class Form:
 def load_form(questions: DataFrame, choices: DataFrame, specs: Sequence[Question]) -> Form:
     """Search one form's metadata for the questions, options and matrix headers of a plan."""
     headers: dict[str, list[tuple[str, str]]] = {}
-    for r in matrix_headers(questions).orderBy("ord").collect():
+    for r in form_scale(matrix_headers(questions).orderBy("ord")):
         headers.setdefault(r["matrix"], []).append((r["name"], r["label"]))
     return Form(load_catalog(questions, specs), load_choices(choices), headers)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.catalog import MAX_FORM_ROWS
+from ..operators.catalog import form_scale
 from ..operators.clean import SYSTEM_NAMES, SYSTEM_PREFIXES, drop_system_columns
 from .forms import answer_schema
 
@@ -23,10 +23,7 @@ def found_columns(spark: SparkSession, path: str, fmt: str = "json") -> list[str
     if fmt != "json":
         return spark.read.option("mergeSchema", True).format(fmt).load(path).columns
     keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("key"))
-    rows = keys.distinct().limit(MAX_FORM_ROWS + 1).collect()
-    if len(rows) > MAX_FORM_ROWS:
-        raise ValueError(f"more than {MAX_FORM_ROWS} columns: not submissions of one form")
-    return sorted(r["key"] for r in rows)
+    return sorted(r["key"] for r in form_scale(keys.distinct()))
 
 
 def read_submissions(

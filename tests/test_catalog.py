@@ -81,6 +81,15 @@ def test_choices(spark):
         c.mapping_of(twice, ["l", "m"])
 
 
+def test_only_form_sized_tables_reach_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(c, "MAX_FORM_ROWS", 10)
+    assert len(c.form_scale(spark.range(10))) == 10
+    with pytest.raises(ValueError, match="not the metadata"):
+        c.form_scale(spark.range(11))
+    with pytest.raises(ValueError, match="not the metadata"):
+        c.load_choices(f.choice_table(spark))
+
+
 def test_mappings_and_ranks(spark):
     table = f.choice_table(spark)
     m = c.patch_mapping(c.extend_mapping(c.mapping_of(table, "yesno"), "x", "X"), "ja", "JA")
