@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from workload.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", NAMES)
