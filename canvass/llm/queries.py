@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.llm.pieces import piece_columns
+from canvass.llm.secret_scan import BASE, secret_spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,6 +31,26 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query()
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts, digest and list of the secrets of every document."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = secret_spans(docs)
+
+    def of(*kinds: str):
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE],
+        F.sha2(listed(of(*BASE)), 256).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
+    )
+
+
 @query()
 def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document, and what they decode to."""
