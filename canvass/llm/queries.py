@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canvass.llm.fingerprint import fingerprint_columns, paired_with_next
 from canvass.llm.pieces import piece_columns
 from canvass.llm.secret_scan import BASE, secret_spans
 
@@ -51,6 +52,24 @@ def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op9_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paired = paired_with_next(docs, "doc_id", "text", "next", ranges).withColumn("n_chars", F.length("text").cast("long"))
+    half = "int(n_chars div 2)"
+    edited = paired.withColumn("edited", F.expr(f"concat(left(text, int(n_chars) - {half}), left(next, {half}))"))
+    prints = fingerprint_columns(
+        edited, {"text": "fingerprint", "edited": "edited_fingerprint", "next": "next_fingerprint"},
+        likeness={"near_edited": ("fingerprint", "edited_fingerprint"), "near_next": ("fingerprint", "next_fingerprint")},
+    )
+    return prints.select(
+        "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 @query()
 def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document, and what they decode to."""
