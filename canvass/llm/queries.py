@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.llm.fingerprint import fingerprint_columns, paired_with_next
+from canvass.llm.language import held_out, learn_model, predict_languages
 from canvass.llm.pieces import piece_columns
 from canvass.llm.secret_scan import BASE, secret_spans
 
@@ -18,6 +19,11 @@ SQL: dict[str, str] = {}
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def piece_model() -> bytes:
+    with open(PIECES, "rb") as f:
+        return f.read()
+
+
 def query(sql: str | None = None) -> Callable:
     def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
         QUERIES[fn.__name__] = fn
@@ -32,6 +38,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query()
+def op6_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = learn_model(docs.where(~held_out()), piece_model(), "doc_id", "text", "lang")
+    told = predict_languages(docs.drop("lang"), model)
+    return told.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Counts, digest and list of the secrets of every document."""
