@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.llm.fingerprint import fingerprint_columns, paired_with_next
+from canvass.llm.jaccard import similar_rows
 from canvass.llm.language import held_out, learn_model, predict_languages
 from canvass.llm.pieces import piece_columns
 from canvass.llm.secret_scan import BASE, secret_spans
@@ -38,6 +39,43 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+  ), lambda w: w <> '') AS ws FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(CASE
+    WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))
+  END) AS s FROM split
+), classes AS (
+  SELECT min(doc_id) AS c, len(s) AS n, s FROM sets WHERE len(s) > 0 GROUP BY s
+), shingles AS (
+  SELECT c, n, unnest(s) AS t FROM classes
+), links AS (
+  SELECT a.c AS x, b.c AS y FROM shingles a JOIN shingles b ON a.t = b.t AND a.c <> b.c
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT c AS x, c AS y FROM classes
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), component AS (
+  SELECT x AS c, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(k.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON s.s = c.s LEFT JOIN component k ON k.c = c.c
+"""
+
+
+@query(JACCARD_SQL)
+def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Component of every document under links of at least 0.85 on 4-word shingles."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rows = similar_rows(docs, size=4, part=85, whole=100)
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
 @query()
 def op6_language(spark: SparkSession, sf: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
