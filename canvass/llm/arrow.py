@@ -1,4 +1,4 @@
-"""Row functions over Arrow batches, and the folder that executors share."""
+"""Row functions over Arrow batches, the folder that executors share, and small tables."""
 
 from __future__ import annotations
 
@@ -8,19 +8,33 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-# A row function gets the values of the asked columns and returns the new values.
+# Rows whose results are held at a time.
+SLICE = 512
+
+# A row function gets the values of the asked columns and returns the new values; a slice
+# function gets a list for each asked column and returns the new values of each row.
 RowFunction = Callable[..., tuple]
+SliceFunction = Callable[..., list[tuple]]
+
+
+def by_row(make: Callable[[], RowFunction]) -> Callable[[], SliceFunction]:
+    def make_slice() -> SliceFunction:
+        row = make()
+        return lambda *columns: [row(*values) for values in zip(*columns)]
+
+    return make_slice
 
 
 def add_columns(
-    df: DataFrame, inputs: list[str], fields: list[StructField], make: Callable[[], RowFunction]
+    df: DataFrame, inputs: list[str], fields: list[StructField], make: Callable[[], SliceFunction]
 ) -> DataFrame:
-    """`df` with new columns; `make` builds the row function once in each task.
+    """`df` with new columns; `make` builds the slice function once in each task.
 
-    Rows are handled one by one, so that a task holds one Arrow batch of texts
-    and the results of it.  A new column replaces one of the same name.
+    A task holds one Arrow batch of texts, and values and results of a slice of it.  A new
+    column replaces one of the same name.
     """
     hidden = [f"__in_{i}" for i in range(len(inputs))]
     clashing = {f.name.lower() for f in fields}
@@ -32,12 +46,11 @@ def add_columns(
         from pyspark.sql.pandas.types import to_arrow_type
 
         kinds = [to_arrow_type(f.dataType) for f in fields]
-        row = make()
-        for batch in batches:
-            own = batch.columns[len(kept):]
-            out = [row(*[c[i].as_py() for c in own]) for i in range(batch.num_rows)]
+        function = make()
+        for part in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+            out = function(*[c.to_pylist() for c in part.columns[len(kept) :]])
             made = [pa.array([o[k] for o in out], type=kind) for k, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *made], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *made], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -56,3 +69,12 @@ def prepare_checkpoints(spark: SparkSession) -> None:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = os.path.join(tempfile.mkdtemp(prefix="run-"), "checkpoints")
     context.setCheckpointDir(folder)
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """`df` marked for a broadcast if its rows, counted now, stay within Spark's own limit; else as it is.
+
+    For checkpointed tables, whose size Spark does not know when it plans.
+    """
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField
 
-from canvass.llm.arrow import add_columns
+from canvass.llm.arrow import add_columns, by_row
 
 IDENTITY = 8
 SKETCH = 512
@@ -155,7 +155,7 @@ def fingerprint_columns(
         return row
 
     fields = [*[StructField(n, StringType()) for n in names], *[StructField(n, DoubleType()) for n in likeness or {}]]
-    return add_columns(df, list(columns), fields, make)
+    return add_columns(df, list(columns), fields, by_row(make))
 
 
 def paired_with_next(df: DataFrame, id_col: str, value: str, into: str, buckets: int) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField
 
-from canvass.llm.arrow import add_columns, prepare_checkpoints
+from canvass.llm.arrow import add_columns, by_row, prepare_checkpoints, small
 from canvass.llm.graph import components
 
 # Factors of the orders: shingles are sorted by their hash times the factor.
@@ -114,7 +114,7 @@ def classes_of(df: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
 
     source = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
     fields = [StructField("n", IntegerType()), StructField("key", BinaryType()), StructField("ref", LongType())]
-    return add_columns(source, ["text"], fields, make).drop("text")
+    return add_columns(source, ["text"], fields, by_row(make)).drop("text")
 
 
 def shingle_rows(df: DataFrame, text: str, size: int) -> DataFrame:
@@ -130,7 +130,7 @@ def shingle_rows(df: DataFrame, text: str, size: int) -> DataFrame:
         return row
 
     fields = [StructField("key", BinaryType()), StructField("n", IntegerType()), StructField("shingles", BinaryType())]
-    return add_columns(df.select(F.col(text).alias("text")), ["text"], fields, make).drop("text").where("n > 0")
+    return add_columns(df.select(F.col(text).alias("text")), ["text"], fields, by_row(make)).drop("text").where("n > 0")
 
 
 def reference(key: bytes) -> int:
@@ -335,8 +335,8 @@ def class_links(df: DataFrame, classes: DataFrame, id_col: str, text: str, size:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     refs = supported(df, text, size, limit, parts)
     shared = classes.where("n > 0").groupBy("key", "ref").agg(F.min("id").alias("id")).join(refs, "ref", "left_semi")
-    chosen = shared.select("id").distinct().checkpoint()
-    texts = df.join(chosen, df[id_col].eqNullSafe(chosen["id"]), "left_semi")
+    chosen = small(shared.select(F.col("id").alias("chosen")).distinct().checkpoint(), 16)
+    texts = df.join(chosen, df[id_col].eqNullSafe(F.col("chosen")), "left_semi")
     sets = shingle_rows(texts, text, size).groupBy("key").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")).checkpoint()
     rows = prefix_rows(sets, limit)
     heads = rows.groupBy("shingle").agg(F.min("key").alias("head"), F.count("*").alias("m")).where("m > 1").drop("m")
@@ -392,10 +392,10 @@ def keep_one_of_each(
     dropped = rows.where("n > 0").join(
         kept.select(F.col("id").alias("kid"), F.col("digest").alias("kdigest")),
         F.col("id").eqNullSafe(F.col("kid")) & (F.col("digest") == F.col("kdigest")), "left_anti",
-    ).select("id", "digest").distinct()
+    ).select("id", "digest").distinct().checkpoint()
     digest = F.xxhash64(text)
     left = docs.withColumn("__digest", digest).join(
-        dropped, docs[id_col].eqNullSafe(dropped["id"]) & (F.col("__digest") == dropped["digest"]), "left_anti"
+        small(dropped, 24), docs[id_col].eqNullSafe(dropped["id"]) & (F.col("__digest") == dropped["digest"]), "left_anti"
     )
     # rows that repeat both id and text
     number = F.row_number().over(Window.partitionBy(id_col, "__digest").orderBy(F.xxhash64(*docs.columns)))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from canvass.llm.arrow import add_columns, prepare_checkpoints
+from canvass.llm.arrow import SliceFunction, add_columns, prepare_checkpoints
 
 MARK = "▁"
 WORD = re.compile(r"[^\W\d_]{1,64}")
@@ -132,7 +132,7 @@ class Scorer:
 
     def clear(self) -> None:
         self.places: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.model.languages)))
+        self.scores = np.zeros((CACHED_WORDS, len(self.model.languages)))
 
     def score_words(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.model.languages)))
@@ -146,21 +146,29 @@ class Scorer:
         scores = np.zeros((len(words), len(self.model.languages)))
         real = [i for i, w in enumerate(letters) if w]
         scores[real] = self.score_words([letters[i] for i in real])
-        self.places.update((w, len(self.scores) + i) for i, w in enumerate(words))
-        self.scores = np.vstack([self.scores, scores])
+        at = len(self.places)
+        if at + len(words) > len(self.scores):
+            self.scores = np.vstack([self.scores, np.zeros((len(words), scores.shape[1]))])
+        self.scores[at : at + len(words)] = scores
+        self.places.update((w, at + i) for i, w in enumerate(words))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The likeliest language and its posterior probability; the alphabetically first among equals."""
-        words = words_of(text or "")
-        if not self.model.languages or not any(map(str.isalpha, "".join(words))):
-            return UNDETERMINED, 0.0
-        places = self.places
-        new = [w for w in set(words) if w not in places]
+        split = [words_of(t or "") for t in texts]
+        if not self.model.languages:
+            return [(UNDETERMINED, 0.0)] * len(texts)
+        new = {w for words in split for w in words if w not in self.places}
         if new:
-            if len(places) + len(new) > CACHED_WORDS:
+            if len(self.places) + len(new) > CACHED_WORDS:
                 self.clear()
-                places, new = self.places, list(set(words))
-            self.learn(new)
+                new = {w for words in split for w in words}
+            self.learn(list(new))
+        return [self.best(words) for words in split]
+
+    def best(self, words: list[str]) -> tuple[str, float]:
+        if not any(map(str.isalpha, "".join(words))):
+            return UNDETERMINED, 0.0
+        places = self.places
         total = self.scores[[places[w] for w in words]].sum(axis=0) + np.log(self.model.shares)
         best = int(np.argmax(total))
         return self.model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
@@ -252,7 +260,7 @@ def predict_languages(df: DataFrame, model: Model, text: str = "text", into: str
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def make() -> Callable[[str | None], tuple]:
+    def make() -> SliceFunction:
         if not LAST or LAST[0].model is not shared.value:
             LAST[:] = [Scorer(shared.value)]
         return LAST[0].predict

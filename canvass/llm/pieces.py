@@ -16,17 +16,16 @@ import heapq
 import re
 import sys
 from array import array
-from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
-from canvass.llm.arrow import add_columns
+from canvass.llm.arrow import SliceFunction, add_columns
 
 MARK = "▁"
 # Chunks kept with their ids in one task; the table is emptied beyond it.
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 1_000_000
 # Up to so many symbols the agenda is a plain list; searching it is then cheaper than a heap.
 SHORT = 48
 
@@ -135,36 +134,50 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids without begin and end."""
-        if not text:
-            return b""
-        words = text.split(" ")
-        if "" in words or MARK in text:
-            words = [c[1:] for c in CHUNK.findall(MARK + text.replace(" ", MARK))]
+        split = [self.words(t) for t in texts]
         known = self.known
-        new = [w for w in set(words) if w not in known]
+        new = {w for words in split for w in words if w not in known}
         if new:
             if len(known) + len(new) > CACHED_CHUNKS:
                 known.clear()
                 self.parts.clear()
-                new = list(set(words))
-            self.learn(new)
-        return b"".join([known[w] for w in words])
+                new = {w for words in split for w in words}
+            self.learn(list(new))
+        return [b"".join([known[w] for w in words]) for words in split]
+
+    @staticmethod
+    def words(text: str) -> list[str]:
+        words = text.split(" ") if text else []
+        if "" in words or MARK in text:
+            words = [c[1:] for c in CHUNK.findall(MARK + text.replace(" ", MARK))]
+        return words
 
     def learn(self, words: list[str]) -> None:
-        parts, vocabulary = self.parts, self.vocabulary
-        for told, w in zip(self.processor.encode([w.replace(MARK, " ") for w in words], num_threads=1), words):
+        parts, vocabulary, known = self.parts, self.vocabulary, self.known
+        for w in words:
             own = []
-            for part in vocabulary.cut(MARK + w):
+            # most words are letters alone, which few cuts would divide
+            for part in (MARK + w,) if w.isalpha() else vocabulary.cut(MARK + w):
                 ids = parts.get(part)
                 if ids is None:
                     ids = parts[part] = vocabulary.encode_part(part)
                 own.append(ids)
-            self.known[w] = ids = b"".join(own)
-            # the library gives nothing at all for an empty text
-            if w and ids != packed(array("I", told)):
-                raise ValueError(f"encoding of {w!r} differs from the library: {unpacked(ids)} and {told}")
+            known[w] = b"".join(own)
+        plain = [w for w in words if w and w[0] != MARK]
+        self.check(" ".join(plain), plain)
+        for w in words:
+            if w[:1] == MARK:
+                self.check(w.replace(MARK, " "), [w])
+
+    def check(self, text: str, words: list[str]) -> None:
+        if words and b"".join([self.known[w] for w in words]) != packed(array("I", self.processor.encode(text))):
+            for w in words:
+                told = self.processor.encode(w.replace(MARK, " "))
+                if unpacked(self.known[w]) != told:
+                    raise ValueError(f"encoding of {w!r} differs from the library: {unpacked(self.known[w])} and {told}")
+            raise ValueError("the encoding of words together differs from the library")
 
 
 # One encoder for each vocabulary and Python worker, so that its tables outlive a task.
@@ -195,17 +208,17 @@ def piece_columns(
     with open(model, "rb") as f:
         shared = df.sparkSession.sparkContext.broadcast(f.read())
 
-    def make() -> Callable[[str | None], tuple]:
+    def make() -> SliceFunction:
         encoder = encoder_of(shared.value)
         processor = encoder.processor
         head = packed(array("I", [processor.bos_id()] if begin else []))
         tail = packed(array("I", [processor.eos_id()] if end else []))
 
-        def row(value: str | None) -> tuple:
-            ids = head + encoder.encode(value or "") + tail
-            return ids, len(ids) // 4, processor.decode(unpacked(ids))
+        def encode(values: list[str | None]) -> list[tuple]:
+            found = [head + ids + tail for ids in encoder.encode([v or "" for v in values])]
+            return [(ids, len(ids) // 4, processor.decode(unpacked(ids))) for ids in found]
 
-        return row
+        return encode
 
     fields = [StructField("token_ids", BinaryType()), StructField("n_tokens", LongType()), StructField("decoded", StringType())]
     return add_columns(df, [text], fields, make)

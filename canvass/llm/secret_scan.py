@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from canvass.llm.arrow import add_columns
+from canvass.llm.arrow import add_columns, by_row
 
 DIGITS62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -146,7 +146,7 @@ def secret_spans(df: DataFrame, text: str = "text", into: str = "secrets") -> Da
         scanner = Scanner()
         return lambda value: ([dict(zip(("kind", "start", "end"), s)) for s in scanner.spans(value or "")],)
 
-    return add_columns(df, [text], [StructField(into, SPANS)], make)
+    return add_columns(df, [text], [StructField(into, SPANS)], by_row(make))
 
 
 def redact_secrets(df: DataFrame, text: str = "text", size: str = "n_chars") -> DataFrame:
@@ -168,4 +168,4 @@ def redact_secrets(df: DataFrame, text: str = "text", size: str = "n_chars") ->
         return row
 
     names = [text, size] if counted else [text]
-    return add_columns(df, names, [kinds[n] for n in names], make).select(*[f"`{c}`" for c in df.columns])
+    return add_columns(df, names, [kinds[n] for n in names], by_row(make)).select(*[f"`{c}`" for c in df.columns])
