@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -71,10 +72,15 @@ def prepare_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
-def small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """`df` marked for a broadcast if its rows, counted now, stay within Spark's own limit; else as it is.
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder and read again, which cuts its lineage and tells Spark its size."""
+    spark = df.sparkSession
+    prepare_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    For checkpointed tables, whose size Spark does not know when it plans.
-    """
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+def small(df: DataFrame, row_bytes: int, limit: int = 8 << 20) -> DataFrame:
+    """`df` marked for a broadcast if its rows, counted now, take `limit` bytes at most; else as it is, to be shuffled."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df

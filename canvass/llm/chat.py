@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from canvass.llm.arrow import prepare_checkpoints
+from canvass.llm.arrow import stored
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 LEARNED = "assistant"
@@ -46,11 +46,10 @@ def both(a: DataFrame, b: DataFrame, node: str, other: str) -> Column:
 
 def branches(nodes: DataFrame) -> DataFrame:
     """Columns tree, leaf, node, up: for every leaf all nodes on its path, `up` steps above it."""
-    prepare_checkpoints(nodes.sparkSession)
-    edges = nodes.select("tree", "node", "parent").checkpoint()
+    edges = stored(nodes.select("tree", "node", "parent"))
     # parents that are there and come before their replies
     known = edges.select(F.col("tree").alias("t"), F.col("node").alias("above"))
-    jump = edges.where("parent < node").join(known, both(edges, known, "parent", "above")).select("tree", "node", "above").checkpoint()
+    jump = stored(edges.where("parent < node").join(known, both(edges, known, "parent", "above")).select("tree", "node", "above"))
     replied = jump.select(F.col("tree").alias("t"), F.col("above").alias("r")).distinct()
     paths = edges.join(replied, both(edges, replied, "node", "r"), "left_anti").select(
         "tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")
@@ -58,10 +57,9 @@ def branches(nodes: DataFrame) -> DataFrame:
     reach = 1
     while not jump.isEmpty():
         step = jump.select(F.col("tree").alias("t"), F.col("node").alias("from"), F.col("above").alias("to"))
-        paths = paths.unionByName(
-            paths.join(step, both(paths, step, "node", "from")).select("tree", "leaf", F.col("to").alias("node"), (F.col("up") + reach).alias("up"))
-        ).checkpoint()
-        jump = jump.join(step, both(jump, step, "above", "from")).select("tree", "node", F.col("to").alias("above")).checkpoint()
+        higher = paths.join(step, both(paths, step, "node", "from"))
+        paths = stored(paths.unionByName(higher.select("tree", "leaf", F.col("to").alias("node"), (F.col("up") + reach).alias("up"))))
+        jump = stored(jump.join(step, both(jump, step, "above", "from")).select("tree", "node", F.col("to").alias("above")))
         reach *= 2
     return paths
 

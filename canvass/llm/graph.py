@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.llm.arrow import prepare_checkpoints
+from canvass.llm.arrow import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,10 +13,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     The root is the smallest node of the component.  Each round hangs larger neighbours of a node on its
     smallest neighbour, and then smaller ones; the number of rounds grows with the logarithm of
-    the longest path.  Every round is checkpointed.  Edges with a null, loops and repeated edges do not matter.
+    the longest path.  Every round is written to the shared folder.  Edges with a null, loops and repeated edges do not matter.
     """
-    prepare_checkpoints(edges.sparkSession)
-    stars = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    stars = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         ).select("e.a", "e.b").where("a <> b").distinct()
-        stars = small.checkpoint()
+        stars = stored(small)
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

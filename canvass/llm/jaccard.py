@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField
 
-from canvass.llm.arrow import add_columns, by_row, prepare_checkpoints, small
+from canvass.llm.arrow import add_columns, by_row, small, stored
 from canvass.llm.graph import components
 
 # Factors of the orders: shingles are sorted by their hash times the factor.
@@ -335,18 +335,19 @@ def class_links(df: DataFrame, classes: DataFrame, id_col: str, text: str, size:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     refs = supported(df, text, size, limit, parts)
     shared = classes.where("n > 0").groupBy("key", "ref").agg(F.min("id").alias("id")).join(refs, "ref", "left_semi")
-    chosen = small(shared.select(F.col("id").alias("chosen")).distinct().checkpoint(), 16)
+    chosen = small(stored(shared.select(F.col("id").alias("chosen")).distinct()), 16)
     texts = df.join(chosen, df[id_col].eqNullSafe(F.col("chosen")), "left_semi")
-    sets = shingle_rows(texts, text, size).groupBy("key").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")).checkpoint()
+    sets = stored(shingle_rows(texts, text, size).groupBy("key").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")))
     rows = prefix_rows(sets, limit)
     heads = rows.groupBy("shingle").agg(F.min("key").alias("head"), F.count("*").alias("m")).where("m > 1").drop("m")
-    joined = rows.join(heads, "shingle").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
-    groups = components(joined)
-    members = sets.join(groups.withColumnRenamed("node", "key"), "key")
-    weights = groups.withColumnRenamed("node", "key").join(sets.select("key", "n"), "key").groupBy("root").agg(
-        F.ceil(F.sum(F.col("n") + MEMBER) / BLOCK).cast("int").alias("blocks")
-    )
-    dealt = members.join(weights, "root").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    # a class meets the smallest class of each of its shingles; these meet each other here, so that few edges remain
+    met = rows.join(heads, "shingle").groupBy("key").agg(F.collect_set("head").alias("heads"))
+    edges = met.select(F.explode(F.array_append("heads", F.col("key"))).alias("a"), F.array_min("heads").alias("b"))
+    groups = components(edges).withColumnRenamed("node", "key")
+    sized = groups.join(sets.select("key", "n"), "key")
+    weights = sized.groupBy("root").agg(F.ceil(F.sum(F.col("n") + MEMBER) / BLOCK).cast("int").alias("blocks"))
+    plan = stored(groups.join(weights, "root").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
+    dealt = sets.join(small(plan, 64), "key")
     units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "shingles"
     )
@@ -364,10 +365,9 @@ def similar_rows(
     Repeated rows and texts are linked with each other.  Rows with a null id are
     linked like others; the component of rows with null ids only is null.  An empty table gives no rows.
     """
-    prepare_checkpoints(df.sparkSession)
     limit = Threshold(part, whole)
-    classes = classes_of(df, id_col, text, size).checkpoint()
-    links = class_links(df, classes, id_col, text, size, limit).checkpoint()
+    classes = stored(classes_of(df, id_col, text, size))
+    links = stored(class_links(df, classes, id_col, text, size, limit))
     roots = components(links).withColumnRenamed("node", "key")
     first = classes.where("n > 0").groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("m"))
     smallest = first.join(roots, "key").groupBy("root").agg(F.min("first").alias("smallest"))
@@ -389,10 +389,11 @@ def keep_one_of_each(
     rows = similar_rows(docs, id_col, text, size, part, whole).withColumn("group", F.coalesce("root", "key"))
     best = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("best")
     kept = rows.where("n > 0").groupBy("group").agg(best).select("best.id", "best.digest")
-    dropped = rows.where("n > 0").join(
+    others = rows.where("n > 0").join(
         kept.select(F.col("id").alias("kid"), F.col("digest").alias("kdigest")),
         F.col("id").eqNullSafe(F.col("kid")) & (F.col("digest") == F.col("kdigest")), "left_anti",
-    ).select("id", "digest").distinct().checkpoint()
+    )
+    dropped = stored(others.select("id", "digest").distinct())
     digest = F.xxhash64(text)
     left = docs.withColumn("__digest", digest).join(
         small(dropped, 24), docs[id_col].eqNullSafe(dropped["id"]) & (F.col("__digest") == dropped["digest"]), "left_anti"

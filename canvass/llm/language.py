@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from canvass.llm.arrow import SliceFunction, add_columns, prepare_checkpoints
+from canvass.llm.arrow import SliceFunction, add_columns, stored
 
 MARK = "▁"
 WORD = re.compile(r"[^\W\d_]{1,64}")
@@ -209,8 +209,7 @@ def learn_model(df: DataFrame, vocabulary: bytes, id_col: str, text: str, lang:
         return Model([], np.zeros(0), chances, vocabulary)
     part = F.create_map(*[F.lit(x) for r in rows for x in (r.lang, min(1.0, sample / r["count"]))])
     draw = F.pmod(F.xxhash64(F.lit("language sample"), F.col(id_col)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    prepare_checkpoints(spark)
-    counts = word_counts(labelled.where(draw < F.element_at(part, F.col(lang))), text, lang).checkpoint()
+    counts = stored(word_counts(labelled.where(draw < F.element_at(part, F.col(lang))), text, lang))
     number = {k: i for i, k in enumerate(languages)}
     for _ in range(ROUNDS):
         totals = np.full_like(chances, SMOOTHING)

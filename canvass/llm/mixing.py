@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from canvass.llm.arrow import prepare_checkpoints, small
+from canvass.llm.arrow import small, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 # Words of a source in one block, in expectation.
@@ -92,7 +92,7 @@ def find_exponent(sizes: DataFrame, target: Target) -> float:
 
 def weigh(rows: DataFrame, target: Target) -> DataFrame:
     """Columns source, tokens, weight, epochs (with a fraction): one row for each source with tokens."""
-    sums = rows.groupBy("source").agg(F.sum("tokens").alias("tokens")).where("tokens > 0").checkpoint()
+    sums = stored(rows.groupBy("source").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"))
     total = sums.agg(F.sum("tokens")).first()[0] or 0
     sizes = sums.select("source", "tokens", F.log(F.col("tokens") / F.lit(float(total or 1))).alias("x"), F.lit(float(total)).alias("total"))
     exponent = find_exponent(sizes, target)
@@ -122,18 +122,17 @@ def mixture(
     a row that is repeated in `docs` is repeated in each.  The last epoch of a source
     stops before the budget is exceeded.  An empty table gives no rows; columns named like a result are replaced.
     """
-    prepare_checkpoints(docs.sparkSession)
-    rows = token_rows(docs, id_col, text, source).checkpoint()
+    rows = stored(token_rows(docs, id_col, text, source))
     weights = weigh(rows, target)
     # rounding must not lose the epoch that a source has in full
     whole = F.floor(F.col("epochs") + F.lit(1e-6)).cast("int")
     plan = weights.select(
         F.col("source").alias("s"), F.col("tokens").alias("size"), "weight", F.greatest("epochs", whole).alias("epochs"), whole.alias("whole"),
     ).withColumn("rest", F.floor((F.col("epochs") - F.col("whole")) * F.col("size")).cast("long"))
-    few = small(plan.checkpoint(), 64)
+    few = small(stored(plan), 64)
     dealt = rows.join(few, F.col("source").eqNullSafe(F.col("s"))).withColumn("block", block_of(F.col("id"), F.col("digest"), F.col("size")))
     blocks = dealt.groupBy("s", "block", "whole", "rest").agg(F.sum("tokens").alias("tokens"))
-    blocks = blocks.withColumn("o", draw(seed, "s", "whole", "block")).withColumn("chunk", F.expr(f"cast(o div {2**62 // CHUNKS} as int)")).checkpoint()
+    blocks = stored(blocks.withColumn("o", draw(seed, "s", "whole", "block")).withColumn("chunk", F.expr(f"cast(o div {2**62 // CHUNKS} as int)")))
     # tokens before each block: before its chunk, and in its chunk
     by_chunk = Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = blocks.groupBy("s", "chunk").agg(F.sum("tokens").alias("t")).select(
@@ -145,16 +144,16 @@ def mixture(
     )
     end = F.col("begin") + F.col("tokens")
     last = F.when((end <= F.col("rest")) & (F.col("rest") > 0), 1).when(F.col("begin") < F.col("rest"), 2).otherwise(0)
-    ends = begun.select(F.col("s").alias("bs"), F.col("block").alias("bb"), "begin", last.alias("last")).checkpoint()
+    ends = stored(begun.select(F.col("s").alias("bs"), F.col("block").alias("bb"), "begin", last.alias("last")))
 
     # documents of the one block of a source in which its budget ends; repeated rows go together
     cut = dealt.join(small(ends.where("last = 2"), 64), F.col("s").eqNullSafe(F.col("bs")) & (F.col("block") == F.col("bb")))
     cut = cut.groupBy("s", "block", "whole", "begin", "rest", "id", "digest").agg(F.sum("tokens").alias("tokens"))
     in_block = Window.partitionBy("s", "block").orderBy(draw(seed, "id", "digest", "whole"), "id", "digest")
     stop = F.col("begin") + F.sum("tokens").over(in_block.rowsBetween(Window.unboundedPreceding, 0))
-    extra = cut.withColumn("stop", stop).where("stop <= rest").select(
+    extra = stored(cut.withColumn("stop", stop).where("stop <= rest").select(
         F.col("s").alias("xs"), F.col("id").alias("xi"), F.col("digest").alias("xd"), F.lit(True).alias("fits")
-    ).checkpoint()
+    ))
     named = {c.lower() for c in ("epoch", "progress", "weight")}
     kept = [c for c in docs.columns if c.lower() not in named]
     own = docs.select(F.struct(*[f"`{c}`" for c in kept]).alias("row"), F.col(id_col).alias("id"), F.col(source).alias("source"), F.xxhash64(text).alias("digest"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField
 
-from canvass.llm.arrow import SLICE, add_columns, by_row, prepare_checkpoints, small
+from canvass.llm.arrow import SLICE, add_columns, by_row, small, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Letters in a word that the vocabulary may have; longer runs are no words.
@@ -132,7 +132,6 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", html: str
     by the shares of the learned verdicts alone.  Null and empty pages teach no words.  Repeated rows
     count and are judged alike.  An empty table gives no rows; columns named like a result are replaced.
     """
-    prepare_checkpoints(pages.sparkSession)
     clashing = {"host", "path", "rule", "verdict", "score"}
     kept = [c for c in pages.columns if c.lower() not in clashing]
     host, path = host_and_path(pages[url])
@@ -144,25 +143,25 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", html: str
     })
     # urls with the same names
     alike = parts.groupBy("__names").agg(F.count_if(F.col("__told") == "allow").alias("allow"), F.count_if(F.col("__told") == "block").alias("block"))
-    alike = alike.withColumnRenamed("__names", "names").checkpoint()
+    alike = stored(alike.withColumnRenamed("__names", "names"))
     tokens = alike.select("names", "allow", "block", F.explode("names").alias("t")).select(
         "names", "allow", "block", F.substring("t", 1, 2).alias("kind"), F.substring("t", 3, 2**30).alias("name")
     )
     letters = tokens.where(~F.startswith("name", F.lit("#"))).select("name").distinct()
-    words = segmented(letters, page_words(pages, html).checkpoint()).withColumnRenamed("name", "cut").checkpoint()
+    words = stored(segmented(letters, stored(page_words(pages, html))).withColumnRenamed("name", "cut"))
     spelled = tokens.join(small(words, 128), F.col("name") == F.col("cut"), "left").select(
         "names", "allow", "block", F.explode(F.coalesce("words", F.array("name"))).alias("word"), "kind"
     ).withColumn("token", F.concat("kind", "word"))
-    counts = spelled.groupBy("token").agg(F.sum("allow").alias("a"), F.sum("block").alias("b")).where("a + b > 0").checkpoint()
+    counts = stored(spelled.groupBy("token").agg(F.sum("allow").alias("a"), F.sum("block").alias("b")).where("a + b > 0"))
     kinds, a, b = counts.agg(F.count("*"), F.sum("a"), F.sum("b")).first()
     allowed, blocked = alike.agg(F.sum("allow"), F.sum("block")).first()
     odds = F.log((F.col("a") + 1) / F.lit((a or 0) + kinds)) - F.log((F.col("b") + 1) / F.lit((b or 0) + kinds))
     prior = math.log(((allowed or 0) + 1) / ((blocked or 0) + 1))
     learned = counts.select(F.col("token").alias("known"), odds.alias("odds"))
     sums = spelled.join(small(learned, 64), F.col("token") == F.col("known")).groupBy("names").agg(F.sum("odds").alias("odds"))
-    scores = alike.select(F.col("names").alias("n")).join(sums, F.col("n") == F.col("names"), "left").select(
+    scores = stored(alike.select(F.col("names").alias("n")).join(sums, F.col("n") == F.col("names"), "left").select(
         "n", F.round(F.lit(prior) + F.coalesce("odds", F.lit(0.0)), 9).alias("score")
-    ).checkpoint()
+    ))
     judged = parts.join(small(scores, 256), F.col("__names") == F.col("n"), "left")
     own = F.when(F.col("score") >= 0, "allow").otherwise("block")
     return judged.select(*[F.col(f"`{c}`") for c in kept], "host", "path", "rule", F.coalesce("__told", own).alias("verdict"), "score")
