@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from canvass.llm.language import held_out, learn_model, predict_languages
 from canvass.llm.mixing import WORDS, Target, mixture
 from canvass.llm.pieces import piece_columns
 from canvass.llm.secret_scan import BASE, secret_spans
+from canvass.llm.sharding import shard_rows
 from canvass.llm.urls import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +94,32 @@ def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
+SHARD_BYTES = 1 << 20
+
+SHARD_SQL = f"""
+WITH rows AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS bytes,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents
+), buckets AS (
+  SELECT d, h >> (60 - d) AS p, sum(bytes) AS bytes, count(*) AS n, min(h) = max(h) AS one
+  FROM rows, range(0, 61) r(d) GROUP BY 1, 2
+), ends AS (
+  SELECT h, min(d) AS depth FROM (SELECT DISTINCT h FROM rows) JOIN buckets ON p = h >> (60 - d)
+  WHERE bytes <= {SHARD_BYTES} OR one OR d = 60 GROUP BY h
+)
+SELECT r.doc_id, CASE WHEN e.depth = 0 THEN '' ELSE right(CAST(CAST(b.p AS BIT) AS VARCHAR), CAST(e.depth AS INTEGER)) END AS shard,
+  CAST(e.depth AS INTEGER) AS depth, CAST(b.bytes AS BIGINT) AS shard_bytes, b.n AS shard_rows, b.bytes <= {SHARD_BYTES} AS fits
+FROM rows r JOIN ends e USING (h) JOIN buckets b ON b.d = e.depth AND b.p = r.h >> (60 - e.depth)
+"""
+
+
+@query(SHARD_SQL)
+def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Shard of every document, of 1 MiB of text at most."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return shard_rows(docs, SHARD_BYTES).drop("text")
+
+
 CHAT_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -192,3 +220,8 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
