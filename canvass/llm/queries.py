@@ -15,6 +15,7 @@ from canvass.llm.jaccard import similar_rows
 from canvass.llm.language import held_out, learn_model, predict_languages
 from canvass.llm.mixing import WORDS, Target, mixture
 from canvass.llm.pieces import piece_columns
+from canvass.llm.search import search
 from canvass.llm.secret_scan import BASE, secret_spans
 from canvass.llm.sharding import shard_rows
 from canvass.llm.urls import Rule, judge_urls
@@ -193,6 +194,33 @@ def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+SEARCH_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+'
+  )) AS t FROM documents
+), tf AS (SELECT doc_id, t, count(*) AS n FROM words GROUP BY ALL
+), len AS (SELECT doc_id, sum(n) AS dl FROM tf GROUP BY doc_id
+), whole AS (SELECT (SELECT count(*) FROM documents) AS total, (SELECT count(*) FROM words) / (SELECT count(*) FROM documents) AS mean
+), idf AS (SELECT t, ln(1 + (any_value(total) - count(*) + 0.5) / (count(*) + 0.5)) AS w FROM tf, whole GROUP BY t
+), scored AS (
+  SELECT q.doc_id AS query_id, d.doc_id, round(sum(d.n * 2.2 / (d.n + 1.2 * (0.25 + 0.75 * dl / mean)) * w), 9) AS score
+  FROM tf q JOIN tf d USING (t) JOIN idf USING (t) JOIN len ON len.doc_id = d.doc_id, whole
+  WHERE q.doc_id % 50 = 0 GROUP BY 1, 2
+)
+SELECT query_id, doc_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, round(score, 6) AS score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+@query(SEARCH_SQL)
+def op8_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten best documents for the text of every fiftieth."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = search(docs, docs.where("doc_id % 50 = 0"), 10)
+    return found.withColumn("score", F.round("score", 6))
+
+
 @query()
 def op9_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
