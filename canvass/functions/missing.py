@@ -30,7 +30,8 @@ def to_double(c: str | Column) -> Column:
     """Text to double; anything that is not a finite decimal number becomes NULL."""
     c = as_col(c).cast("string")
     last = F.lower(F.substring(F.trim(c, F.lit(" \t\r\n")), -1, 1))
-    return F.when(~last.isin(*_JAVA_ENDINGS), c).try_cast("double")
+    number = F.when(~last.isin(*_JAVA_ENDINGS), c).try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def to_int(c: str | Column) -> Column:

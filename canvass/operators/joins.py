@@ -1,7 +1,6 @@
 """Recoding, lookups and entity filters.
 
-No join here carries a broadcast hint.  Dimensions that arrive as Python
-mappings are small by construction and become literals; for DataFrames Spark's
+No join here carries a broadcast hint.  Python mappings become literals; for DataFrames Spark's
 own size limit (spark.sql.autoBroadcastJoinThreshold, at plan time and again at
 run time under adaptive execution) decides between broadcast and shuffle, and
 the shuffle path splits hot keys.
@@ -9,21 +8,14 @@ the shuffle path splits hot keys.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.local import local_table
 from ..functions.missing import as_col, quoted
 
-# pattern lists up to this length are compiled into the plan
-PLAN_PATTERNS = 1000
-# mappings up to this size are looked up as a literal map, larger ones are joined
-LITERAL_CODES = 128
-
 
 class DuplicateKeys(ValueError):
     """A lookup table holds a key twice and would multiply rows."""
@@ -37,12 +29,6 @@ def unique_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return dim
 
 
-def same(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> Column:
-    """Join condition in which NULL matches NULL (still an equi-join for Spark)."""
-    tests = [left[f"`{a}`"].eqNullSafe(right[f"`{b}`"]) for a, b in keys.items()]
-    return reduce(lambda x, y: x & y, tests)
-
-
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -64,17 +50,27 @@ def lookup(
     return joined.drop(*renamed.values())
 
 
-def code_label(c: str | Column, mapping: Mapping[str, str]) -> Column:
-    """Label of a code; an unknown code gives NULL."""
-    if not mapping:
-        return F.lit(None).cast("string")
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.try_element_at(table, as_col(c))
+def code_label(
+    c: str | Column, mapping: Mapping[str | None, str], null_safe: bool = False
+) -> Column:
+    """Label of a code, compared as text; an unknown code gives NULL.
+
+    The label of None is that of a missing code, and only used with `null_safe`.
+    """
+    code = as_col(c).cast("string")
+    known = {str(k): v for k, v in mapping.items() if k is not None}
+    label = F.lit(None).cast("string")
+    if known:
+        table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+        label = F.try_element_at(table, code)
+    if null_safe and None in mapping:
+        label = F.when(code.isNull(), F.lit(mapping[None])).otherwise(label)
+    return label
 
 
 def recode(
     df: DataFrame,
-    mapping: Mapping[str, str] | DataFrame,
+    mapping: Mapping[str | None, str] | DataFrame,
     column: str,
     key: str = "name",
     label: str = "label",
@@ -83,32 +79,32 @@ def recode(
 ) -> DataFrame:
     """Replace the codes of a column by their labels; unmatched codes give NULL.
 
-    A mapping table is checked for duplicate codes first (one pass over the
-    mapping), unless the caller knows it to be unique.
+    Codes are compared as text, and NULL matches a NULL code only with `null_safe`.
+    A Python mapping becomes part of the row expression, whatever its length; a
+    mapping table is joined, whatever its size, after a check for duplicate
+    codes (one pass over it), unless the caller knows it to be unique.
     """
     if isinstance(mapping, Mapping):
-        if len(mapping) <= LITERAL_CODES:
-            return df.withColumn(column, code_label(column, mapping))
-        mapping = local_table(df.sparkSession, mapping.items(), f"{key} string, {label} string")
-    else:
-        mapping = mapping.select(key, label)
-        if check:
-            unique_keys(mapping, [key])
-    dim = mapping.select(F.col(key).alias("_code"), F.col(label).alias("_label"))
-    joined = lookup(df, dim, {column: "_code"}, null_safe)
+        return df.withColumn(column, code_label(column, mapping, null_safe))
+    mapping = mapping.select(key, label)
+    if check:
+        unique_keys(mapping, [key])
+    dim = mapping.select(F.col(key).cast("string").alias("_code"), F.col(label).alias("_label"))
+    as_text = df.withColumn(column, quoted(column).cast("string"))
+    joined = lookup(as_text, dim, {column: "_code"}, null_safe)
     return joined.withColumn(column, F.col("_label")).drop("_label")
 
 
-def recode_all(df: DataFrame, mappings: Mapping[str, Mapping[str, str] | DataFrame]) -> DataFrame:
-    """Recode several columns; all short mappings go into one projection."""
-    short = {
-        c: m for c, m in mappings.items() if isinstance(m, Mapping) and len(m) <= LITERAL_CODES
-    }
-    if short:
-        df = df.withColumns({c: code_label(c, m) for c, m in short.items()})
+def recode_all(
+    df: DataFrame, mappings: Mapping[str, Mapping[str | None, str] | DataFrame], null_safe: bool = False
+) -> DataFrame:
+    """Recode several columns; all Python mappings go into one projection."""
+    listed = {c: m for c, m in mappings.items() if isinstance(m, Mapping)}
+    if listed:
+        df = df.withColumns({c: code_label(c, m, null_safe) for c, m in listed.items()})
     for column, mapping in mappings.items():
-        if column not in short:
-            df = recode(df, mapping, column)
+        if column not in listed:
+            df = recode(df, mapping, column, null_safe=null_safe)
     return df
 
 
@@ -158,30 +154,24 @@ def regex_join(
 ) -> DataFrame:
     """Rows paired with every pattern found in the column; no match drops the row.
 
-    Patterns come from a form's choice list.  Up to a plan-sized list they are
-    compiled once into the row expression.  Longer lists are cut into chunks met
-    by an equi-join, and each pair is then tested.
+    Patterns come from a form's choice list.  A Python mapping is compiled into
+    the row expression.  A table is gathered into one array by a scalar
+    subquery, which every row is tested against.  Without patterns there are no rows.
     """
-    if isinstance(patterns, DataFrame):
-        rows = patterns.select(name, label).limit(PLAN_PATTERNS + 1).collect()
-        pairs = [tuple(r) for r in rows]
-    else:
-        pairs = list(patterns.items())
     text = quoted(column)
-    if len(pairs) <= PLAN_PATTERNS:
-        hits = F.array(
-            *[F.when(text.rlike(p), F.struct(F.lit(p).alias(name), F.lit(v).alias(label))) for p, v in pairs]
-        )
-        return df.select("*", F.inline(F.array_compact(hits)))
-    if not isinstance(patterns, DataFrame):
-        patterns = local_table(df.sparkSession, pairs, f"{name} string, {label} string")
-    chunks = math.ceil(patterns.count() / PLAN_PATTERNS)
-    dim = patterns.select(
-        name, label, F.pmod(F.xxhash64(name), F.lit(chunks)).cast("int").alias("_chunk")
+    if isinstance(patterns, DataFrame):
+        pair = F.struct(F.col(name).alias(name), F.col(label).alias(label))
+        listed = patterns.select(pair.alias("p")).agg(F.collect_list("p").alias("ps")).scalar()
+        tested = df.withColumn("_patterns", listed)
+        hits = F.filter("_patterns", lambda p: F.rlike(text, p[name]))
+        return tested.select("*", F.inline(hits)).drop("_patterns")
+    if not patterns:
+        nothing = F.lit(None).cast("string")
+        return df.select("*", nothing.alias(name), nothing.alias(label)).filter(F.lit(False))
+    hits = F.array(
+        *[F.when(text.rlike(p), F.struct(F.lit(p).alias(name), F.lit(v).alias(label))) for p, v in patterns.items()]
     )
-    spread = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    pairs_df = spread.join(dim, "_chunk").drop("_chunk")
-    return pairs_df.filter(F.rlike(text, F.col(name)))
+    return df.select("*", F.inline(F.array_compact(hits)))
 
 
 def map_region(df: DataFrame, regions: DataFrame, region: str = "og_region") -> DataFrame:

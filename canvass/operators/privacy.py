@@ -14,25 +14,26 @@ from ..functions.missing import quoted
 MIN_CELL = 3
 
 
-def delink(
-    df: DataFrame,
-    column: str,
-    ids: Sequence[str],
-    salt: int | None = None,
-    keep: Sequence[str] = (),
-) -> DataFrame:
+def delink(df: DataFrame, column: str, ids: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """One answer column in random order, without ids.
 
-    Rows are shuffled and sorted by a hash over a secret salt, the ids and the
-    answer.  Without the salt that order looks random, yet a task that is run
-    again after a lost executor sorts its rows the same way, which rand() would
-    not.  Hashes spread evenly, so one shuffle is enough and no task sees the
-    whole column.  `keep` may name the edition, never anything that points at an
-    entity.
+    Every call draws a new secret, so the order cannot be computed again by those
+    who know ids and answers.  `keep` may name the edition, never anything that
+    points at an entity.
+    """
+    return released(df, column, ids, secrets.token_hex(32), keep)
+
+
+def released(df: DataFrame, column: str, ids: Sequence[str], secret: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows sorted by a cryptographic hash over the secret, the ids and the answer.
+
+    A task that is run again after a lost executor sorts its rows the same way,
+    which rand() would not.  Hashes spread evenly, so one shuffle is enough
+    and no task sees the whole column.
     """
-    secret = secrets.randbits(63) if salt is None else salt
     # the column name keeps the orders of two released columns unrelated
-    order = F.xxhash64(F.lit(secret), F.lit(column), *[quoted(c) for c in ids], quoted(column))
+    parts = [F.lit(secret), F.lit(column), *[quoted(c).cast("string") for c in ids], quoted(column).cast("string")]
+    order = F.sha2(F.to_json(F.array(*parts)).cast("binary"), 256)
     rows = df.select(*keep, quoted(column), order.alias("_order"))
     return rows.repartition("_order").sortWithinPartitions("_order").drop("_order")
 
@@ -42,7 +43,3 @@ def suppress_small(
 ) -> DataFrame:
     """Values of groups smaller than k become NULL."""
     return df.withColumns({c: F.when(F.col(size) >= k, F.col(c)) for c in columns})
-
-
-def frequent_only(df: DataFrame, count: str, above: int) -> DataFrame:
-    return df.filter(F.col(count) > above)

@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 from ..functions.local import local_table
 from ..functions.missing import quoted, to_int
 
-# pieces into which levels found in the data are cut when a grid is built
-LEVEL_CHUNKS = 16
-
 
 def multiselect_long(
     df: DataFrame, column: str, ids: Sequence[str], name: str | None = None
@@ -73,27 +70,16 @@ def matrix_long(
     return long.withColumn("label", F.when(F.col(value) == 1, "✓").otherwise("✗"))
 
 
-def paired(left: DataFrame, right: DataFrame, chunks: int = LEVEL_CHUNKS) -> DataFrame:
-    """Every left row with every right row, as an equi-join over hashed chunks.
-
-    The right side is cut into chunks by hash and each left row is sent once to
-    every chunk, so no task needs the whole right side, and a small right side
-    is still broadcast at run time.  Meant for dimensions: levels, editions,
-    groups.
-    """
-    cut = F.pmod(F.xxhash64(*[quoted(c) for c in right.columns]), F.lit(chunks)).cast("int")
-    spread = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    return spread.join(right.withColumn("_chunk", cut), "_chunk").drop("_chunk")
-
-
 def with_levels(df: DataFrame, levels: Sequence | DataFrame, name: str) -> DataFrame:
-    """Every row of a dimension paired with every level.
+    """Every row of a dimension with every level of a closed question.
 
-    A level list known from the form is exploded from a literal array; levels
-    that come out of the data are paired chunk by chunk.  NULL is not a level.
+    A list known from the form is exploded from a literal array.  A table of
+    levels is gathered into one array by a scalar subquery; it is meant for the
+    levels of a form, and its distinct values have to fit one row.  NULL is not a level.
     """
     if isinstance(levels, DataFrame):
-        return paired(df, levels.toDF(name).dropna().distinct())
+        found = levels.toDF(name).agg(F.collect_set(name).alias("levels")).scalar()
+        return df.withColumn(name, F.explode(found))
     values = list(dict.fromkeys(levels))
     if not values:
         return df.withColumn(name, F.lit(None).cast("string")).filter(F.lit(False))
@@ -101,8 +87,10 @@ def with_levels(df: DataFrame, levels: Sequence | DataFrame, name: str) -> DataF
 
 
 def grid(left: DataFrame, right: DataFrame) -> DataFrame:
-    """All combinations of the distinct rows of two dimensions."""
-    return paired(left.distinct(), right.distinct())
+    """All combinations of the distinct rows of two dimensions; the right one has to fit one row, as levels do."""
+    row = F.struct(*[quoted(c).alias(c) for c in right.columns])
+    found = right.select(row.alias("r")).agg(F.collect_set("r").alias("rows")).scalar()
+    return left.distinct().select("*", F.inline(found))
 
 
 def add_zero_rows(counts: DataFrame, cells: DataFrame, value: str = "n") -> DataFrame:

@@ -1,8 +1,7 @@
-"""Cleaned editions as stored tables.
+"""Cleaned editions, as lazy plans or as stored tables.
 
-Cleaning is done once and written; fixes, combined totals and all reports read
-the stored tables.  Each step therefore starts from files in a shared folder
-instead of repeating, or holding on to, the plan before it.
+Stored, cleaning is done once and written; fixes, combined totals and all
+reports then start from files in a folder that the caller names.
 """
 
 from __future__ import annotations
@@ -10,14 +9,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.joins import keep_ids
 from ..operators.sets import union_all
-from ..operators.windows import dedup_first
 from ..sources.editions import read_table_of, write_table
 from .combine import combined_totals
-from .groups import GROUP_IDS, harmonize_groups
+from .groups import GROUP_IDS, first_of_each_group, harmonize_groups
 from .people import statements_long
 from .regions import offered_workshops
 
@@ -32,30 +29,27 @@ def union_editions(parts: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFr
     return {n: union_all([part[n] for part in parts if n in part]) for n in names}
 
 
-class Editions:
-    """Stored tables of all editions under one root, each built at first use."""
+class Plans:
+    """Tables of all editions by name, as lazy plans."""
 
     def __init__(
         self,
-        spark: SparkSession,
-        root: str,
         groups: Mapping[str, DataFrame],
         people: Mapping[str, DataFrame],
         regions: DataFrame,
         spelling: DataFrame | None = None,
     ) -> None:
         """`spelling` is given when group names were typed in all editions."""
-        self.spark, self.root = spark, root
         self.groups, self.people = groups, people
         self.regions, self.spelling = regions, spelling
-        self.stored: dict[str, DataFrame] = {}
+        self.known: dict[str, DataFrame] = {}
 
     def plan(self, name: str) -> DataFrame:
         if name == "og.data":
             data = self.groups["og.data"]
             if self.spelling is not None:
                 data = harmonize_groups(data, self.spelling, self.regions)
-            return dedup_first(data.filter(F.col("og_name").isNotNull()), ["year", "og_name"], ["og_id"])
+            return first_of_each_group(data)
         if name in self.groups:
             return keep_ids(self.groups[name], self.table("og.data"), GROUP_IDS)
         if name == "og.agg.total_tn_by_og":
@@ -73,14 +67,27 @@ class Editions:
         return [*self.groups, *self.people, "og.agg.total_tn_by_og", "og.agg.angebote"]
 
     def table(self, name: str) -> DataFrame:
-        """One stored table, built when it is asked for the first time."""
-        if name == "tn.long.aussagen":
-            return self.plan(name)
-        if name not in self.stored:
-            df = self.plan(name)
-            write_table(df, self.root, name)
-            self.stored[name] = read_table_of(self.spark, self.root, name, schema=df.schema)
-        return self.stored[name]
+        if name not in self.known:
+            self.known[name] = self.made(name)
+        return self.known[name]
+
+    def made(self, name: str) -> DataFrame:
+        return self.plan(name)
+
+
+class Editions(Plans):
+    """The same tables, each stored under a root at its first use, so that later steps start from files."""
+
+    def __init__(self, spark: SparkSession, root: str, *tables, **more) -> None:
+        super().__init__(*tables, **more)
+        self.spark, self.root = spark, root
+
+    def made(self, name: str) -> DataFrame:
+        df = self.plan(name)
+        if name == "tn.long.aussagen":  # another form of a stored table
+            return df
+        write_table(df, self.root, name)
+        return read_table_of(self.spark, self.root, name, schema=df.schema)
 
     def build(self) -> None:
         for name in self.names():

@@ -204,11 +204,16 @@ def harmonize_groups(data: DataFrame, spelling: DataFrame, regions: DataFrame) -
     return map_region(harmonize(data, spelling, "og_name_orig"), regions)
 
 
+def first_of_each_group(data: DataFrame, order_by: Sequence[str] = ("og_id",)) -> DataFrame:
+    """First submission per group and edition; groups without a name are left out."""
+    return dedup_first(data.filter(F.col("og_name").isNotNull()), ["year", "og_name"], order_by)
+
+
 def first_submissions(
     tables: Mapping[str, DataFrame], order_by: Sequence[str] = ("og_id",)
 ) -> dict[str, DataFrame]:
     """Keep the first submission per group and edition, in all tables."""
-    data = dedup_first(tables["og.data"].filter(F.col("og_name").isNotNull()), ["year", "og_name"], order_by)
+    data = first_of_each_group(tables["og.data"], order_by)
     out = {"og.data": data}
     for name, table in tables.items():
         if name.startswith("og.long."):

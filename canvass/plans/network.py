@@ -30,7 +30,6 @@ from .people import PERSON_IDS
 # Answer levels in display order.
 COMPLETE_LEVELS = ["ja", "zum Teil", "nein", "keine Angabe"]
 CHANGE_LEVELS = ["Genau wie bisher auch", "Auf anderem Weg, und zwar:", "keine Angabe"]
-PARTICIPATION_LEVELS = ["Ja", "Nein", "keine Angabe"]
 NATIONWIDE = "Deutschlandweit"
 
 

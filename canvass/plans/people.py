@@ -128,7 +128,7 @@ def age_by_group(people: DataFrame) -> DataFrame:
     return group_mean_suppressed(people, ["year", "og_name"], "alter", "avg_alter")
 
 
-def demographics(raw: DataFrame, form: Form, contact: DataFrame, salt: int | None = None) -> dict[str, DataFrame]:
+def demographics(raw: DataFrame, form: Form, contact: DataFrame) -> dict[str, DataFrame]:
     """Sensitive answers as single columns in random order, without ids."""
     cat = form.catalog
     answers = raw.select(
@@ -140,12 +140,12 @@ def demographics(raw: DataFrame, form: Form, contact: DataFrame, salt: int | Non
     )
     answers = recode_all(answers, {"gender": form.mapping("gender"), "schule": form.mapping("schule")})
     out = {
-        f"tn.demo.{c}": delink(answers, c, PERSON_IDS, salt, keep=["year"])
+        f"tn.demo.{c}": delink(answers, c, PERSON_IDS, ["year"])
         for c in ("gender", "alter", "schule")
     }
     typed = answers.filter(F.col("kontakt_chrgl_sonst").isNotNull())
-    out["tn.demo.kontakt_chrgl_sonst"] = delink(typed, "kontakt_chrgl_sonst", PERSON_IDS, salt, ["year"])
-    out["tn.demo.kontakt_chrgl"] = delink(contact, "kontaktpunkt", PERSON_IDS, salt, ["year"])
+    out["tn.demo.kontakt_chrgl_sonst"] = delink(typed, "kontakt_chrgl_sonst", PERSON_IDS, ["year"])
+    out["tn.demo.kontakt_chrgl"] = delink(contact, "kontaktpunkt", PERSON_IDS, ["year"])
     return out
 
 
@@ -155,7 +155,6 @@ def clean_people(
     spelling: DataFrame,
     regions: DataFrame,
     brand_words: Sequence[str] = (),
-    salt: int | None = None,
 ) -> dict[str, DataFrame]:
     """All tables of the person form."""
     raw = prepare_people(submissions, form)
@@ -187,4 +186,4 @@ def clean_people(
         "tn.long.info_wege_wunsch": closed_multiselect(raw, form, "info_wunsch", "info_weg"),
         "tn.long.kontakt_chrgl": contact,
     }
-    return {**tables, **demographics(raw, form, contact, salt)}
+    return {**tables, **demographics(raw, form, contact)}

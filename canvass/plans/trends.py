@@ -4,20 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import n_distinct, strict_max, strict_sum, sum_or_zero
 from ..functions.text import titled
 from ..operators.aggregate import likert_summary, yearly
-from ..operators.catalog import source_labels
 from ..operators.clean import drop_no_answer
 from ..operators.joins import lookup
 from ..operators.reshape import columns_long, complete
 from ..operators.sets import sorted_nulls_last
-from ..operators.windows import rank_levels, year_chart
-
-__all__ = ["source_labels", "year_chart"]
 
 
 def groups_per_year(group_totals: DataFrame) -> DataFrame:
@@ -28,8 +24,17 @@ def groups_per_year_and_region(group_totals: DataFrame) -> DataFrame:
     """Number of groups for every region and edition, regions by size."""
     known = drop_no_answer(group_totals, "region_grouped")
     n = yearly(known, {"ortsgruppen": n_distinct("og_name")}, ["region_grouped"])
-    full = complete(n, ["region_grouped"], "year", n.select("year"), "ortsgruppen")
-    return full.join(rank_levels(n, "region_grouped", "ortsgruppen").drop("total"), "region_grouped")
+    # from here on there is one row for each region
+    entry = F.struct("year", F.col("ortsgruppen").alias("n"))
+    regions = n.groupBy("region_grouped").agg(F.collect_list(entry).alias("entries"), F.sum("ortsgruppen").alias("total"))
+    everything = F.flatten(F.collect_list(F.col("entries.year")).over(Window.partitionBy()))
+    rank = F.row_number().over(Window.orderBy(F.desc("total"), F.asc_nulls_last("region_grouped")))
+    editions = F.array_compact(F.array_distinct(everything))
+    regions = regions.withColumns({"rank": rank, "editions": editions}).filter("region_grouped IS NOT NULL")
+    rows = regions.withColumn("year", F.explode(F.array_union("editions", "entries.year")))
+    own = F.filter("entries", lambda e: e["year"].eqNullSafe(F.col("year")))
+    counted = F.coalesce(F.get(own, F.lit(0))["n"], F.lit(0)).cast(n.schema["ortsgruppen"].dataType)
+    return rows.select("region_grouped", "year", counted.alias("ortsgruppen"), "rank")
 
 
 def people_per_year(group_totals: DataFrame) -> DataFrame:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that matter for plans of this library.  Adaptive execution sizes
@@ -22,16 +19,6 @@ SETTINGS = {
 }
 
 
-def shuffle_partitions(input_bytes: int, cores: int, target: int = 256 << 20) -> int:
-    """Shuffle partitions for an input: about `target` bytes each, two rounds of cores at least.
-
-    Adaptive execution merges what turns out too small, it cannot split what
-    starts too large outside of joins; the number is therefore taken from the
-    input before filters.
-    """
-    return max(2 * cores, -(-input_bytes // target))
-
-
 def build_session(app: str = "canvass", master: str | None = None, **extra: str) -> SparkSession:
     """Session with the settings above; `extra` uses '__' for '.' in names."""
     builder = SparkSession.builder.appName(app)
@@ -41,19 +28,3 @@ def build_session(app: str = "canvass", master: str | None = None, **extra: str)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach, for tables that cut a long lineage.
-
-    A cluster names it in spark.checkpoint.dir; only a local session without
-    that setting falls back to a temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir is not set on this cluster")
-    folder = os.path.join(tempfile.mkdtemp(prefix="run-"), "tables")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder

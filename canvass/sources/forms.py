@@ -81,12 +81,15 @@ def read_form_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("ord", F.monotonically_increasing_id().cast("int"))
 
 
-def question_json(rows: DataFrame, name: str = "question") -> DataFrame:
-    """One JSON object per question, missing entries as explicit null."""
-    return rows.select(
-        "ord", F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "ord"]),
-                         {"ignoreNullFields": "false"}).alias(name)
-    )
+def question_json(rows: DataFrame, name: str = "question", entries: Sequence[str] = ()) -> DataFrame:
+    """One JSON object per question, missing entries as explicit null.
+
+    It holds all columns but `ord`, which then is all that stays beside it, or the
+    given entries, and then all columns stay.
+    """
+    held = entries or [c for c in rows.columns if c != "ord"]
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in held]), {"ignoreNullFields": "false"})
+    return rows.withColumn(name, text) if entries else rows.select("ord", text.alias(name))
 
 
 def write_form_json(rows: DataFrame, path: str) -> None:

@@ -225,10 +225,10 @@ def test_combined_totals(spark, group_tables, person_tables, spelling):
 def test_editions_store(spark, tmp_path, group_tables, person_tables, spelling):
     store = Editions(spark, str(tmp_path), group_tables, person_tables, f.region_map(spark), spelling)
     assert store.table("og.agg.total_tn_by_og").count() == 4
-    assert set(store.stored) == {"og.data", "tn.data", "og.agg.total_tn_by_og"}
+    assert set(store.known) == {"og.data", "tn.data", "og.agg.total_tn_by_og"}
     assert rows(store.table("og.long.unterstuetzungsbedarfe"), "og_id") == [(1,)]
     store.build()
-    assert set(store.names()) == set(store.stored)
+    assert set(store.names()) == set(store.known)
     assert store.table("og.long.angebote_vor_ort").count() == 0
     assert store.table("tn.long.aussagen").count() == 6 * 4
 

@@ -935,12 +935,11 @@ FROM (SELECT event_id, event_type, (props::JSON ->> 'k')::BIGINT AS k FROM event
 """)
 def json_extract(spark, sf):
     e = table(spark, sf, "events").select(
-        F.col("event_id").alias("ord"), F.from_json("props", "k bigint").getField("k").alias("k"), "event_type"
+        F.col("event_id").alias("ord"), F.from_json("props", "k bigint").getField("k").alias("k"), F.array("event_type").alias("label")
     )
-    again = forms.question_json(e.select("ord", "k"), "again")
+    again = forms.question_json(e, "again", ["k"])
     parsed = again.withColumn("k", F.from_json("again", "k bigint").getField("k"))
-    out = joins.lookup(parsed, e.select("ord", F.array("event_type").alias("label")), "ord")
-    return out.select(
+    return parsed.select(
         F.col("ord").alias("event_id"), "k", (F.col("k") * 2).alias("double_k"), "again",
         forms.flat_label("label").alias("label"),
     )
@@ -1025,28 +1024,31 @@ def except_levels(spark, sf):
 
 @query(f"""
 WITH c AS (SELECT r_name AS region_grouped, year(o_orderdate)::INT AS year, count(DISTINCT c_custkey) AS n FROM {PLACED}
-  WHERE o_totalprice > 499000 GROUP BY ALL),
+  WHERE NOT (r_name = 'ASIA' AND year(o_orderdate) % 2 = 0) GROUP BY ALL),
 t AS (SELECT region_grouped, row_number() OVER (ORDER BY sum(n) DESC, region_grouped)::INT AS rank FROM c GROUP BY 1),
 y AS (SELECT DISTINCT year FROM c)
 SELECT t.region_grouped, y.year, coalesce(c.n, 0)::BIGINT AS ortsgruppen, t.rank FROM t CROSS JOIN y
 LEFT JOIN c ON c.region_grouped = t.region_grouped AND c.year = y.year
 """)
 def trend_complete(spark, sf):
-    o = placed_orders(spark, sf).filter("o_totalprice > 499000")
+    # gaps: one region is not surveyed in even years
+    o = placed_orders(spark, sf).filter("NOT (r_name = 'ASIA' AND year % 2 = 0)")
     totals = o.select("year", F.col("r_name").alias("region_grouped"), F.col("c_custkey").alias("og_name"))
     return trends.groups_per_year_and_region(totals)
 
 
 @query("""
 WITH c AS (SELECT year(o_orderdate)::INT AS year, o_orderpriority, count(*) AS n FROM orders
-  WHERE o_totalprice > 499500 GROUP BY 1, 2),
+  WHERE NOT (o_orderpriority = '1-URGENT' AND year(o_orderdate) % 2 = 0) GROUP BY 1, 2),
 g AS (SELECT year, o_orderpriority, sum(n)::BIGINT AS n FROM (SELECT * FROM c UNION ALL
   SELECT y.year, p.o_orderpriority, 0 FROM (SELECT DISTINCT year FROM c) y, (SELECT DISTINCT o_orderpriority FROM c) p) GROUP BY 1, 2)
 SELECT *, rank() OVER (PARTITION BY year ORDER BY n)::INT AS min_rank,
   row_number() OVER (PARTITION BY year ORDER BY n, o_orderpriority)::INT AS stack_order FROM g
 """)
 def year_chart(spark, sf):
-    n = a.counts(orders_with_year(spark, sf).filter("o_totalprice > 499500"), ["year", "o_orderpriority"])
+    # gaps: one answer does not exist in even years
+    o = orders_with_year(spark, sf).filter("NOT (o_orderpriority = '1-URGENT' AND year % 2 = 0)")
+    n = a.counts(o, ["year", "o_orderpriority"])
     return windows.year_chart(n, "year", "n", "o_orderpriority")
 
 
@@ -1075,4 +1077,4 @@ def edition_resolve(spark, sf):
 
 @query("SELECT c_mktsegment FROM customer")
 def delink(spark, sf):
-    return privacy.delink(table(spark, sf, "customer"), "c_mktsegment", ["c_custkey"], salt=7)
+    return privacy.delink(table(spark, sf, "customer"), "c_mktsegment", ["c_custkey"])

@@ -15,10 +15,8 @@ from canvass.operators import catalog as c
 from canvass.operators.sets import union_all
 from canvass.operators.windows import year_chart
 from canvass.plans import combine, groups, network, people, regions, topics, trends
-from canvass.plans.editions import Editions
-from canvass.session import shared_folder
+from canvass.plans.editions import Plans
 from canvass.sources import editions
-from canvass.sources.editions import read_table_of, write_table
 
 from . import forms as f
 from .registry import query
@@ -27,26 +25,20 @@ from .registry import query
 
 
 class Survey:
-    """Landed submissions, lazy cleaning plans, and stored editions of one input folder."""
+    """Cleaning plans over the submissions of one input folder; nothing runs before a result is asked for."""
 
     def __init__(self, spark: SparkSession, sf: str) -> None:
         self.spark, self.sf = spark, sf
-        self.root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{sf.strip('/').replace('/', '_')}"
         self.regions, self.spelling = f.region_map(spark), f.spelling_map(spark, sf)
 
-    def landed(self, form: str) -> DataFrame:
-        derive = f.group_submissions if form == "og" else f.person_submissions
-        write_table(derive(self.spark, self.sf), self.root, f"landed.{form}")
-        return read_table_of(self.spark, self.root, f"landed.{form}")
-
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return groups.clean_groups(self.landed("og"), f.form(self.spark, "og"), self.regions)
+        return groups.clean_groups(f.group_submissions(self.spark, self.sf), f.form(self.spark, "og"), self.regions)
 
     @cached_property
     def people(self) -> dict[str, DataFrame]:
         return people.clean_people(
-            self.landed("tn"), f.form(self.spark, "tn"), self.spelling, self.regions, f.BRAND_WORDS, salt=1
+            f.person_submissions(self.spark, self.sf), f.form(self.spark, "tn"), self.spelling, self.regions, f.BRAND_WORDS
         )
 
     @cached_property
@@ -59,33 +51,26 @@ class Survey:
         return combine.combined_totals(self.first["og.data"], self.people["tn.data"])
 
     @cached_property
-    def editions(self) -> Editions:
-        return Editions(self.spark, self.root, self.raw, self.people, self.regions, self.spelling)
-
-
-_SURVEYS: dict[tuple[str, str], Survey] = {}
+    def plans(self) -> Plans:
+        return Plans(self.raw, self.people, self.regions, self.spelling)
 
 
 def survey(spark: SparkSession, sf: str) -> Survey:
-    """The survey of an input folder, landed once per application."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _SURVEYS:
-        _SURVEYS[key] = Survey(spark, sf)
-    return _SURVEYS[key]
+    return Survey(spark, sf)
 
 
 class Tables:
-    """Stored tables by name."""
+    """Tables by name."""
 
-    def __init__(self, editions: Editions) -> None:
-        self.editions = editions
+    def __init__(self, plans: Plans) -> None:
+        self.plans = plans
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.editions.table("og.agg.total_tn_by_og" if name == "totals" else name)
+        return self.plans.table("og.agg.total_tn_by_og" if name == "totals" else name)
 
 
 def tables(spark: SparkSession, sf: str) -> Tables:
-    return Tables(survey(spark, sf).editions)
+    return Tables(survey(spark, sf).plans)
 
 
 def choice_labels(spark, list_name: str, code: str, label: str) -> DataFrame:
