@@ -5,9 +5,9 @@ Texts with the same set of shingles form a class; classes are joined, not texts.
 1. Support.  A class can only be linked if enough of its shingles occur in another class.
    Blocks of texts send each shingle once, as part of a packed array, to the part of the hash range it
    belongs to; what comes back is the number of shared shingles of each class.
-2. Groups.  Under the first order, linked classes share a shingle in their prefixes (the first
-   shingles of the order, as many as a linked partner cannot all miss).  Classes
-   connected by shared prefix shingles form a group; links never leave a group.
+2. Groups.  Under the first order (rare shingles first), linked classes share a shingle in their
+   prefixes: the first shingles of the order, as many as a linked partner cannot all miss.
+   Classes connected by shared prefix shingles form a group; links never leave a group.
 3. Verification.  A group is cut into blocks, and each pair of blocks is one unit of work.  In a
    unit, pairs must share prefix shingles under every order and be of
    fitting size; those that do, and are not connected yet, have their common shingles counted
@@ -31,7 +31,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField
 from canvass.llm.arrow import add_columns, by_row, small, stored
 from canvass.llm.graph import components
 
-# Factors of the orders: shingles are sorted by their hash times the factor.
+# Factors of the orders: shingles are sorted by their hash times the factor, in the first order after their frequency.
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 # Shingles of a task that are packed together.
 PACK = 4_000_000
@@ -157,7 +157,7 @@ def packs(classes: list[tuple[int, np.ndarray]], parts: int) -> Iterator[dict]:
     alone, common = first[single], flat[first[~single]]
     tokens, owner = flat[alone], owner[alone]
     # parts are ranges of the upper half of the hash, so rows of a part are neighbours
-    bounds = np.array([-(-(p << 32) // parts) for p in range(parts)] + [1 << 32], np.uint64)
+    bounds = part_bounds(parts)
     cut = np.searchsorted(tokens >> np.uint64(32), bounds)
     cut_common = np.searchsorted(common >> np.uint64(32), bounds)
     home = refs % parts
@@ -243,23 +243,115 @@ def supported(df: DataFrame, text: str, size: int, limit: Threshold, parts: int)
     return sums.where(F.col("shared") * limit.whole >= F.col("n") * limit.part).select("ref")
 
 
-def prefix_rows(sets: DataFrame, limit: Threshold) -> DataFrame:
-    """Columns shingle and key: the prefixes under the first order."""
+def gathered(sets: DataFrame) -> DataFrame:
+    """Rows of `sets` in packs of bounded size: pack, keys, sizes, shingles (of distinct classes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, found, total = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "pack": pa.array([reference(keys[0])], pa.int64()), "keys": pa.array([b"".join(keys)], pa.binary()),
+                "sizes": pa.array([np.array([len(f) // 8 for f in found], np.uint32).tobytes()], pa.binary()),
+                "shingles": pa.array([b"".join(found)], pa.binary()),
+            })
+
+        for batch in batches:
+            for key, packed in zip(*[c.to_pylist() for c in batch.columns]):
+                keys.append(key)
+                found.append(packed)
+                total += len(packed) // 8
+                if total >= PACK // 4:
+                    yield flush()
+                    keys, found, total = [], [], 0
+        if keys:
+            yield flush()
+
+    return sets.select("key", "shingles").mapInArrow(run, "pack long, keys binary, sizes binary, shingles binary")
+
+
+def members(pack: dict) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Keys, sizes, and all shingles of a pack."""
+    keys = [pack["keys"][i : i + 16] for i in range(0, len(pack["keys"]), 16)]
+    return keys, np.frombuffer(pack["sizes"], np.uint32).astype(np.int64), np.frombuffer(pack["shingles"], np.uint64)
+
+
+def scattered(packs: DataFrame) -> DataFrame:
+    """Columns key, n, shingles: the rows that `gathered` put into packs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, found = [], []
-            for key, packed in zip(*batch.columns):
-                tokens = np.frombuffer(packed.as_buffer(), np.uint64)
-                ranked = tokens[np.argsort(tokens * np.uint64(ORDERS[0]))]
-                found.append(ranked[: limit.prefix(len(tokens))])
-                keys += [key.as_py()] * len(found[-1])
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(keys, pa.binary())], names=["shingle", "key"]
-                )
+            for pack in batch.to_pylist():
+                keys, sizes, flat = members(pack)
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array(keys, pa.binary()), "n": pa.array(sizes, pa.int32()),
+                    "shingles": pa.array([part.tobytes() for part in np.split(flat, np.cumsum(sizes)[:-1])], pa.binary()),
+                })
+
+    return packs.mapInArrow(run, "key binary, n int, shingles binary")
+
+
+def part_bounds(parts: int) -> np.ndarray:
+    """Parts of the hash range by the upper half of a hash."""
+    return np.array([-(-(p << 32) // parts) for p in range(parts)] + [1 << 32], np.uint64)
+
+
+def levels_of(packs: DataFrame, parts: int) -> DataFrame:
+    """Columns pack, part, levels: for the sorted distinct shingles of a pack, the binary logarithm of their number of classes.
+
+    A pack sends each shingle once with its own count, so a frequent one meets in one row for each pack at most.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack in batch.to_pylist():
+                tokens, counts = np.unique(members(pack)[2], return_counts=True)
+                cut = np.searchsorted(tokens >> np.uint64(32), part_bounds(parts))
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array(range(parts), pa.int32()), "pack": pa.array([pack["pack"]] * parts, pa.int64()),
+                    "shingles": pa.array([tokens[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+                    "counts": pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+                })
+
+    def count(table: pa.Table) -> pa.Table:
+        found = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["shingles"]]
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]])
+        tokens, which = np.unique(np.concatenate(found), return_inverse=True)
+        level = np.log2(np.maximum(np.bincount(which, counts, len(tokens)), 1)).astype(np.uint8)[which]
+        ends = np.cumsum([len(f) for f in found])
+        return pa.table({
+            "pack": table["pack"], "part": table["part"],
+            "levels": pa.array([level[e - len(f) : e].tobytes() for e, f in zip(ends, found)], pa.binary()),
+        })
+
+    sent = packs.mapInArrow(send, "part int, pack long, shingles binary, counts binary")
+    return sent.groupBy("part").applyInArrow(count, "pack long, part int, levels binary")
+
+
+def prefix_rows(packs: DataFrame, limit: Threshold, parts: int) -> DataFrame:
+    """Columns shingle and key: prefixes under the first order (rare before frequent, then by hash).
+
+    Shingles of one class only are left out, and classes that share too few of theirs.
+    """
 
-    return sets.select("key", "shingles").mapInArrow(run, "shingle long, key binary")
+    def run(pack: pa.Table, levels: pa.Table) -> pa.Table:
+        keys, sizes, flat = members(pack.to_pylist()[0])
+        tokens, which = np.unique(flat, return_inverse=True)
+        level = np.frombuffer(b"".join(levels.sort_by("part")["levels"].to_pylist()), np.uint8)
+        owner = np.repeat(np.arange(len(keys)), sizes)
+        rank = np.empty(len(tokens), np.int64)
+        rank[np.lexsort((tokens * np.uint64(ORDERS[0]), level))] = np.arange(len(tokens))
+        order = np.lexsort((rank[which], owner))
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        shared = np.bincount(owner, level[which] > 0, len(keys)) >= limit.least_common(sizes)
+        chosen = (place < np.repeat(limit.prefix(sizes), sizes)) & (level[which[order]] > 0) & np.repeat(shared, sizes)
+        return pa.table({
+            "shingle": pa.array(flat[order][chosen].view(np.int64)),
+            "key": pa.array(keys, pa.binary()).take(pa.array(owner[order][chosen])),
+        })
+
+    levels = levels_of(packs, parts)
+    return packs.groupBy("pack").cogroup(levels.groupBy("pack")).applyInArrow(run, "shingle long, key binary")
 
 
 class Unit:
@@ -337,17 +429,18 @@ def class_links(df: DataFrame, classes: DataFrame, id_col: str, text: str, size:
     shared = classes.where("n > 0").groupBy("key", "ref").agg(F.min("id").alias("id")).join(refs, "ref", "left_semi")
     chosen = small(stored(shared.select(F.col("id").alias("chosen")).distinct()), 16)
     texts = df.join(chosen, df[id_col].eqNullSafe(F.col("chosen")), "left_semi")
-    sets = stored(shingle_rows(texts, text, size).groupBy("key").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")))
-    rows = prefix_rows(sets, limit)
+    packs = stored(gathered(shingle_rows(texts, text, size).groupBy("key").agg(F.first("shingles").alias("shingles"))))
+    rows = stored(prefix_rows(packs, limit, parts))
+    sets = scattered(packs)
     heads = rows.groupBy("shingle").agg(F.min("key").alias("head"), F.count("*").alias("m")).where("m > 1").drop("m")
     # a class meets the smallest class of each of its shingles; these meet each other here, so that few edges remain
     met = rows.join(heads, "shingle").groupBy("key").agg(F.collect_set("head").alias("heads"))
     edges = met.select(F.explode(F.array_append("heads", F.col("key"))).alias("a"), F.array_min("heads").alias("b"))
     groups = components(edges).withColumnRenamed("node", "key")
-    sized = groups.join(sets.select("key", "n"), "key")
+    sized = groups.join(classes.select("key", "n").distinct(), "key")
     weights = sized.groupBy("root").agg(F.ceil(F.sum(F.col("n") + MEMBER) / BLOCK).cast("int").alias("blocks"))
     plan = stored(groups.join(weights, "root").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
-    dealt = sets.join(small(plan, 64), "key")
+    dealt = sets.drop("n").join(small(plan, 64), "key")
     units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "shingles"
     )
