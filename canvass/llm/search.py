@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,11 +114,17 @@ class Index:
         sizes = np.array([len(t) for t in terms])
         self.docs = len(terms)
         flat = np.concatenate([*terms, np.zeros(0, np.int64)])
-        doc = np.repeat(np.arange(self.docs), sizes)
-        tf = np.concatenate([*times, np.zeros(0, np.uint32)]).astype(np.float64)
-        weight = tf * (K1 + 1) / (tf + np.repeat(K1 * (1 - B + B * words / mean), sizes))
+        weight = np.concatenate([*times, np.zeros(0, np.uint32)]).astype(np.float64)
+        bottom = np.repeat(K1 * (1 - B + B * words / mean), sizes)
+        bottom += weight
+        weight *= K1 + 1
+        weight /= bottom
+        del bottom
         order = np.argsort(flat, kind="stable")
-        flat, self.doc, self.weight = flat[order], doc[order], weight[order]
+        flat, self.weight = flat[order], weight[order]
+        del weight
+        self.doc = np.repeat(np.arange(self.docs, dtype=np.int32), sizes)[order]
+        del order
         run = self.doc // RUN
         new_term = np.r_[True, flat[1:] != flat[:-1]] if len(flat) else np.zeros(0, bool)
         new_run = new_term | np.r_[True, run[1:] != run[:-1]] if len(flat) else new_term
@@ -173,9 +180,12 @@ def shard_search(k: int, mean: float) -> Callable[[pa.Table, pa.Table], pa.Table
         return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
     def run(docs: pa.Table, queries: pa.Table) -> pa.Table:
-        docs = docs.sort_by([("id", "ascending")])
-        ids = docs["id"]
-        index = Index(unpack(docs["terms"], np.int64), unpack(docs["times"], np.uint32), np.array(docs["words"].to_pylist(), float), mean)
+        # rows by id, nulls last; only references are sorted
+        order = pc.sort_indices(docs, sort_keys=[("id", "ascending")]).to_numpy()
+        ids, words = docs["id"].take(order), np.array(docs["words"].to_pylist(), float)[order]
+        terms, times = unpack(docs["terms"], np.int64), unpack(docs["times"], np.uint32)
+        index = Index([terms[i] for i in order], [times[i] for i in order], words, mean)
+        del docs, terms, times
         found = []
         for q, (terms, weights) in enumerate(zip(unpack(queries["q_terms"], np.int64), unpack(queries["q_weights"], np.float64))):
             best, scores = index.top(terms, weights, k)
