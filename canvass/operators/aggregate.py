@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import (
@@ -56,13 +56,16 @@ def respondents(df: DataFrame, ids: str | Sequence[str]) -> Column:
 
 
 def share_of_group(
-    df: DataFrame, by: str | Sequence[str], value: str = "n", name: str = "share"
+    df: DataFrame, by: str | Sequence[str], value: str = "n", name: str = "share", open_values: bool = False
 ) -> DataFrame:
-    """Value over the total of its group.
+    """Value over the total of its group, for the counted answers of closed questions.
 
-    Totals are aggregated and joined back; with a hot group the join is split.
+    These have a few rows in each group.  Counts of free texts (`open_values`)
+    have their totals aggregated and joined back, so that a hot group is split.
     """
     by = [by] if isinstance(by, str) else list(by)
+    if not open_values:
+        return df.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy(*by)))
     totals = df.groupBy(*by).agg(F.sum(value).alias("_total"))
     out = lookup(df, totals, by, null_safe=True)
     return out.withColumn(name, F.col(value) / F.col("_total")).drop("_total")
@@ -240,6 +243,18 @@ def item_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     return lookup(items, known, list(by), null_safe=True)
 
 
+# Sentences by level and spread of a need; four have two blanks inside.
+NEED_SENTENCES = {
+    ("hoch", "konstant"): "Der Bedarf ist hoch und über die Ortsgruppen hinweg relativ einheitlich.",
+    ("hoch", "variierend"): "Der Bedarf ist hoch aber variiert zwischen den Ortsgruppen.",
+    ("mittel", "konstant"): "Der Bedarf ist mittel  und über die Ortsgruppen hinweg relativ einheitlich.",
+    ("mittel", "variierend"): "Der Bedarf ist mittel  aber variiert zwischen den Ortsgruppen.",
+    ("gering", "konstant"): "Der Bedarf ist gering  und über die Ortsgruppen hinweg relativ einheitlich.",
+    ("gering", "variierend"): "Der Bedarf ist gering  aber variiert zwischen den Ortsgruppen.",
+}
+NOT_ENOUGH = "Nicht genug Informationen *"
+
+
 def need_bands(stats: DataFrame) -> DataFrame:
     """Verbal bands of mean and spread, and one explaining sentence."""
     mean, spread = F.col("bedarf_mean"), F.col("range")
@@ -252,20 +267,11 @@ def need_bands(stats: DataFrame) -> DataFrame:
         (spread > 1) & (spread <= 3), "variierend"
     )
     out = stats.withColumns({"bedarf_label": level, "sd_label": even})
-    # Sentence parts; two of them end in a blank.
-    first = (
-        F.when(F.col("bedarf_label") == "hoch", "Der Bedarf ist hoch")
-        .when(F.col("bedarf_label") == "mittel", "Der Bedarf ist mittel ")
-        .when(F.col("bedarf_label") == "gering", "Der Bedarf ist gering ")
-    )
-    second = F.when(
-        F.col("sd_label") == "konstant", "und über die Ortsgruppen hinweg relativ einheitlich."
-    ).when(F.col("sd_label") == "variierend", "aber variiert zwischen den Ortsgruppen.")
-    sentence = F.when(
-        F.col("bedarf_label").isNull() | F.col("sd_label").isNull(),
-        F.lit("Nicht genug Informationen *"),
-    ).otherwise(F.concat_ws(" ", first, second))
-    return out.withColumn("erklaerung", sentence)
+    known = [
+        F.when((F.col("bedarf_label") == need) & (F.col("sd_label") == spread), sentence)
+        for (need, spread), sentence in NEED_SENTENCES.items()
+    ]
+    return out.withColumn("erklaerung", F.coalesce(*known, F.lit(NOT_ENOUGH)))
 
 
 def frequency_table(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

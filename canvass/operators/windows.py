@@ -124,9 +124,9 @@ def year_chart(
     return stack_order(full, year, fill, value)
 
 
-def number_rows(df: DataFrame, order: str, name: str = "y") -> DataFrame:
-    """Row number of form rows in questionnaire order."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(order)))
+def number_rows(df: DataFrame, order: str, name: str = "y", by: Sequence[str] = ()) -> DataFrame:
+    """Row number of form rows in questionnaire order, in each form named by `by`."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(order)))
 
 
 def marker_blocks(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import answered, no_answer, strict_mean, sum_or_zero
@@ -148,7 +148,8 @@ def largest_share(table: DataFrame, share: str, years: Sequence[int] | None = No
 def recommendation(people: DataFrame) -> DataFrame:
     """Distribution of the recommendation score, with the common axis limit."""
     out = frequency_table(people.withColumnRenamed("wahrsch_empfehlung", "value"), "value", ["year"])
-    return out.withColumn("y_limit", largest_share(out, "percent"))
+    # a few rows for each year are left
+    return out.withColumn("y_limit", F.max("percent").over(Window.partitionBy()))
 
 
 def info_complete(people: DataFrame) -> DataFrame:

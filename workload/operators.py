@@ -545,15 +545,17 @@ def item_statistics(spark, sf):
     return stats.withColumns({"bedarf_mean": F.round("bedarf_mean", 9), "sd": F.round("sd", 9)})
 
 
+NEED_SENTENCE = "CASE " + " ".join(
+    f"WHEN bedarf_label = '{need}' AND sd_label = '{spread}' THEN '{text}'" for (need, spread), text in a.NEED_SENTENCES.items()
+) + f" ELSE '{a.NOT_ENOUGH}' END"
+
+
 @query(f"""
 WITH s AS (SELECT bedarf, avg(v) AS mw, max(v) - min(v) AS r FROM {NEED} GROUP BY 1),
 b AS (SELECT bedarf, CASE WHEN mw > 0 AND mw <= 1 THEN 'gering' WHEN mw > 1 AND mw <= 2 THEN 'mittel'
   WHEN mw > 2 AND mw <= 3 THEN 'hoch' END AS bedarf_label,
   CASE WHEN r BETWEEN 0 AND 1 THEN 'konstant' WHEN r <= 3 THEN 'variierend' END AS sd_label FROM s)
-SELECT *, CASE WHEN bedarf_label IS NULL OR sd_label IS NULL THEN 'Nicht genug Informationen *' ELSE
-  'Der Bedarf ist ' || bedarf_label || CASE WHEN bedarf_label = 'hoch' THEN ' ' ELSE '  ' END
-  || CASE sd_label WHEN 'konstant' THEN 'und über die Ortsgruppen hinweg relativ einheitlich.'
-  ELSE 'aber variiert zwischen den Ortsgruppen.' END END AS erklaerung FROM b
+SELECT *, {NEED_SENTENCE} AS erklaerung FROM b
 """)
 def banded_label(spark, sf):
     return a.need_bands(item_statistics(spark, sf)).select("bedarf", "bedarf_label", "sd_label", "erklaerung")
@@ -1078,3 +1080,30 @@ def edition_resolve(spark, sf):
 @query("SELECT c_mktsegment FROM customer")
 def delink(spark, sf):
     return privacy.delink(table(spark, sf, "customer"), "c_mktsegment", ["c_custkey"])
+
+
+@query("""
+SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey)::INT AS y FROM part
+""")
+def form_row_numbers(spark, sf):
+    return windows.number_rows(table(spark, sf, "part").select("p_partkey", "p_brand"), "p_partkey", by=["p_brand"])
+
+
+@query("""
+SELECT p_brand AS q_key, count(*) AS n_questions, string_agg(p_name, chr(10) ORDER BY p_partkey) AS questions
+FROM part WHERE p_brand IN ('Brand#11', 'Brand#25', 'Brand#33') GROUP BY 1
+""")
+def source_labels(spark, sf):
+    questions = table(spark, sf, "part").select(
+        F.col("p_brand").alias("q_key"), F.col("p_partkey").alias("ord"), F.col("p_name").alias("label")
+    )
+    return c.source_labels(questions, ["Brand#11", "Brand#25", "Brand#33"])
+
+
+@query("""
+SELECT p_partkey, '  ' || p_name || ' SEP ' || p_type AS label_short FROM part
+""")
+def scale_labels(spark, sf):
+    text = F.concat(F.lit('Dein Eindruck: von "'), "p_name", F.lit('" bis "'), "p_type", F.lit('"'))
+    parts = table(spark, sf, "part").select("p_partkey", text.alias("label"))
+    return parts.select("p_partkey", t.scale_label("label", "Dein Eindruck").alias("label_short"))

@@ -19,6 +19,7 @@ from canvass.plans.editions import Plans
 from canvass.sources import editions
 
 from . import forms as f
+from .operators import NEED_SENTENCE
 from .registry import query
 
 # ------------------------------------------------------------- Spark tables
@@ -341,11 +342,19 @@ def report_gender_shares(spark, sf):
     return network.gender_shares(tables(spark, sf)["og.long.gender_by_participant_type"])
 
 
-@report(f"SELECT *, max(total) OVER () AS max_total FROM {cells_sql('age', 'alter')} WHERE year IN (1999, 2000)".replace(
-    "FROM (SELECT year, person_type", "FROM (SELECT * FROM (SELECT year, person_type", 1).replace(
-    " WHERE year IN (1999, 2000)", " WHERE year IN (1999, 2000))"))
+# current and previous edition
+SHOWN = "year IN (SELECT max(year) - k FROM gd, range(2) s(k) GROUP BY k)"
+
+
+def shown_years(groups: DataFrame) -> list[int]:
+    current, previous = editions.current_and_previous(editions.edition_years(groups))
+    return [y for y in (previous, current) if y is not None]
+
+
+@report(f"SELECT *, max(total) OVER () AS max_total FROM {cells_sql('age', 'alter')} WHERE {SHOWN}")
 def report_age_totals(spark, sf):
-    return network.age_totals(tables(spark, sf)["og.long.alter_by_participant_type"], [1999, 2000])
+    known = tables(spark, sf)
+    return network.age_totals(known["og.long.alter_by_participant_type"], shown_years(known["og.data"]))
 
 
 def engagement_sql(strict: bool) -> str:
@@ -392,10 +401,11 @@ def report_most_wanted_help(spark, sf):
     return network.most_wanted_help(report_wanted_help(spark, sf))
 
 
-@report(f"SELECT max(pct) AS y_limit FROM {HELP_PCT} WHERE year IN (1999, 2000)")
+@report(f"SELECT max(pct) AS y_limit FROM {HELP_PCT} WHERE {SHOWN}")
 def report_help_limit(spark, sf):
     help_table = report_wanted_help(spark, sf)
-    return help_table.filter(F.col("year").isin(1999, 2000)).agg(F.max("pct").alias("y_limit"))
+    years = shown_years(tables(spark, sf)["og.data"])
+    return help_table.filter(F.col("year").isin(years)).agg(F.max("pct").alias("y_limit"))
 
 
 @report("""SELECT year, verantwortung_janein, n, round_even(n / sum(n) OVER (PARTITION BY year) * 100, 1) AS perc
@@ -692,9 +702,7 @@ def report_problems_by_subregion(spark, sf):
 
 
 @report(f"""SELECT year, bedarf, median_bedarf, round(bedarf_mean, 9) AS bedarf_mean, round(sd, 9) AS sd, range, bedarf_label, sd_label,
-  CASE WHEN bedarf_label IS NULL OR sd_label IS NULL THEN 'Nicht genug Informationen *' ELSE 'Der Bedarf ist ' || bedarf_label ||
-  CASE bedarf_label WHEN 'hoch' THEN ' ' ELSE '  ' END || CASE sd_label
-  WHEN 'konstant' THEN 'und über die Ortsgruppen hinweg relativ einheitlich.' ELSE 'aber variiert zwischen den Ortsgruppen.' END END AS erklaerung
+  {NEED_SENTENCE} AS erklaerung
 FROM (SELECT *, CASE WHEN bedarf_mean > 0 AND bedarf_mean <= 1 THEN 'gering' WHEN bedarf_mean > 1 AND bedarf_mean <= 2 THEN 'mittel'
   WHEN bedarf_mean > 2 THEN 'hoch' END AS bedarf_label, CASE WHEN range <= 1 THEN 'konstant' WHEN range <= 3 THEN 'variierend' END AS sd_label
 FROM (SELECT year, bedarf, median(o)::DOUBLE AS median_bedarf, avg(o) AS bedarf_mean, stddev_samp(o) AS sd, max(o) - min(o) AS range
