@@ -12,7 +12,7 @@ from ..functions.text import titled
 from ..operators.aggregate import likert_summary, yearly
 from ..operators.clean import drop_no_answer
 from ..operators.joins import lookup
-from ..operators.reshape import columns_long, complete
+from ..operators.reshape import columns_long
 from ..operators.sets import sorted_nulls_last
 
 
