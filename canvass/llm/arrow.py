@@ -57,7 +57,7 @@ def add_columns(
 
 
 def prepare_checkpoints(spark: SparkSession) -> None:
-    """Let checkpoint() write to the folder named in spark.checkpoint.dir.
+    """Name the folder of spark.checkpoint.dir to Spark, which all executors share.
 
     Only a local session without that setting gets a folder of its own.
     """

@@ -3,7 +3,6 @@
 import hashlib
 import struct
 
-import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
