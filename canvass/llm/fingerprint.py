@@ -8,9 +8,11 @@ fingerprint by adding or subtracting their vectors.
 
 A vector has two parts.  The IDENTITY lanes (modulo 2^64) are
 pseudo-random words of the whole paragraph: sums agree only for equal multisets.
-The SKETCH lanes (modulo 2^16) count the paragraph's word shingles, each with a
-hashed sign in a hashed lane; the squared length of a difference estimates how many
-shingles differ, which gives the likeness.
+The sketch counts the paragraph's word shingles in its first lane and adds, for each
+of them, SKETCH values of a Cauchy distribution to the others (64 bits, no text wraps
+them).  The lanes of a difference are then Cauchy distributed with the number of
+shingles that differ as their scale, however often a single one occurs, and the
+likeliest scale gives the likeness.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import base64
 from collections import Counter
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 import xxhash
@@ -32,8 +35,18 @@ IDENTITY = 8
 SKETCH = 512
 # Words in a shingle of the sketch; a shorter paragraph is one shingle.
 SHINGLE = 3
-# Words whose hash is kept in one task.
+# Words whose hash is kept in one task, and lines whose sketch is kept.
 CACHED_WORDS = 400_000
+CACHED_LINES = 4096
+# Lines summed at a time, and shingles: GATHERED values of WIDEST at most stay within 32 bits.
+TOGETHER = 256
+GATHERED = 64
+WIDEST = (1 << 31) // GATHERED - 1
+# Whole numbers in one unit of the Cauchy distribution.
+UNIT = 16
+# Places at which the values of a shingle may start.  Two different shingles share one by chance: n differing
+# shingles on both sides make a likeness too high by about n / PLACES.
+PLACES = 1 << 22
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -47,6 +60,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@cache
+def cauchy_windows() -> np.ndarray:
+    """Row i holds the SKETCH values of a shingle that starts at place i; rows are views of one array."""
+    values = np.empty(PLACES + SKETCH, np.int32)
+    for at in range(0, len(values), 1 << 16):
+        part = values[at : at + (1 << 16)]
+        bits = mixed(np.arange(at + 1, at + 1 + len(part), dtype=np.uint64) * MIX) >> np.uint64(12)
+        drawn = np.tan(np.pi * ((bits.astype(np.float64) + 0.5) / 2.0**52 - 0.5))
+        part[:] = np.clip(np.rint(drawn * UNIT), -WIDEST, WIDEST)
+    return np.lib.stride_tricks.sliding_window_view(values, SKETCH)
+
+
+def cauchy_scale(values: np.ndarray) -> float:
+    """Likeliest scale of values around 0, by Newton steps from their median size; 0 if half of them are 0."""
+    squares = values * values
+    scale = float(np.median(squares))
+    for _ in range(20 if scale else 0):
+        share = squares / (squares + scale)
+        step = (share.sum() - len(values) / 2) / (share * (1.0 - share)).sum()
+        scale *= float(np.exp(min(1.0, max(-1.0, step))))
+        if abs(step) < 1e-9:
+            break
+    return scale**0.5
+
+
 class Vector:
     """A fingerprint as lanes; sums wrap around by themselves."""
 
@@ -54,7 +92,7 @@ class Vector:
 
     def __init__(self, identity: np.ndarray | None = None, sketch: np.ndarray | None = None) -> None:
         self.identity = np.zeros(IDENTITY, np.uint64) if identity is None else identity
-        self.sketch = np.zeros(SKETCH, np.int16) if sketch is None else sketch
+        self.sketch = np.zeros(1 + SKETCH, np.int64) if sketch is None else sketch
 
     def __add__(self, other: Vector) -> Vector:
         return Vector(self.identity + other.identity, self.sketch + other.sketch)
@@ -63,29 +101,36 @@ class Vector:
         return Vector(self.identity - other.identity, self.sketch - other.sketch)
 
     def encoded(self) -> str:
-        lanes = self.identity.astype("<u8").tobytes() + self.sketch.astype("<i2").tobytes()
-        return base64.b64encode(lanes).decode()
+        """Sketch lanes take 4 bytes if all fit, else 8; the first byte tells which."""
+        width = 4 if np.abs(self.sketch).max() < 1 << 31 else 8
+        lanes = self.identity.astype("<u8").tobytes() + self.sketch.astype(f"<i{width}").tobytes()
+        return base64.b64encode(bytes([width]) + lanes).decode()
 
     @classmethod
     def decoded(cls, text: str) -> Vector:
         lanes = base64.b64decode(text)
-        return cls(np.frombuffer(lanes[: 8 * IDENTITY], "<u8"), np.frombuffer(lanes[8 * IDENTITY :], "<i2"))
+        end = 1 + 8 * IDENTITY
+        return cls(np.frombuffer(lanes[1:end], "<u8"), np.frombuffer(lanes[end:], f"<i{lanes[0]}").astype(np.int64))
 
     def likeness(self, other: Vector) -> float:
         """Estimated share of common shingles: twice the common over the sum of both, 1 for two empty ones."""
         if np.array_equal(self.identity, other.identity):
             return 1.0
-        a, b = self.sketch.astype(np.float64), other.sketch.astype(np.float64)
-        apart = (self.sketch - other.sketch).astype(np.float64)
-        sizes = float(a @ a + b @ b)
-        return min(1.0, max(0.0, 1.0 - float(apart @ apart) / sizes)) if sizes else 0.0
+        sizes = int(self.sketch[0] + other.sketch[0])
+        if not sizes:
+            return 0.0
+        apart = self.sketch - other.sketch
+        differ = max(abs(int(apart[0])), cauchy_scale(apart[1:].astype(np.float64)) / UNIT)
+        return max(0.0, 1.0 - differ / sizes)
 
 
 class Hasher:
-    """Sums the vectors of a text's paragraphs, all shingles of the text at once."""
+    """Sums the vectors of a text's paragraphs; those of recent paragraphs are kept."""
 
     def __init__(self) -> None:
         self.words: dict[str, int] = {}
+        self.lines: dict[int, int] = {}
+        self.sums = np.zeros((CACHED_LINES, 1 + SKETCH), np.int64)
 
     def vector(self, text: str) -> Vector:
         # a trailing line break ends the last paragraph, it does not begin an empty one
@@ -95,10 +140,24 @@ class Hasher:
         keys = np.array([xxhash.xxh3_64_intdigest(p.encode("utf-8")) for p in paragraphs], np.uint64)
         times = np.array(list(paragraphs.values()), np.uint64)
         identity = (mixed(keys[:, None] + STEPS) * times[:, None]).sum(axis=0, dtype=np.uint64)
-        return Vector(identity, self.sketch(paragraphs))
-
-    def sketch(self, paragraphs: Counter) -> np.ndarray:
-        known, split = self.words, [p.split() for p in paragraphs]
+        return Vector(identity, self.sketch(list(paragraphs), keys.tolist(), times.astype(np.int64)))
+
+    def sketch(self, paragraphs: list[str], keys: list[int], times: np.ndarray) -> np.ndarray:
+        total, known = np.zeros(1 + SKETCH, np.int64), self.lines
+        for at in range(0, len(keys), TOGETHER):
+            part = dict(zip(keys[at : at + TOGETHER], paragraphs[at : at + TOGETHER]))
+            if len(known) + sum(k not in known for k in part) > CACHED_LINES:
+                known.clear()
+            self.learn({k: p for k, p in part.items() if k not in known})
+            rows = [known[k] for k in keys[at : at + TOGETHER]]
+            total += (self.sums[rows] * times[at : at + TOGETHER, None]).sum(axis=0)
+        return total
+
+    def learn(self, lines: dict[int, str]) -> None:
+        """Keep the sketches of lines, all their shingles hashed at once."""
+        if not lines:
+            return
+        known, split = self.words, [p.split() for p in lines.values()]
         new = {w for words in split for w in words if w not in known}
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
@@ -106,7 +165,6 @@ class Hasher:
         known.update((w, xxhash.xxh3_64_intdigest(w.encode("utf-8"))) for w in new)
         sizes = np.array([len(words) for words in split])
         flat = np.fromiter((known[w] for words in split for w in words), np.uint64, int(sizes.sum()))
-        times = np.repeat(np.array(list(paragraphs.values()), np.int64), sizes)
         # a shingle starts at each word that has enough words after it in its paragraph, or at a short one's first
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         left = np.repeat(sizes, sizes) - place
@@ -115,11 +173,15 @@ class Hasher:
             follows = np.flatnonzero(left > k)
             hashes[follows] = mixed(hashes[follows]) + flat[follows + k] * np.uint64(2 * k + 1)
         starts = (left >= SHINGLE) | (place == 0)
-        spread = mixed(hashes[starts])
-        signs = (spread >> np.uint64(63)).astype(np.int64) * 2 - 1
-        lanes = (spread % np.uint64(SKETCH)).astype(np.int64)
-        total = np.bincount(lanes, weights=signs * times[starts], minlength=SKETCH)
-        return total.astype(np.int64).astype(np.int16)
+        places = (mixed(hashes[starts]) % np.uint64(PLACES)).astype(np.int64)
+        windows, end = cauchy_windows(), 0
+        for key, n in zip(lines, np.where(sizes > 0, np.maximum(sizes - SHINGLE + 1, 1), 0).tolist()):
+            begin, end = end, end + n
+            row = self.sums[len(self.lines)]
+            row[0], row[1:] = n, 0
+            for at in range(begin, end, GATHERED):
+                row[1:] += windows[places[at : min(end, at + GATHERED)]].sum(axis=0, dtype=np.int32)
+            self.lines[key] = len(self.lines)
 
 
 def fingerprint_columns(

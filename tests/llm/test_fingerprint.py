@@ -67,6 +67,27 @@ def test_likeness():
     assert vector("").likeness(vector("")) == 1.0 and vector("a b").likeness(vector("")) == 0.0
 
 
+@pytest.mark.parametrize("line", ["one two three", words(5, 9)])
+@pytest.mark.parametrize("times", [300, 70_000])
+def test_repeated_lines_count_once_each(line, times):
+    own = "\n".join(words(9000 + k) for k in range(40))
+    some, many = (own + ("\n" + line) * n for n in (times // 3, times))
+    for left, right in ((own, some), (own, many), (some, many), (("\n" + line) * times, line)):
+        assert abs(vector(left).likeness(vector(right)) - exact(left, right)) < 0.2
+    whole = vector(many)
+    assert same(Vector.decoded(whole.encoded()), whole)
+    assert same(whole - vector((line + "\n") * (times - 1)), vector(own + "\n" + line))
+
+
+def test_likeness_of_pasted_lines():
+    errors = []
+    for i in range(30):
+        a = "\n".join(words(100 * i + k) for k in range(20))
+        b = "\n".join([*a.split("\n")[:15], *[words(7000 + i, 9)] * 288])
+        errors.append(vector(a).likeness(vector(b)) - exact(a, b))
+    assert abs(np.mean(errors)) < 0.05 and np.max(np.abs(errors)) < 0.2
+
+
 def test_rows(spark):
     long = "one two three four five\n" * 20000
     rows = [(1, None, 5, "x"), (2, "", 5, None), (3, long, 5, "x"), (3, long, 5, "x"), (None, "a\nb", 5, "b\na")]
