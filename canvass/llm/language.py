@@ -100,20 +100,21 @@ def forward(lattice: list, chances: np.ndarray) -> np.ndarray:
 
 
 def expected(lattice: list, chances: np.ndarray, counts: np.ndarray, totals: np.ndarray) -> None:
-    """Add each piece's expected number in words that occur `counts` times; for one language."""
+    """Add each piece's expected number in words that occur `counts` times; for one language.
+
+    Sums ahead are logarithms; the way back holds the share of segmentations that pass a place, so nothing underflows.
+    """
     n, length = len(counts), len(lattice)
-    ahead, back = [np.ones(n)], [np.zeros(n) for _ in range(length)] + [np.ones(n)]
+    with np.errstate(divide="ignore"):
+        logs = np.log(chances)
+    ahead, passed = [np.zeros(n)], [np.zeros(n) for _ in range(length)] + [np.ones(n)]
     for end, pieces in enumerate(lattice, 1):
-        ahead.append(sum(ahead[end - size] * chances[ids] for size, ids in pieces))
+        ahead.append(np.logaddexp.reduce([ahead[end - size] + logs[ids] for size, ids in pieces]))
     for end in range(length, 0, -1):
         for size, ids in lattice[end - 1]:
-            back[end - size] = back[end - size] + back[end] * chances[ids]
-    weight = counts / ahead[-1]
-    for end, pieces in enumerate(lattice, 1):
-        for size, ids in pieces:
-            totals += np.bincount(
-                np.where(ids < 0, len(totals) - 1, ids), weight * ahead[end - size] * chances[ids] * back[end], len(totals)
-            )
+            share = passed[end] * np.exp(ahead[end - size] + logs[ids] - ahead[end])
+            passed[end - size] += share
+            totals += np.bincount(np.where(ids < 0, len(totals) - 1, ids), counts * share, len(totals))
 
 
 class Model:

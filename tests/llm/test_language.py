@@ -62,6 +62,29 @@ def test_expected_counts():
     assert np.allclose(totals, want)
 
 
+def rare_letters():
+    return "".join(sorted(p for p in VOCABULARY.ids if len(p) == 1 and "\u4e00" <= p <= "\u9fff")[:64])
+
+
+def test_expected_counts_of_rare_letters():
+    letters = rare_letters()
+    c = np.append(np.full(VOCABULARY.size, 2e-6), 0.0)
+    totals = np.zeros(VOCABULARY.size + 1)
+    expected(VOCABULARY.lattice([MARK + letters]), c, np.array([3.0]), totals)
+    assert np.isfinite(totals).all()
+    ids = [VOCABULARY.ids[x] for x in letters]
+    assert len(ids) == 64 and (totals[ids] <= 3.0 + 1e-9).all() and totals[ids].sum() > 64
+
+
+def test_rare_letters_in_a_row_do_not_spoil_a_language(spark):
+    df = spark.createDataFrame(
+        [(1, "there that is the thing " * 60_000 + rare_letters(), "en"), (2, "der die das und nicht eine zeit " * 50, "de")],
+        "doc_id long, text string, lang string")
+    model = learn_model(df, BYTES, "doc_id", "text", "lang")
+    assert np.isfinite(model.chances).all() and (model.chances > 0).all() and np.allclose(model.chances.sum(axis=0), 1)
+    assert [lang for lang, _ in Scorer(model).predict(["that is the thing", "das und die"])] == ["en", "de"]
+
+
 def test_words():
     assert words_of("Ab-c1D_é²\n" + "x" * 130) == ["ab", "c", "d", "é²", "x" * 64, "x" * 64, "xx"]
 
