@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from canvass.functions.local import local_table
 from canvass.operators import catalog as c
 from workload import forms as f
+from workload import operators
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +121,9 @@ def test_trait_scales(spark):
     assert [(r["y"], r["label_short"].strip()) for r in got] == [
         (1, "Alle helfen SEP Jeder allein"), (2, "Offen SEP Eng"), (3, "Neues SEP Altes"),
     ]
+
+
+def test_source_labels_query_groups_every_row(spark):
+    sf = "/root/testdata/sf0.001"
+    counted = operators.source_labels_whole(spark, sf).agg({"n_questions": "sum"}).first()[0]
+    assert counted == spark.read.parquet(f"{sf}/part.parquet").count()

@@ -1100,6 +1100,21 @@ def source_labels(spark, sf):
     return c.source_labels(questions, ["Brand#11", "Brand#25", "Brand#33"])
 
 
+# The closed list of brands of part.
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+
+
+@query("""
+SELECT p_brand AS q_key, count(*) AS n_questions, string_agg(p_name, chr(10) ORDER BY p_partkey) AS questions
+FROM part GROUP BY 1
+""")
+def source_labels_whole(spark, sf):
+    questions = table(spark, sf, "part").select(
+        F.col("p_brand").alias("q_key"), F.col("p_partkey").alias("ord"), F.col("p_name").alias("label")
+    )
+    return c.source_labels(questions, BRANDS)
+
+
 @query("""
 SELECT p_partkey, '  ' || p_name || ' SEP ' || p_type AS label_short FROM part
 """)
