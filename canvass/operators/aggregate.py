@@ -56,15 +56,16 @@ def respondents(df: DataFrame, ids: str | Sequence[str]) -> Column:
 
 
 def share_of_group(
-    df: DataFrame, by: str | Sequence[str], value: str = "n", name: str = "share", open_values: bool = False
+    df: DataFrame, by: str | Sequence[str], value: str = "n", name: str = "share", closed: bool = False
 ) -> DataFrame:
-    """Value over the total of its group, for the counted answers of closed questions.
+    """Value over the total of its group.
 
-    These have a few rows in each group.  Counts of free texts (`open_values`)
-    have their totals aggregated and joined back, so that a hot group is split.
+    Totals are aggregated and joined back, so that a hot group is split.  Counts
+    of a `closed` question have a row for each level of the form, so a window
+    over them stays small whatever the number of answers.
     """
     by = [by] if isinstance(by, str) else list(by)
-    if not open_values:
+    if closed:
         return df.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy(*by)))
     totals = df.groupBy(*by).agg(F.sum(value).alias("_total"))
     out = lookup(df, totals, by, null_safe=True)

@@ -11,7 +11,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.local import local_table
@@ -19,6 +19,7 @@ from ..functions.missing import quoted
 from ..functions.text import option_of_rule, scale_label, spoken_code, without_number_suffix
 from .windows import marker_blocks, number_rows
 
+# Rows that a form may have at most, unless the caller says otherwise.
 MAX_FORM_ROWS = 20_000
 
 CATALOG_COLUMNS = [
@@ -27,11 +28,12 @@ CATALOG_COLUMNS = [
 ]
 
 
-def form_scale(df: DataFrame) -> list[Row]:
-    """Rows of a form's metadata on the driver; anything larger is an error."""
-    rows = df.limit(MAX_FORM_ROWS + 1).collect()
-    if len(rows) > MAX_FORM_ROWS:
-        raise ValueError(f"more than {MAX_FORM_ROWS} rows: not the metadata of one form")
+def form_scale(df: DataFrame, max_rows: int | None = None) -> list[Row]:
+    """Rows of a form's metadata on the driver; more than `max_rows` (MAX_FORM_ROWS) are an error."""
+    limit = MAX_FORM_ROWS if max_rows is None else max_rows
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows: not the metadata of one form")
     return rows
 
 
@@ -222,9 +224,9 @@ class Catalog:
         ))
 
 
-def load_catalog(meta: DataFrame, specs: Sequence[Question]) -> Catalog:
+def load_catalog(meta: DataFrame, specs: Sequence[Question], max_rows: int | None = None) -> Catalog:
     """Search one form and check how many rows each question found."""
-    found = form_scale(build_catalog(meta, specs).orderBy("ord"))
+    found = form_scale(build_catalog(meta, specs).orderBy("ord"), max_rows)
     rows: dict[str, list[Row]] = {}
     for r in found:
         rows.setdefault(r["q_key"], []).append(r)
@@ -250,8 +252,8 @@ class Choices:
         return [label for _, label in self.lists.get(list_name, [])]
 
 
-def load_choices(choices: DataFrame) -> Choices:
-    rows = form_scale(choices.orderBy("list_name", "ord"))
+def load_choices(choices: DataFrame, max_rows: int | None = None) -> Choices:
+    rows = form_scale(choices.orderBy("list_name", "ord"), max_rows)
     lists: dict[str, list[tuple[str, str]]] = {}
     for r in rows:
         pairs = lists.setdefault(r["list_name"], [])
@@ -307,13 +309,19 @@ def matrix_cell_list(
     headers: Sequence[tuple[str, str]],
     options: Sequence[tuple[str, str]],
 ) -> list[tuple[str, str, str]]:
-    """(column, header label, option label) for every match inside a column name."""
-    return [
-        (c, header, option)
-        for c in columns
-        for code, option in options if re.search(code, c)
-        for name, header in headers if re.search(name, c)
-    ]
+    """(column, header label, option label) of every column that names a header and an option.
+
+    A column that names two headers or two options is an error: its numbers
+    would be counted twice.
+    """
+    cells = []
+    for c in columns:
+        found = [(header, option) for code, option in options if re.search(code, c)
+                 for name, header in headers if re.search(name, c)]
+        if len(found) > 1:
+            raise QuestionError(f"matrix column {c!r} matches {len(found)} cells: {found}")
+        cells += [(c, *cell) for cell in found]
+    return cells
 
 
 def option_codes(meta: DataFrame, default: str = "insgesamt") -> DataFrame:
@@ -328,14 +336,12 @@ def rule_option(relevant: str | None, default: str = "insgesamt") -> str:
 
 
 def short_choice_labels(choices: DataFrame, list_name: str, manual: Sequence[str] | None = None) -> DataFrame:
-    """Label, spoken code and optional hand-written label of each option."""
+    """Label, spoken code and optional hand-written label of each option, in the order of the form."""
     listed = choices.filter(F.col("list_name") == list_name)
-    out = listed.select("ord", "label", spoken_code("name").alias("label_short"))
-    if manual is None:
-        return out.withColumn("label_manual", F.lit(None).cast("string")).drop("ord")
-    w = Window.orderBy("ord")
-    at = F.row_number().over(w)
-    return out.withColumn("label_manual", F.get(F.array(*[F.lit(m) for m in manual]), at - 1)).drop("ord")
+    found = form_scale(listed.select("ord", "label", spoken_code("name").alias("label_short")))
+    by_hand = dict(enumerate(manual or ()))
+    rows = [(r["label"], r["label_short"], by_hand.get(i)) for i, r in enumerate(sorted(found, key=lambda r: r["ord"]))]
+    return local_table(choices.sparkSession, rows, "label string, label_short string, label_manual string")
 
 
 def trait_scales(traits: DataFrame, intro: str) -> DataFrame:

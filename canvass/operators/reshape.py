@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.local import local_table
 from ..functions.missing import quoted, to_int
+from .ranges import row_numbers
 
 
 def multiselect_long(
@@ -70,27 +71,47 @@ def matrix_long(
     return long.withColumn("label", F.when(F.col(value) == 1, "✓").otherwise("✗"))
 
 
-def with_levels(df: DataFrame, levels: Sequence | DataFrame, name: str) -> DataFrame:
-    """Every row of a dimension with every level of a closed question.
+def named_levels(df: DataFrame, column: str, levels: Sequence[str]) -> Column:
+    """Those levels of a form that somebody named, as an array: a scalar subquery that keeps each level once."""
+    listed = df.select(column).filter(F.col(column).isin(list(levels)))
+    return listed.agg(F.collect_set(column)).scalar()
 
-    A list known from the form is exploded from a literal array.  A table of
-    levels is gathered into one array by a scalar subquery; it is meant for the
-    levels of a form, and its distinct values have to fit one row.  NULL is not a level.
+
+def with_levels(df: DataFrame, levels: Sequence | Column | DataFrame, name: str) -> DataFrame:
+    """Every row of a dimension with every level.
+
+    The levels of a closed question are a list known from the form, or an array
+    such as `named_levels` gives.  A table of levels may have any size: see `grid`.
+    NULL is not a level.
     """
     if isinstance(levels, DataFrame):
-        found = levels.toDF(name).agg(F.collect_set(name).alias("levels")).scalar()
-        return df.withColumn(name, F.explode(found))
+        known = levels.toDF(name).filter(F.col(name).isNotNull())
+        return grid(df.drop(name), known)
+    if isinstance(levels, Column):
+        return df.withColumn(name, F.explode(levels))
     values = list(dict.fromkeys(levels))
     if not values:
         return df.withColumn(name, F.lit(None).cast("string")).filter(F.lit(False))
     return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
+def with_rows(df: DataFrame, rows: Sequence[Row]) -> DataFrame:
+    """Every row of a dimension with every row of a form's table, known on the driver."""
+    listed = [F.struct(*[F.lit(v).alias(k) for k, v in r.asDict().items()]) for r in dict.fromkeys(rows)]
+    return df.select("*", F.inline(F.array(*listed))) if listed else df.filter(F.lit(False))
+
+
 def grid(left: DataFrame, right: DataFrame) -> DataFrame:
-    """All combinations of the distinct rows of two dimensions; the right one has to fit one row, as levels do."""
-    row = F.struct(*[quoted(c).alias(c) for c in right.columns])
-    found = right.select(row.alias("r")).agg(F.collect_set("r").alias("rows")).scalar()
-    return left.distinct().select("*", F.inline(found))
+    """All combinations of the distinct rows of two dimensions.
+
+    The rows of the right one are numbered, each left row is repeated for all
+    numbers, and an equi-join on the number brings the right columns; neither side
+    is gathered anywhere.
+    """
+    numbered = row_numbers(right.distinct(), right.columns, name="_cell")
+    last = numbered.agg(F.max("_cell")).scalar()
+    cells = left.distinct().withColumn("_cell", F.explode(F.sequence(F.lit(1).cast("long"), last)))
+    return cells.join(numbered, "_cell").drop("_cell")
 
 
 def add_zero_rows(counts: DataFrame, cells: DataFrame, value: str = "n") -> DataFrame:
@@ -110,7 +131,7 @@ def complete(
     counts: DataFrame,
     by: Sequence[str],
     level: str,
-    levels: Sequence | DataFrame,
+    levels: Sequence | Column | DataFrame,
     value: str = "n",
     groups: DataFrame | None = None,
     counted_only: bool = False,

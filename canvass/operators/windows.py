@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import as_col
 from .aggregate import counts
+from .ranges import row_numbers
 from .reshape import complete
 
 
@@ -96,8 +97,7 @@ def dedup_first(
 def rank_levels(df: DataFrame, level: str, total: str, name: str = "rank") -> DataFrame:
     """Levels numbered by their total, largest first."""
     per_level = df.groupBy(level).agg(F.sum(total).alias("total"))
-    w = Window.orderBy(F.desc("total"), F.asc_nulls_last(level))
-    return per_level.withColumn(name, F.row_number().over(w))
+    return row_numbers(per_level, ["total", level], descending=["total"], name=name).withColumn(name, F.col(name).cast("int"))
 
 
 def stack_order(df: DataFrame, by: str, level: str, value: str, name: str = "stack_order") -> DataFrame:
@@ -126,7 +126,7 @@ def year_chart(
 
 def number_rows(df: DataFrame, order: str, name: str = "y", by: Sequence[str] = ()) -> DataFrame:
     """Row number of form rows in questionnaire order, in each form named by `by`."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(order)))
+    return row_numbers(df, [order], by, name=name).withColumn(name, F.col(name).cast("int"))
 
 
 def marker_blocks(

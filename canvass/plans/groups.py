@@ -31,6 +31,7 @@ from ..operators.clean import (
 from ..operators.joins import harmonize, keep_ids, map_region, recode, recode_all
 from ..operators.reshape import labelled_long, matrix_cells, multiselect_long
 from ..operators.windows import dedup_first
+from .lazy import LazyTables
 
 GROUP_IDS = ("year", "og_id")
 
@@ -58,12 +59,17 @@ class Form:
         ]
 
 
-def load_form(questions: DataFrame, choices: DataFrame, specs: Sequence[Question]) -> Form:
-    """Search one form's metadata for the questions, options and matrix headers of a plan."""
+def load_form(
+    questions: DataFrame, choices: DataFrame, specs: Sequence[Question], max_rows: int | None = None
+) -> Form:
+    """Search one form's metadata for the questions, options and matrix headers of a plan.
+
+    `max_rows` is the number of rows that questions and choices may have (20,000 if not told).
+    """
     headers: dict[str, list[tuple[str, str]]] = {}
-    for r in form_scale(matrix_headers(questions).orderBy("ord")):
+    for r in form_scale(matrix_headers(questions).orderBy("ord"), max_rows):
         headers.setdefault(r["matrix"], []).append((r["name"], r["label"]))
-    return Form(load_catalog(questions, specs), load_choices(choices), headers)
+    return Form(load_catalog(questions, specs, max_rows), load_choices(choices, max_rows), headers)
 
 
 def prepare_groups(submissions: DataFrame, form: Form) -> DataFrame:
@@ -179,23 +185,23 @@ def group_data(raw: DataFrame, form: Form, regions: DataFrame) -> DataFrame:
     return data.withColumn("anzahl_insg", F.col("anzahl_tn") + F.col("anzahl_ma_leitung"))
 
 
-def clean_groups(submissions: DataFrame, form: Form, regions: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the group form.
+def clean_groups(submissions: DataFrame, form: Form, regions: DataFrame) -> LazyTables:
+    """All tables of the group form, planned when they are asked for.
 
     Only the table with one row per submission has to look for empty forms,
     which means reading every column.  A long table holds answers only, so an
     empty form has no row there and each table scans just its own question.
     """
     raw = prepare_groups(submissions, form)
-    return {
-        "og.data": group_data(drop_empty_rows(raw, GROUP_IDS), form, regions),
-        "og.long.wochentage": weekdays(raw, form),
-        "og.long.angebote_vor_ort": workshops(raw, form),
-        "og.long.gender_by_participant_type": matrix(raw, form, "geschlecht_begin", "gender"),
-        "og.long.alter_by_participant_type": matrix(raw, form, "alter_begin", "alter"),
-        "og.long.tn_gewinnung_massnahmen": measures(raw, form),
-        "og.long.unterstuetzungsbedarfe": needs(raw, form),
-    }
+    return LazyTables({
+        "og.data": lambda: group_data(drop_empty_rows(raw, GROUP_IDS), form, regions),
+        "og.long.wochentage": lambda: weekdays(raw, form),
+        "og.long.angebote_vor_ort": lambda: workshops(raw, form),
+        "og.long.gender_by_participant_type": lambda: matrix(raw, form, "geschlecht_begin", "gender"),
+        "og.long.alter_by_participant_type": lambda: matrix(raw, form, "alter_begin", "alter"),
+        "og.long.tn_gewinnung_massnahmen": lambda: measures(raw, form),
+        "og.long.unterstuetzungsbedarfe": lambda: needs(raw, form),
+    })
 
 
 def harmonize_groups(data: DataFrame, spelling: DataFrame, regions: DataFrame) -> DataFrame:
@@ -211,11 +217,11 @@ def first_of_each_group(data: DataFrame, order_by: Sequence[str] = ("og_id",)) -
 
 def first_submissions(
     tables: Mapping[str, DataFrame], order_by: Sequence[str] = ("og_id",)
-) -> dict[str, DataFrame]:
+) -> LazyTables:
     """Keep the first submission per group and edition, in all tables."""
     data = first_of_each_group(tables["og.data"], order_by)
-    out = {"og.data": data}
-    for name, table in tables.items():
-        if name.startswith("og.long."):
-            out[name] = keep_ids(table, data, GROUP_IDS)
-    return out
+    longs = [name for name in tables if name.startswith("og.long.")]
+    return LazyTables(
+        {"og.data": lambda: data}
+        | {name: (lambda name=name: keep_ids(tables[name], data, GROUP_IDS)) for name in longs}
+    )

@@ -21,7 +21,7 @@ from ..operators.aggregate import (
 )
 from ..operators.clean import drop_no_answer
 from ..operators.joins import keep_ids, lookup
-from ..operators.reshape import complete
+from ..operators.reshape import complete, named_levels
 from ..operators.sets import sorted_nulls_last, union_all
 from ..operators.windows import positions_of_counts, stacked_positions
 from .combine import HEADCOUNTS, estimated_groups
@@ -81,11 +81,12 @@ def gender_shares(gender: DataFrame) -> DataFrame:
     return positions_of_counts(cells, "gender", ["year", "person_type"], n="total")
 
 
-def age_totals(age: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
-    """Age classes per person type, with the largest total as common axis limit."""
-    rows = age if years is None else age.filter(F.col("year").isin(list(years)))
+def age_totals(age: DataFrame, shown: Column | None = None) -> DataFrame:
+    """Age classes per person type of the shown editions, with the largest total as common axis limit."""
+    rows = age if shown is None else age.filter(shown)
     cells = matrix_totals(rows, ["year", "person_type", "alter"])
-    return cells.withColumn("max_total", cells.agg(F.max("total")).scalar())
+    # one row for each cell of the matrix and edition is left
+    return cells.withColumn("max_total", F.max("total").over(Window.partitionBy()))
 
 
 def engagement(
@@ -126,12 +127,12 @@ def wanted_help(people: DataFrame, help_long: DataFrame) -> DataFrame:
     resp = people.select(*PERSON_IDS, "verantwortung_janein")
     long = help_long.join(resp, list(PERSON_IDS), "left").filter(F.col("verantwortung_janein").isNotNull())
     n = counts(long, ["year", "hilfsangebot", "verantwortung_janein"])
-    return share_of_group(n, ["year", "verantwortung_janein"], "n", "pct")
+    return share_of_group(n, ["year", "verantwortung_janein"], "n", "pct", closed=True)
 
 
 def responsibility_shares(people: DataFrame) -> DataFrame:
     n = counts(people, ["year", "verantwortung_janein"])
-    out = share_of_group(n, "year", "n", "perc")
+    out = share_of_group(n, "year", "n", "perc", closed=True)
     return out.withColumn("perc", F.bround(F.col("perc") * 100, 1))
 
 
@@ -162,13 +163,10 @@ def info_change(people: DataFrame) -> DataFrame:
     return stacked_positions(known, "info_wege_aenderung", ["year"], CHANGE_LEVELS, percent=False)
 
 
-def info_channels(channels: DataFrame, levels: Sequence[str] | None = None) -> DataFrame:
-    """Use of every channel, as percent of the people who answered.
-
-    Without a level list all channels named in any edition are shown.
-    """
+def info_channels(channels: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """Use of every channel of the form that somebody named, as percent of the people who answered."""
     n = counts(channels, ["year", "info_weg"])
-    n = complete(n, ["year"], "info_weg", n.select("info_weg") if levels is None else levels)
+    n = complete(n, ["year"], "info_weg", named_levels(n, "info_weg", levels))
     people = channels.groupBy("year").agg(F.count_distinct("tn_id").alias("n_personen"))
     return n.join(people, "year").withColumn("perc", F.col("n") * 100 / F.col("n_personen"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +29,7 @@ from ..operators.joins import harmonize, map_region, multiselect_with_other, rec
 from ..operators.privacy import delink
 from ..operators.reshape import columns_long, labelled_long, multiselect_long, rename_block
 from .groups import Form
+from .lazy import LazyTables
 
 PERSON_IDS = ("year", "tn_id")
 
@@ -128,24 +129,32 @@ def age_by_group(people: DataFrame) -> DataFrame:
     return group_mean_suppressed(people, ["year", "og_name"], "alter", "avg_alter")
 
 
-def demographics(raw: DataFrame, form: Form, contact: DataFrame) -> dict[str, DataFrame]:
+def demographics(
+    raw: DataFrame, form: Form, contact: Callable[[], DataFrame]
+) -> dict[str, Callable[[], DataFrame]]:
     """Sensitive answers as single columns in random order, without ids."""
     cat = form.catalog
-    answers = raw.select(
-        *PERSON_IDS,
-        quoted(cat.column("gender")).alias("gender"),
-        drop_above(to_int(cat.column("alter")), MAX_AGE).alias("alter"),
-        quoted(cat.column("schule")).alias("schule"),
-        quoted(cat.column("glaube_kontakt_sonst")).alias("kontakt_chrgl_sonst"),
-    )
-    answers = recode_all(answers, {"gender": form.mapping("gender"), "schule": form.mapping("schule")})
-    out = {
-        f"tn.demo.{c}": delink(answers, c, PERSON_IDS, ["year"])
-        for c in ("gender", "alter", "schule")
-    }
-    typed = answers.filter(F.col("kontakt_chrgl_sonst").isNotNull())
-    out["tn.demo.kontakt_chrgl_sonst"] = delink(typed, "kontakt_chrgl_sonst", PERSON_IDS, ["year"])
-    out["tn.demo.kontakt_chrgl"] = delink(contact, "kontaktpunkt", PERSON_IDS, ["year"])
+
+    def answers() -> DataFrame:
+        told = raw.select(
+            *PERSON_IDS,
+            quoted(cat.column("gender")).alias("gender"),
+            drop_above(to_int(cat.column("alter")), MAX_AGE).alias("alter"),
+            quoted(cat.column("schule")).alias("schule"),
+            quoted(cat.column("glaube_kontakt_sonst")).alias("kontakt_chrgl_sonst"),
+        )
+        return recode_all(told, {"gender": form.mapping("gender"), "schule": form.mapping("schule")})
+
+    def released(column: str) -> DataFrame:
+        return delink(answers(), column, PERSON_IDS, ["year"])
+
+    def typed() -> DataFrame:
+        known = answers().filter(F.col("kontakt_chrgl_sonst").isNotNull())
+        return delink(known, "kontakt_chrgl_sonst", PERSON_IDS, ["year"])
+
+    out = {f"tn.demo.{c}": (lambda c=c: released(c)) for c in ("gender", "alter", "schule")}
+    out["tn.demo.kontakt_chrgl_sonst"] = typed
+    out["tn.demo.kontakt_chrgl"] = lambda: delink(contact(), "kontaktpunkt", PERSON_IDS, ["year"])
     return out
 
 
@@ -155,35 +164,30 @@ def clean_people(
     spelling: DataFrame,
     regions: DataFrame,
     brand_words: Sequence[str] = (),
-) -> dict[str, DataFrame]:
-    """All tables of the person form."""
+) -> LazyTables:
+    """All tables of the person form, planned when they are asked for."""
     raw = prepare_people(submissions, form)
-    wide = statements_wide(raw, form)
-    people = person_rows(raw, form, spelling, regions, brand_words)
-    contact = open_multiselect(
-        raw, form, "glaube_kontakt", "glaube_kontakt_sonst", "kontaktpunkt", "kontakt_chrgl_sonst"
-    )
-    tables: Mapping[str, DataFrame] = {
-        "tn.data": people.drop("alter"),
-        "tn.wide.aussagen": wide,
-        "tn.agg.aussagen": likert_summary(statements_long(wide), ["year", "aussage"]),
-        "tn.agg.alter_by_og": age_by_group(people),
-        "tn.long.woerter": words(raw, form),
-        "tn.long.eigenschaften": traits(raw, form),
-        "tn.long.zugangsweg": open_multiselect(
-            raw, form, "zugangsweg", "zugangsweg_sonst", "zugangsweg", "zugangsweg_sonst"
-        ),
-        "tn.long.angebote_vor_ort": open_multiselect(
-            raw, form, "angebote", "angebote_sonst", "angebot", "angebot_sonst"
-        ),
-        "tn.long.gruende_dagegen": open_multiselect(
-            raw, form, "huerden", "huerden_andere", "grund", "andere_gruende"
-        ),
-        "tn.long.hilfsangebote": open_multiselect(
-            raw, form, "hilfe", "hilfe_sonst", "hilfsangebot", "hilfsangebot_sonst"
-        ),
-        "tn.long.info_wege_aktuell": closed_multiselect(raw, form, "info_aktuell", "info_weg"),
-        "tn.long.info_wege_wunsch": closed_multiselect(raw, form, "info_wunsch", "info_weg"),
+
+    def persons() -> DataFrame:
+        return person_rows(raw, form, spelling, regions, brand_words)
+
+    def opened(key: str, option: str, text: str, text_key: str | None = None) -> Callable[[], DataFrame]:
+        return lambda: open_multiselect(raw, form, key, text_key or f"{key}_sonst", option, text)
+
+    contact = opened("glaube_kontakt", "kontaktpunkt", "kontakt_chrgl_sonst")
+    tables: dict[str, Callable[[], DataFrame]] = {
+        "tn.data": lambda: persons().drop("alter"),
+        "tn.wide.aussagen": lambda: statements_wide(raw, form),
+        "tn.agg.aussagen": lambda: likert_summary(statements_long(statements_wide(raw, form)), ["year", "aussage"]),
+        "tn.agg.alter_by_og": lambda: age_by_group(persons()),
+        "tn.long.woerter": lambda: words(raw, form),
+        "tn.long.eigenschaften": lambda: traits(raw, form),
+        "tn.long.zugangsweg": opened("zugangsweg", "zugangsweg", "zugangsweg_sonst"),
+        "tn.long.angebote_vor_ort": opened("angebote", "angebot", "angebot_sonst"),
+        "tn.long.gruende_dagegen": opened("huerden", "grund", "andere_gruende", "huerden_andere"),
+        "tn.long.hilfsangebote": opened("hilfe", "hilfsangebot", "hilfsangebot_sonst"),
+        "tn.long.info_wege_aktuell": lambda: closed_multiselect(raw, form, "info_aktuell", "info_weg"),
+        "tn.long.info_wege_wunsch": lambda: closed_multiselect(raw, form, "info_wunsch", "info_weg"),
         "tn.long.kontakt_chrgl": contact,
     }
-    return {**tables, **demographics(raw, form, contact)}
+    return LazyTables(tables | demographics(raw, form, contact))

@@ -16,9 +16,10 @@ from ..operators.aggregate import (
     share_of_group,
     weighted_mean,
 )
+from ..operators.catalog import form_scale
 from ..operators.clean import slice_region
 from ..operators.joins import lookup, natural_join, suffixed_join
-from ..operators.reshape import complete, grid, presence_matrix
+from ..operators.reshape import complete, matrix_long, named_levels, presence_matrix, with_rows
 from ..operators.sets import sorted_nulls_last
 from .combine import HEADCOUNTS
 from .groups import GROUP_IDS
@@ -92,18 +93,10 @@ def workshop_matrix(pairs: DataFrame, levels: Sequence[str]) -> DataFrame:
     return presence_matrix(pairs.filter(F.col("og_name").isNotNull()), _GROUP, "angebot", levels)
 
 
-def workshop_presence(
-    pairs: DataFrame, group_totals: DataFrame, levels: Sequence[str] | None = None
-) -> DataFrame:
-    """Every group against every workshop, marked present or not, with the region.
-
-    Without a level list all workshops named in any edition are shown.
-    """
-    named = pairs.filter(F.col("og_name").isNotNull())
-    has = named.filter(F.col("angebot").isNotNull()).withColumn("has", F.lit(1))
-    levels = pairs.select("angebot") if levels is None else levels
-    cells = complete(has, _GROUP, "angebot", levels, "has", groups=named)
-    marked = cells.withColumn("label", F.when(F.col("has") == 1, "✓").otherwise("✗"))
+def workshop_presence(pairs: DataFrame, group_totals: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """Every group against every workshop of the form that somebody named, marked present or not, with the region."""
+    cells = matrix_long(workshop_matrix(pairs, levels), _GROUP, levels, "angebot")
+    marked = cells.filter(F.array_contains(named_levels(pairs, "angebot", levels), F.col("angebot")))
     regions = group_totals.select(*_GROUP, "og_region").distinct()
     return lookup(marked, regions, _GROUP, null_safe=True)
 
@@ -111,20 +104,17 @@ def workshop_presence(
 def workshop_shares(
     people_workshops: DataFrame,
     people: DataFrame,
-    levels: Sequence[str] | None = None,
+    levels: Sequence[str],
     region: str = "og_region",
 ) -> DataFrame:
-    """Participants of each workshop as share of all people of the region.
-
-    Without a level list all workshops named by anybody are shown.
-    """
+    """Participants of each workshop of the form that somebody named, as share of all people of the region."""
     where = people.select(*PERSON_IDS, region)
-    named = people_workshops.join(where, list(PERSON_IDS), "left").filter(F.col(region).isNotNull())
-    once = named.select(*PERSON_IDS, region, "angebot").distinct()
+    placed = people_workshops.join(where, list(PERSON_IDS), "left").filter(F.col(region).isNotNull())
+    once = placed.select(*PERSON_IDS, region, "angebot").distinct()
     by = ["year", region]
-    levels = people_workshops.select("angebot") if levels is None else levels
     people_n = counts(people.filter(F.col(region).isNotNull()), by, "n_tn_region")
-    n = complete(counts(once, [*by, "angebot"]), by, "angebot", levels, groups=people_n, counted_only=True)
+    named = named_levels(people_workshops, "angebot", levels)
+    n = complete(counts(once, [*by, "angebot"]), by, "angebot", named, groups=people_n, counted_only=True)
     return n.join(people_n, by, "left").withColumn("percent", F.try_divide(F.col("n"), F.col("n_tn_region")))
 
 
@@ -147,9 +137,9 @@ def option_share(long: DataFrame, column: str, option: str) -> DataFrame:
     return out.withColumn("anteil", F.bround(F.col("n_option") / F.col("n_gesamt"), 2))
 
 
-def shown_routes(choices: DataFrame, access: DataFrame) -> DataFrame:
-    """Access routes of the form that somebody named in the given editions."""
-    return choices.join(access.select("zugangsweg").distinct(), "zugangsweg", "left_semi")
+def _listed(choices: DataFrame, column: str) -> list[str]:
+    """Levels of a form's table, on the driver."""
+    return [r[column] for r in form_scale(choices.select(column))]
 
 
 def access_shares(
@@ -158,22 +148,23 @@ def access_shares(
     choices: DataFrame,
     region: str | None = None,
 ) -> DataFrame:
-    """Access routes as share of people, per edition or per region.
+    """Access routes of the form that somebody named, as share of people, per edition or per region.
 
-    `choices` holds the routes to show: zugangsweg, label_short, label_manual.
+    `choices` holds the routes of the form: zugangsweg, label_short, label_manual.
     """
+    shown = named_levels(access, "zugangsweg", _listed(choices, "zugangsweg"))
     by = ["year"] + ([region] if region else [])
     if region:
         where = people.select(*PERSON_IDS, region)
         named = access.join(where, list(PERSON_IDS), "left").filter(F.col(region).isNotNull())
         n = counts(named, [*by, "zugangsweg"])
         total = counts(people.filter(F.col(region).isNotNull()), by, "total_n")
-        n = complete(n, by, "zugangsweg", choices.select("zugangsweg"), groups=total, counted_only=True)
+        n = complete(n, by, "zugangsweg", shown, groups=total, counted_only=True)
         out = lookup(n, choices, "zugangsweg")
         return out.join(total, by, "left").withColumn("prop", F.try_divide(F.col("n"), F.col("total_n")))
     total = counts(people, by, "total_n")
     n = counts(access.filter(F.col("zugangsweg").isNotNull()), [*by, "zugangsweg"])
-    n = complete(n, by, "zugangsweg", choices.select("zugangsweg"), groups=total)
+    n = complete(n, by, "zugangsweg", shown, groups=total)
     out = n.join(choices, "zugangsweg").join(total, by)
     return out.withColumn("prop", F.try_divide(F.col("n"), F.col("total_n")))
 
@@ -185,7 +176,7 @@ def measure_counts(measures: DataFrame, choices: DataFrame) -> DataFrame:
     """
     rated = measures.filter(F.col("massnahme") != "Insgesamt")
     n = counts(rated, ["year", "massnahme"])
-    listed = complete(n, ["year"], "massnahme", choices.select("massnahme"), groups=measures)
+    listed = complete(n, ["year"], "massnahme", _listed(choices, "massnahme"), groups=measures)
     return listed.join(choices, "massnahme")
 
 
@@ -197,8 +188,7 @@ def measure_success(measures: DataFrame, choices: DataFrame, ratings: DataFrame)
     n = measure_counts(measures, choices).filter(F.col("massnahme") != "Insgesamt")
     rated = measures.filter(F.col("massnahme") != "Insgesamt")
     n_erf = counts(rated, ["year", "massnahme", "erfolg"], "n_erf")
-    cells = grid(choices.select("massnahme"), ratings)
-    rows = n.join(cells, "massnahme")
+    rows = with_rows(n, form_scale(ratings))
     out = lookup(rows, n_erf, ["year", "massnahme", "erfolg"]).fillna(0, ["n_erf"])
     return out.withColumn("perc", F.when(F.col("n") > 0, F.col("n_erf") / F.col("n")))
 
@@ -215,7 +205,7 @@ def problems_by_subregion(group_data: DataFrame, group_totals: DataFrame) -> Dat
         group_data.filter(F.col("hat_probleme_tn_gewinnung").isNotNull()), names, _GROUP
     ).filter(F.col("og_region").isNotNull())
     n = counts(rows, ["year", "og_region", "hat_probleme_tn_gewinnung"])
-    return share_of_group(n, ["year", "og_region"], "n", "perc")
+    return share_of_group(n, ["year", "og_region"], "n", "perc", closed=True)
 
 
 def need_table(needs: DataFrame, ranks: DataFrame) -> DataFrame:

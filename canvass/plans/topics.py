@@ -16,8 +16,9 @@ from ..operators.aggregate import (
     share_at_least,
     word_frequency,
 )
+from ..operators.catalog import form_scale
 from ..operators.joins import lookup
-from ..operators.reshape import add_zero_rows, grid
+from ..operators.reshape import add_zero_rows, with_rows
 from ..operators.windows import stacked_positions
 from .people import PERSON_IDS
 
@@ -44,7 +45,7 @@ def trait_distribution(traits: DataFrame, choices: DataFrame, pad: bool = True)
     """
     n = counts(traits, ["year", "eig", "value"])
     if pad:
-        n = add_zero_rows(n, grid(traits.select("year"), choices.select("eig", "value")))
+        n = add_zero_rows(n, with_rows(traits.select("year").distinct(), form_scale(choices.select("eig", "value"))))
     people = traits.groupBy("year").agg(F.count_distinct("tn_id").alias("n_personen"))
     out = lookup(n, choices, ["eig", "value"]).join(people, "year")
     return out.withColumn("percent", F.col("n") / F.col("n_personen"))

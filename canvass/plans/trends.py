@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.missing import n_distinct, strict_max, strict_sum, sum_or_zero
+from ..functions.missing import n_distinct, strict_sum, sum_or_zero
 from ..functions.text import titled
 from ..operators.aggregate import likert_summary, yearly
 from ..operators.clean import drop_no_answer
@@ -63,9 +63,12 @@ def people_per_year_and_region(group_totals: DataFrame, skip_missing: bool = Fal
     One unknown head count makes its sum, and with it the limit, unknown, unless
     skip_missing is set.
     """
-    add, top = (sum_or_zero, F.max) if skip_missing else (strict_sum, strict_max)
+    add = sum_or_zero if skip_missing else strict_sum
     out = yearly(group_totals, {"insg": add("anzahl_insg")}, ["region_grouped"])
-    return out.withColumn("y_max", out.agg(top("insg")).scalar())
+    # one row for each region and edition is left
+    all_of_it = Window.partitionBy()
+    top, known = F.max("insg").over(all_of_it), F.count("insg").over(all_of_it) == F.count(F.lit(1)).over(all_of_it)
+    return out.withColumn("y_max", top if skip_missing else F.when(known, top))
 
 
 def shows_per_year(group_data: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,14 +68,20 @@ def editions(df: DataFrame, year: str = "year") -> DataFrame:
     return df.select(F.col(year).alias("year")).distinct().orderBy("year")
 
 
-def edition_years(df: DataFrame, year: str = "year") -> list[int]:
-    """Editions on the driver: one number per survey year."""
-    rows = editions(df, year).limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("more than 10000 editions: not a year column")
+def edition_years(df: DataFrame, year: str = "year", limit: int = 10_000) -> list[int]:
+    """Editions on the driver: one number per survey year; more than `limit` are an error."""
+    rows = editions(df, year).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} editions: not a year column")
     return [r["year"] for r in rows if r["year"] is not None]
 
 
+def current_or_previous(available: DataFrame, year: str = "year") -> Column:
+    """Condition: the latest edition or the one before it, found while the query runs."""
+    latest = available.agg(F.max("year")).scalar()
+    return F.col(year).between(latest - 1, latest)
+
+
 def current_and_previous(years: Sequence[int], wanted: int | str | None = None) -> tuple[int, int | None]:
     """Requested (default: latest) edition and the one a year before, if present."""
     if not years:

@@ -1101,7 +1101,7 @@ def source_labels(spark, sf):
 
 
 # The closed list of brands of part.
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+NAMED_BRANDS = BRANDS[:25]
 
 
 @query("""
@@ -1112,7 +1112,7 @@ def source_labels_whole(spark, sf):
     questions = table(spark, sf, "part").select(
         F.col("p_brand").alias("q_key"), F.col("p_partkey").alias("ord"), F.col("p_name").alias("label")
     )
-    return c.source_labels(questions, BRANDS)
+    return c.source_labels(questions, NAMED_BRANDS)
 
 
 @query("""

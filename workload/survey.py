@@ -5,13 +5,15 @@ The SQL starts from the same raw answers and computes every table on its own.
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Mapping
+from functools import cached_property, lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.functions.local import local_table
 from canvass.operators import catalog as c
+from canvass.operators.clean import before_deadline
 from canvass.operators.sets import union_all
 from canvass.operators.windows import year_chart
 from canvass.plans import combine, groups, network, people, regions, topics, trends
@@ -33,19 +35,26 @@ class Survey:
         self.regions, self.spelling = f.region_map(spark), f.spelling_map(spark, sf)
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
+    def raw(self) -> Mapping[str, DataFrame]:
         return groups.clean_groups(f.group_submissions(self.spark, self.sf), f.form(self.spark, "og"), self.regions)
 
     @cached_property
-    def people(self) -> dict[str, DataFrame]:
+    def people(self) -> Mapping[str, DataFrame]:
         return people.clean_people(
             f.person_submissions(self.spark, self.sf), f.form(self.spark, "tn"), self.spelling, self.regions, f.BRAND_WORDS
         )
 
     @cached_property
-    def first(self) -> dict[str, DataFrame]:
-        data = groups.harmonize_groups(self.raw["og.data"], self.spelling, self.regions)
-        return groups.first_submissions(self.raw | {"og.data": data})
+    def first(self) -> Mapping[str, DataFrame]:
+        named = self.raw.replaced(
+            "og.data", lambda: groups.harmonize_groups(self.raw["og.data"], self.spelling, self.regions)
+        )
+        return groups.first_submissions(named)
+
+    @cached_property
+    def years(self) -> DataFrame:
+        """Editions with group submissions in time; only their years are read."""
+        return editions.editions(before_deadline(f.group_submissions(self.spark, self.sf).select("year", "end"), "year"))
 
     @cached_property
     def totals(self) -> DataFrame:
@@ -56,7 +65,9 @@ class Survey:
         return Plans(self.raw, self.people, self.regions, self.spelling)
 
 
+@lru_cache(maxsize=8)
 def survey(spark: SparkSession, sf: str) -> Survey:
+    """One set of plans for each session and folder; plans hold no data."""
     return Survey(spark, sf)
 
 
@@ -346,15 +357,14 @@ def report_gender_shares(spark, sf):
 SHOWN = "year IN (SELECT max(year) - k FROM gd, range(2) s(k) GROUP BY k)"
 
 
-def shown_years(groups: DataFrame) -> list[int]:
-    current, previous = editions.current_and_previous(editions.edition_years(groups))
-    return [y for y in (previous, current) if y is not None]
+def shown(spark: SparkSession, sf: str) -> Column:
+    return editions.current_or_previous(survey(spark, sf).years)
 
 
 @report(f"SELECT *, max(total) OVER () AS max_total FROM {cells_sql('age', 'alter')} WHERE {SHOWN}")
 def report_age_totals(spark, sf):
     known = tables(spark, sf)
-    return network.age_totals(known["og.long.alter_by_participant_type"], shown_years(known["og.data"]))
+    return network.age_totals(known["og.long.alter_by_participant_type"], shown(spark, sf))
 
 
 def engagement_sql(strict: bool) -> str:
@@ -404,8 +414,7 @@ def report_most_wanted_help(spark, sf):
 @report(f"SELECT max(pct) AS y_limit FROM {HELP_PCT} WHERE {SHOWN}")
 def report_help_limit(spark, sf):
     help_table = report_wanted_help(spark, sf)
-    years = shown_years(tables(spark, sf)["og.data"])
-    return help_table.filter(F.col("year").isin(years)).agg(F.max("pct").alias("y_limit"))
+    return help_table.filter(shown(spark, sf)).agg(F.max("pct").alias("y_limit"))
 
 
 @report("""SELECT year, verantwortung_janein, n, round_even(n / sum(n) OVER (PARTITION BY year) * 100, 1) AS perc
@@ -436,6 +445,9 @@ def report_info_change(spark, sf):
     return network.info_change(tables(spark, sf)["tn.data"])
 
 
+CHANNELS = [label for _, label in f.CHOICES["channels"]]
+
+
 def channels_sql(cte: str) -> str:
     return f"""SELECT year, info_weg, n, n_personen, n * 100 / n_personen AS perc FROM (SELECT year, info_weg, sum(n)::BIGINT AS n FROM (
   SELECT year, info_weg, count(*) AS n FROM {cte} GROUP BY 1, 2 UNION ALL SELECT y.year, l.info_weg, 0
@@ -445,12 +457,12 @@ JOIN (SELECT year, count(DISTINCT tn_id) AS n_personen FROM {cte} GROUP BY 1) US
 
 @report(channels_sql("now"))
 def report_info_channels(spark, sf):
-    return network.info_channels(tables(spark, sf)["tn.long.info_wege_aktuell"])
+    return network.info_channels(tables(spark, sf)["tn.long.info_wege_aktuell"], CHANNELS)
 
 
 @report(channels_sql("wish"))
 def report_info_wishes(spark, sf):
-    return network.info_channels(tables(spark, sf)["tn.long.info_wege_wunsch"])
+    return network.info_channels(tables(spark, sf)["tn.long.info_wege_wunsch"], CHANNELS)
 
 
 def participation_sql(x: str) -> str:
@@ -578,7 +590,7 @@ def report_workshop_matrix(spark, sf):
 LEFT JOIN (SELECT DISTINCT year, og_name, og_region FROM tot) r USING (year, og_name)""")
 def report_workshop_presence(spark, sf):
     t = tables(spark, sf)
-    return regions.workshop_presence(t["og.agg.angebote"], t["totals"])
+    return regions.workshop_presence(t["og.agg.angebote"], t["totals"], WORKSHOPS)
 
 
 @report("""SELECT year, og_region, angebot, n, n_tn_region, n / n_tn_region AS percent FROM (
@@ -590,7 +602,7 @@ def report_workshop_presence(spark, sf):
 LEFT JOIN (SELECT year, og_region, count(*) AS n_tn_region FROM td WHERE og_region IS NOT NULL GROUP BY 1, 2) USING (year, og_region)""")
 def report_workshop_shares(spark, sf):
     t = tables(spark, sf)
-    return regions.workshop_shares(t["tn.long.angebote_vor_ort"], t["tn.data"])
+    return regions.workshop_shares(t["tn.long.angebote_vor_ort"], t["tn.data"], WORKSHOPS)
 
 
 @report("""SELECT year, angebot, coalesce(n, 0) AS n, n_tn, coalesce(n, 0) / n_tn AS percent FROM (SELECT year, count(*) AS n_tn FROM td GROUP BY 1)
@@ -614,9 +626,8 @@ ROUTES = "(SELECT * FROM (VALUES " + ", ".join(
 ) + ") AS w(zugangsweg, label_short, label_manual) WHERE zugangsweg IN (SELECT zugangsweg FROM access)) v"
 
 
-def routes(spark, access):
-    listed = c.short_choice_labels(f.choice_table(spark), "access", MANUAL)
-    return regions.shown_routes(listed.withColumnRenamed("label", "zugangsweg"), access)
+def routes(spark):
+    return c.short_choice_labels(f.choice_table(spark), "access", MANUAL).withColumnRenamed("label", "zugangsweg")
 
 
 @report(f"""SELECT year, zugangsweg, coalesce(n, 0) AS n, label_short, label_manual, total_n, coalesce(n, 0) / total_n AS prop
@@ -626,7 +637,7 @@ LEFT JOIN (SELECT year, zugangsweg, count(*) AS n FROM access GROUP BY 1, 2) USI
 def report_access_shares(spark, sf):
     t = tables(spark, sf)
     access = t["tn.long.zugangsweg"]
-    return regions.access_shares(access, t["tn.data"], routes(spark, access))
+    return regions.access_shares(access, t["tn.data"], routes(spark))
 
 
 @report(f"""SELECT year, og_region, zugangsweg, n, label_short, label_manual, total_n, n / total_n AS prop FROM (
@@ -639,7 +650,7 @@ LEFT JOIN (SELECT year, og_region, count(*) AS total_n FROM td GROUP BY 1, 2) US
 def report_access_shares_by_region(spark, sf):
     t = tables(spark, sf)
     access = t["tn.long.zugangsweg"]
-    return regions.access_shares(access, t["tn.data"], routes(spark, access), "og_region")
+    return regions.access_shares(access, t["tn.data"], routes(spark), "og_region")
 
 
 MEASURES = "(VALUES ('Flyer verteilen', 'Flyer'), ('Soziale Medien', 'Social Media'), ('Sonstige Maßnahmen', 'Sonstige'), ('Tour', 'Show Tour'))"
@@ -882,4 +893,4 @@ def report_editions(spark, sf):
 def report_year_chart(spark, sf):
     wish = tables(spark, sf)["tn.long.info_wege_wunsch"].filter(F.col("info_weg").isNotNull())
     n = wish.groupBy("year", "info_weg").agg(F.count(F.lit(1)).alias("n"))
-    return year_chart(n, "year", "n", "info_weg", [label for _, label in f.CHOICES["channels"]])
+    return year_chart(n, "year", "n", "info_weg", CHANNELS)
