@@ -5,13 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+T = TypeVar("T")
+
 # Rows whose results are held at a time.
 SLICE = 512
 
@@ -21,6 +24,51 @@ RowFunction = Callable[..., tuple]
 SliceFunction = Callable[..., list[tuple]]
 
 
+# Tables that a Python worker keeps between tasks, by kind and key.
+HELD: dict[tuple[str, Hashable], object] = {}
+
+
+def held(kind: str, key: Hashable, make: Callable[[], T]) -> T:
+    """The worker's table of a kind.  Workers outlive stages, so asking for one kind releases all others."""
+    for known in [k for k in HELD if k[0] != kind]:
+        del HELD[known]
+    if (kind, key) not in HELD:
+        HELD[kind, key] = make()
+    return HELD[kind, key]
+
+
+class Recent:
+    """Values by key for the slices of a worker; those not asked for lately are forgotten.
+
+    `young` holds what the running slice needs.  At half of `limit` bytes it
+    becomes `old`, from which asked keys come back, so a long key or many of
+    them cost what they take and no more is held than `limit` and one slice.
+    """
+
+    def __init__(self, limit: int, size: Callable[[str, object], int]) -> None:
+        self.limit, self.size = limit, size
+        self.young: dict = {}
+        self.old: dict = {}
+        self.taken = 0
+
+    def absent(self, keys: Callable[[dict], set]) -> list:
+        """Keys that are not known at all; `keys` tells those that are not among the given ones."""
+        if self.taken > self.limit // 2:
+            self.old, self.young, self.taken = self.young, {}, 0
+        new = []
+        for key in keys(self.young):
+            value = self.old.get(key)
+            if value is None:
+                new.append(key)
+            else:
+                self.put(key, value)
+        return new
+
+    def put(self, key: str, value: object) -> None:
+        self.young[key] = value
+        self.taken += self.size(key, value)
+
+
 def by_row(make: Callable[[], RowFunction]) -> Callable[[], SliceFunction]:
     def make_slice() -> SliceFunction:
         row = make()

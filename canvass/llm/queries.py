@@ -9,21 +9,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canvass.llm.alignment import align_tokens
 from canvass.llm.chat import format_trees, learned_texts, threads, turns_of
 from canvass.llm.fingerprint import fingerprint_columns, paired_with_next
 from canvass.llm.jaccard import similar_rows
 from canvass.llm.language import held_out, learn_model, predict_languages
 from canvass.llm.mixing import WORDS, Target, mixture
+from canvass.llm.negatives import hard_negatives
 from canvass.llm.pieces import piece_columns
 from canvass.llm.search import search
 from canvass.llm.secret_scan import BASE, secret_spans
 from canvass.llm.sharding import shard_rows
+from canvass.llm.trie_bpe import bpe_columns
 from canvass.llm.urls import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def piece_model() -> bytes:
@@ -250,6 +254,60 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CAST(coalesce(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i])), 0) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query(NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector."""
+    vectors = table(spark, sf, "embeddings")
+    doubles = F.transform("embedding", lambda x: x.cast("double"))
+    finite = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = vectors.where("label IS NOT NULL AND embedding IS NOT NULL").where(finite).select(
+        F.col("vec_id").alias("id"),
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform(doubles, lambda x: F.floor(x * 256)).alias("vector"),
+    )
+    return hard_negatives(rows, F.col("id") % 50 == 0)
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """How byte-level and SentencePiece tokens of every document align."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return align_tokens(docs, BYTE_BPE, PIECES)
+
+
+@query()
+def op13_trie_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and what they decode to."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe_columns(docs, BYTE_BPE).select(
+        "doc_id", "n_tokens",
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
