@@ -11,6 +11,7 @@ shift.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 
 from canvass.llm.arrow import Recent, held, stored
 from canvass.llm.pieces import MARK
-from canvass.llm.trie_bpe import make_encoder, read_vocabulary, stretches
+from canvass.llm.trie_bpe import MergeTable, read_vocabulary, stretches
 
 # A pack of rows, whose links are numbered together, ends at this number of rows or bytes of text.
 PACK_ROWS = 4096
@@ -115,10 +116,18 @@ class Aligner:
 
     def __init__(self, byte_file: bytes, pattern: str, piece_file: bytes) -> None:
         import sentencepiece
-
-        self.byte = make_encoder(byte_file, pattern, special=False)
+        import tiktoken
+
+        table = MergeTable(json.loads(byte_file))
+        # tiktoken joins what gives a token, whatever the two parts; as long as each token's bytes
+        # are encoded as that token, no other parts of it ever meet than those that its merge joins
+        if not all(table.stands(t) for t in table.made):
+            raise ValueError("only vocabularies that encode the bytes of each token as this token")
+        self.of_rank = [*table.of_byte, *table.made]
+        ranks = {table.bytes[t]: rank for rank, t in enumerate(self.of_rank)}
+        self.byte = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=piece_file)
-        self.tokens = self.byte.table.bytes
+        self.tokens = table.bytes
         self.pieces = [
             bytes([int(p[3:5], 16)]) if self.processor.is_byte(i) else p.replace(MARK, " ").encode("utf-8")
             for i in range(self.processor.get_piece_size()) for p in (self.processor.id_to_piece(i),)
@@ -147,7 +156,8 @@ class Aligner:
     def learn(self, texts: list[str]) -> list[Aligned | bool]:
         """Stretches with their first blank, aligned together as one run of bytes."""
         raw = [t.encode("utf-8") for t in texts]
-        coded = [np.frombuffer(x, "<u4").tolist() for x in self.byte.encode_stretches(texts)]
+        encode, of_rank = self.byte.encode_ordinary, self.of_rank
+        coded = [[of_rank[r] for r in encode(t)] for t in texts]
         pieces = self.processor.encode([t[1:] for t in texts], num_threads=1) if texts else []
         good = [
             k for k, (r, a, b) in enumerate(zip(raw, coded, pieces))
