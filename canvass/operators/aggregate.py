@@ -19,6 +19,7 @@ from ..functions.missing import (
 )
 from .joins import lookup
 from .privacy import MIN_CELL, suppress_small
+from .ranges import quantiles
 
 
 def counts(df: DataFrame, by: str | Sequence[str], name: str = "n") -> DataFrame:
@@ -112,7 +113,7 @@ def group_mean_suppressed(
 
 
 def headcounts_from_people(
-    people: DataFrame, by: Sequence[str], responsible: str = "verantwortung_janein"
+    people: DataFrame, by: Sequence[str], responsible: str = "verantwortung_janein", more: Sequence[Column] = ()
 ) -> DataFrame:
     """Staff, participants and total per group, estimated from people's answers."""
     staff = yes(responsible)
@@ -120,6 +121,7 @@ def headcounts_from_people(
         F.count_if(staff).alias("anzahl_ma_leitung"),
         F.count_if(~staff).alias("anzahl_tn"),
         F.count(F.lit(1)).alias("anzahl_insg"),
+        *more,
     )
 
 
@@ -219,11 +221,12 @@ def any_per_id(df: DataFrame, ids: Sequence[str], test: Column, name: str) -> Da
     return df.groupBy(*ids).agg(any3(test).alias(name)).filter(F.col(name).isNotNull())
 
 
-def item_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Median, mean, sd and range of a rating scale per item.
+def item_stats(df: DataFrame, by: Sequence[str], value: str, closed: bool = False) -> DataFrame:
+    """Median, mean, sd and range of a number per item.
 
-    Answers are first reduced to one row per (item, scale value), so the exact
-    median works on frequencies and not on the raw rows.
+    Answers are first reduced to one row per (item, value).  The exact median of a
+    `closed` scale, with a few values, is taken from these frequencies in one
+    aggregate; that of an open number by ranges, so that no task holds an item's values.
     """
     v, n = F.col(value), F.col("_n")
     freq = (
@@ -235,13 +238,17 @@ def item_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     total, s1, s2 = F.sum(n), F.sum(x * n), F.sum(x * x * n)
     var = F.try_divide(s2 - s1 * s1 / total, total - 1)
     known = freq.groupBy(*by).agg(
-        F.percentile(v, 0.5, n).alias("median_bedarf"),
+        *([F.percentile(v, 0.5, n).alias("median_bedarf")] if closed else []),
         F.try_divide(s1, total).alias("bedarf_mean"),
         F.when(total > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("sd"),
         (F.max(v) - F.min(v)).alias("range"),
     )
     items = df.select(*by).distinct()
-    return lookup(items, known, list(by), null_safe=True)
+    out = lookup(items, known, list(by), null_safe=True)
+    if closed:
+        return out
+    told = quantiles(df, value, [0.5], by).select(*by, F.col("quantiles")[0].alias("median_bedarf"))
+    return lookup(out, told, list(by), null_safe=True)
 
 
 # Sentences by level and spread of a need; four have two blanks inside.

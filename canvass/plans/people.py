@@ -17,7 +17,7 @@ from ..functions.missing import (
     to_int,
 )
 from ..functions.text import plain_code, without_words
-from ..operators.aggregate import group_mean_suppressed, likert_summary
+from ..operators.aggregate import group_mean_suppressed, headcounts_from_people, likert_summary
 from ..operators.catalog import MAX_AGE
 from ..operators.clean import (
     add_missing_columns,
@@ -124,6 +124,13 @@ def person_rows(
     return map_region(people, regions)
 
 
+def counts_by_group(people: DataFrame) -> DataFrame:
+    """Head counts and age sums of groups, as people told their group and region."""
+    by = ["year", "region_grouped", "og_name", "og_region"]
+    ages = [F.sum("alter").alias("_age_sum"), F.count("alter").alias("_age_known")]
+    return headcounts_from_people(people, by, more=ages)
+
+
 def age_by_group(people: DataFrame) -> DataFrame:
     """Mean age and size per group; withheld for groups under three people."""
     return group_mean_suppressed(people, ["year", "og_name"], "alter", "avg_alter")
@@ -180,6 +187,7 @@ def clean_people(
         "tn.wide.aussagen": lambda: statements_wide(raw, form),
         "tn.agg.aussagen": lambda: likert_summary(statements_long(statements_wide(raw, form)), ["year", "aussage"]),
         "tn.agg.alter_by_og": lambda: age_by_group(persons()),
+        "tn.agg.counts_by_og": lambda: counts_by_group(persons()),
         "tn.long.woerter": lambda: words(raw, form),
         "tn.long.eigenschaften": lambda: traits(raw, form),
         "tn.long.zugangsweg": opened("zugangsweg", "zugangsweg", "zugangsweg_sonst"),

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.missing import n_distinct, sum_or_zero
+from ..functions.missing import n_distinct, no_answer, sum_or_zero
 from ..operators.aggregate import (
     counts,
     item_stats,
@@ -19,8 +19,10 @@ from ..operators.aggregate import (
 from ..operators.catalog import form_scale
 from ..operators.clean import slice_region
 from ..operators.joins import lookup, natural_join, suffixed_join
+from ..operators.partials import count_of, entities, known_total, mean_of, merged, numbered, states
+from ..operators.privacy import MIN_CELL
 from ..operators.reshape import complete, matrix_long, named_levels, presence_matrix, with_rows
-from ..operators.sets import sorted_nulls_last
+from ..operators.sets import sorted_nulls_last, union_all
 from .combine import HEADCOUNTS
 from .groups import GROUP_IDS
 from .people import PERSON_IDS
@@ -54,6 +56,57 @@ def region_overview(group_totals: DataFrame, group_data: DataFrame, ages: DataFr
     return lookup(out, ages.select(*_GROUP, "avg_alter", "n"), _GROUP, null_safe=True)
 
 
+def overview_in_one_pass(group_data: DataFrame, people_counts: DataFrame, k: int = MIN_CELL) -> DataFrame:
+    """The rows of `region_overview`, from one pass over each form.
+
+    People are counted by group and region first.  These counts and the submissions of
+    groups meet in one window for each edition and group, a few rows, which tells whether the group has a
+    submission of its own and gives the mean age of its people.
+    """
+    answers = ["hat_probleme_tn_gewinnung", "hat_hauptamt", "auftritte"]
+    where = [*_GROUP, "region_grouped", "og_region"]
+    rows = union_all([
+        group_data.select(*where, *HEADCOUNTS, *answers, F.lit(True).alias("_own")), people_counts.withColumn("_own", F.lit(False)),
+    ])
+    group = Window.partitionBy(*_GROUP)
+    people = F.sum(F.when(~F.col("_own"), F.col("anzahl_insg"))).over(group)
+    known = rows.withColumns({
+        "_has": F.max("_own").over(group), "n": people, "_sum": F.sum("_age_sum").over(group), "_known": F.sum("_age_known").over(group),
+    }).filter(F.col("_own") | ~F.col("_has"))
+    named = F.col("og_name").isNotNull()
+    mean = F.bround(F.try_divide(F.col("_sum"), F.col("_known")))
+    known = known.withColumns({"avg_alter": F.when(named & (F.col("n") >= k), mean), "n": F.when(named, F.col("n"))})
+    labels = {c: F.when(F.col("_own"), F.col(c)).otherwise(no_answer(c)) for c in ("region_grouped", "og_name")}
+    # an estimate without an answer can now share a label with a real one
+    same = [*where, "_own"]
+    rest = [F.max(c).alias(c) for c in [*answers, "avg_alter", "n"]]
+    return known.withColumns(labels).groupBy(*same).agg(*[F.sum(c).alias(c) for c in HEADCOUNTS], *rest).drop("_own")
+
+
+# Levels of the region report: the columns each is grouped by.
+LEVELS = {
+    "edition": ["year"], "region": ["year", "region_grouped"], "subregion": ["year", "region_grouped", "og_region"], "all": [],
+}
+
+
+def overview_levels(overview: DataFrame, levels: Mapping[str, Sequence[str]] = LEVELS) -> DataFrame:
+    """Nation, editions, regions and sub-regions from one aggregate, told apart by `level`.
+
+    Groups are numbered in each edition, so a group counts once for each edition of a level.
+    """
+    entity = F.when(F.col("og_name").isNotNull(), F.struct("year", "og_name"))
+    rows = numbered(overview.withColumn("_entity", entity), "_entity")
+    state = states(
+        rows, ["year", "region_grouped", "og_region"], [*HEADCOUNTS, "auftritte"], {"avg_alter": ("avg_alter", "n")},
+        {"hat_hauptamt": F.col("hat_hauptamt") == "Ja"},
+    )
+    out = merged(state, levels)
+    return out.select(
+        "level", *LEVELS["subregion"], entities().alias("n_og"), count_of("hat_hauptamt").alias("hat_hauptamt"),
+        *[known_total(c).alias(c) for c in [*HEADCOUNTS, "auftritte"]], F.bround(mean_of("avg_alter")).alias("avg_alter"),
+    )
+
+
 def overview_footer(overview: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
     """Number of groups, sums, yes counts and the mean age weighted by group size."""
     return overview.groupBy(*by).agg(
@@ -211,4 +264,4 @@ def problems_by_subregion(group_data: DataFrame, group_totals: DataFrame) -> Dat
 def need_table(needs: DataFrame, ranks: DataFrame) -> DataFrame:
     """Median, mean and spread of each need, with verbal bands."""
     order = ranks.select(F.col("label").alias("bedarf_value"), F.col("rank").alias("order"))
-    return need_bands(item_stats(lookup(needs, order, "bedarf_value"), ["year", "bedarf"], "order"))
+    return need_bands(item_stats(lookup(needs, order, "bedarf_value"), ["year", "bedarf"], "order", closed=True))

@@ -15,7 +15,7 @@ from canvass.functions import text as t
 from canvass.functions.local import local_table
 from canvass.operators import aggregate as a
 from canvass.operators import catalog as c
-from canvass.operators import clean, joins, privacy, reshape, sets, windows
+from canvass.operators import clean, joins, partials, privacy, ranges, reshape, sets, windows
 from canvass.plans import combine, trends
 from canvass.sources import editions, forms
 
@@ -1122,3 +1122,60 @@ def scale_labels(spark, sf):
     text = F.concat(F.lit('Dein Eindruck: von "'), "p_name", F.lit('" bis "'), "p_type", F.lit('"'))
     parts = table(spark, sf, "part").select("p_partkey", text.alias("label"))
     return parts.select("p_partkey", t.scale_label("label", "Dein Eindruck").alias("label_short"))
+
+
+@query("""
+SELECT CASE grouping(year, status, priority) WHEN 0 THEN 'cell' WHEN 1 THEN 'status' WHEN 3 THEN 'year' ELSE 'all' END AS level,
+  year, status, priority, count(DISTINCT customer) + max((customer IS NULL)::INT) AS respondents,
+  CASE WHEN count(*) = count(price) THEN round(sum(price), 2) END AS strict_price, round(coalesce(sum(price), 0), 2) AS known_price
+FROM (SELECT year(o_orderdate)::INT AS year, o_orderstatus AS status, o_orderpriority AS priority,
+  CASE WHEN o_custkey % 11 > 0 THEN o_custkey END AS customer, CASE WHEN o_orderkey % 5003 > 0 THEN o_totalprice END AS price FROM orders)
+GROUP BY GROUPING SETS ((), (year), (year, status), (year, status, priority))
+""")
+def distinct_levels(spark, sf):
+    rows = table(spark, sf, "orders").select(
+        F.year("o_orderdate").alias("year"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
+        F.when(F.col("o_custkey") % 11 > 0, F.col("o_custkey")).alias("customer"),
+        F.when(F.col("o_orderkey") % 5003 > 0, F.col("o_totalprice").cast("decimal(18,2)")).alias("price"),
+    )
+    cells = partials.states(partials.numbered(rows, "customer"), ["year", "status", "priority"], ["price"])
+    levels = {"all": [], "year": ["year"], "status": ["year", "status"], "cell": ["year", "status", "priority"]}
+    return partials.merged(cells, levels).select(
+        "level", "year", "status", "priority", partials.entities().alias("respondents"),
+        partials.strict_total("price").cast("double").alias("strict_price"), partials.known_total("price").cast("double").alias("known_price"),
+    )
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE AS l_quantity, row_number() OVER (ORDER BY l_quantity DESC, l_orderkey, l_linenumber) AS row_number
+FROM lineitem
+""")
+def row_numbers_whole(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"))
+    return ranges.row_numbers(lines, ["l_quantity", "l_orderkey", "l_linenumber"], descending=["l_quantity"])
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, q, rank() OVER w AS rank, dense_rank() OVER w AS dense_rank
+FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE l_quantity::INT END AS q FROM lineitem)
+WINDOW w AS (ORDER BY q DESC)
+""")
+def ranks_whole(spark, sf):
+    """A third of all rows share one value."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, 7).otherwise(F.col("l_quantity").cast("int")).alias("q")
+    )
+    return ranges.ranks(lines, ["q"], descending=["q"])
+
+
+@query("""
+SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag END AS mode, count(l_extendedprice) AS n,
+  round(quantile_cont(l_extendedprice::DOUBLE, 0.25), 6) AS q25, round(median(l_extendedprice::DOUBLE), 6) AS q50,
+  round(quantile_cont(l_extendedprice::DOUBLE, 0.9), 6) AS q90 FROM lineitem GROUP BY 1
+""")
+def quantiles_open(spark, sf):
+    """Exact quantiles of prices, one group holding a third of all rows."""
+    mode = F.when(F.col("l_orderkey") % 3 == 0, "hot").otherwise(F.col("l_returnflag")).alias("mode")
+    lines = table(spark, sf, "lineitem").select(mode, "l_extendedprice")
+    told = ranges.quantiles(lines, "l_extendedprice", [0.25, 0.5, 0.9], ["mode"])
+    return told.select("mode", "n", *[F.round(F.col("quantiles")[i], 6).alias(c) for i, c in enumerate(["q25", "q50", "q90"])])

@@ -5,6 +5,7 @@ The SQL starts from the same raw answers and computes every table on its own.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import cached_property, lru_cache
 
@@ -18,7 +19,8 @@ from canvass.operators.sets import union_all
 from canvass.operators.windows import year_chart
 from canvass.plans import combine, groups, network, people, regions, topics, trends
 from canvass.plans.editions import Plans
-from canvass.sources import editions
+from canvass.operators.partials import entities, known_total, merged, numbered, states, strict_total
+from canvass.sources import editions, ledger
 
 from . import forms as f
 from .operators import NEED_SENTENCE
@@ -543,7 +545,7 @@ def report_region_slice(spark, sf):
 @report("SELECT * FROM over_")
 def report_region_overview(spark, sf):
     t = tables(spark, sf)
-    return regions.region_overview(t["totals"], t["og.data"], t["tn.agg.alter_by_og"])
+    return regions.overview_in_one_pass(t["og.data"], t["tn.agg.counts_by_og"])
 
 
 W_AGE = "sum(avg_alter * n) / sum(CASE WHEN avg_alter IS NOT NULL THEN n END)"
@@ -563,6 +565,18 @@ def report_subregions(spark, sf):
     return regions.subregion_table(report_region_overview(spark, sf))
 
 
+LEVEL_SUMS = """count(DISTINCT (year, og_name)) + max((og_name IS NULL)::INT) AS n_og, count(*) FILTER (hat_hauptamt = 'Ja') AS hat_hauptamt,
+  coalesce(sum(anzahl_insg), 0)::BIGINT AS anzahl_insg, coalesce(sum(anzahl_tn), 0)::BIGINT AS anzahl_tn,
+  coalesce(sum(anzahl_ma_leitung), 0)::BIGINT AS anzahl_ma_leitung, coalesce(sum(auftritte), 0)::BIGINT AS auftritte"""
+
+
+@report(f"""SELECT CASE grouping(year, region_grouped, og_region) WHEN 0 THEN 'subregion' WHEN 1 THEN 'region' WHEN 3 THEN 'edition' ELSE 'all' END AS level,
+  year, region_grouped, og_region, {LEVEL_SUMS}, round_even({W_AGE}, 0) AS avg_alter FROM over_
+GROUP BY GROUPING SETS ((), (year), (year, region_grouped), (year, region_grouped, og_region))""")
+def report_levels(spark, sf):
+    return regions.overview_levels(report_region_overview(spark, sf))
+
+
 PAIRS = """, all_pairs AS (SELECT year, og_name, angebote_vor_ort AS angebot FROM gw JOIN gd USING (year, og_id)
 UNION SELECT year, og_name, angebot FROM tw JOIN td USING (year, tn_id)),
 pairs AS (SELECT * FROM all_pairs WHERE og_name IS NOT NULL)
@@ -880,6 +894,51 @@ def report_answer_counts(spark, sf):
     return trends.answer_counts(t["og.data"], t["tn.data"])
 
 
+def kept_rows(spark, known):
+    """First submission of each group, in the editions that are made."""
+    regs = f.region_map(spark)
+    return lambda stored, submissions: groups.first_of_each_group(
+        groups.harmonize_groups(groups.clean_groups(submissions, f.form(spark, "og"), regs)["og.data"], known, regs)
+    )
+
+
+def kept_state(stored, submissions):
+    rows = numbered(stored("og.data"), "og_name", ["year"])
+    return states(rows, ["year", "region_grouped"], ["anzahl_tn", "anzahl_insg"])
+
+
+@report("""SELECT CASE grouping(year, region_grouped) WHEN 0 THEN 'region' ELSE 'edition' END AS level, year, region_grouped,
+  count(DISTINCT og_name) AS ortsgruppen, CASE WHEN count(*) = count(anzahl_insg) THEN sum(anzahl_insg)::BIGINT END AS insg_strict,
+  coalesce(sum(anzahl_tn), 0)::BIGINT AS tn_known FROM gd GROUP BY GROUPING SETS ((year), (year, region_grouped))""")
+def report_kept_editions(spark, sf):
+    """All editions are landed, the last one without its odd submissions; it is landed again, whole, and only it is made anew."""
+    root = f"{ledger.shared_folder(spark)}/editions-{uuid.uuid4().hex}"
+    landing, raw = f"{root}/landing", f.group_submissions(spark, sf)
+    last = raw.agg(F.max("year")).scalar()
+
+    def land(rows):
+        rows.withColumn("edition", F.col("year")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "edition").parquet(landing)
+
+    def bring_up_to_date():
+        stored = ledger.Ledger(spark, root).files(landing)
+        folders = {int(s.getPath().getName().split("=")[1]): s.getPath().toString() for s in stored if s.isDirectory()}
+        return ledger.refresh(
+            spark, root, folders, lambda paths: spark.read.schema(raw.schema).parquet(*paths),
+            {"og.data": kept_rows(spark, f.spelling_map(spark, sf)), "og.state": kept_state},
+        )
+
+    land(raw.filter((F.col("year") < last) | (F.col("_id") % 2 == 0)))
+    bring_up_to_date()
+    land(raw.filter(F.col("year") == last))
+    bring_up_to_date()
+    state = merged(ledger.kept_table(spark, root, "og.state"), {"edition": ["year"], "region": ["year", "region_grouped"]})
+    return state.select(
+        "level", "year", "region_grouped", entities().alias("ortsgruppen"), strict_total("anzahl_insg").alias("insg_strict"),
+        known_total("anzahl_tn").alias("tn_known"),
+    )
+
+
 @report("SELECT DISTINCT year FROM td")
 def report_editions(spark, sf):
     return editions.editions(tables(spark, sf)["tn.data"])
