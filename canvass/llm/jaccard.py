@@ -4,7 +4,7 @@ Texts with the same set of shingles form a class; classes are joined, not texts.
 
 1. Support.  A class can only be linked if enough of its shingles occur in another class.
    Blocks of texts send each shingle once, as part of a packed array, to the part of the hash range it
-   belongs to; what comes back is the number of shared shingles of each class.
+   belongs to; what comes back, one packed array for each block and part, is the number of shared shingles of each class.
 2. Groups.  Under the first order (rare shingles first), linked classes share a shingle in their
    prefixes: the first shingles of the order, as many as a linked partner cannot all miss.
    Classes connected by shared prefix shingles form a group; links never leave a group.
@@ -19,11 +19,13 @@ Shingles are 64-bit hashes, classes are known by 128-bit hashes of their sets.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField
@@ -137,11 +139,14 @@ def reference(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-PACKED = "part int, refs binary, sizes binary, shingles binary, common binary, done binary, shared binary, whole binary"
+PACKED = "pack long, part int, refs binary, sizes binary, shingles binary, common binary, done binary, shared binary, whole binary"
 
 
-def packs(classes: list[tuple[int, np.ndarray]], parts: int) -> Iterator[dict]:
-    """One row for each part of the hash range from distinct classes (reference, shingles).
+KINDS = {"pack": pa.int64(), "part": pa.int32()}
+
+
+def packs(pack: int, classes: list[tuple[int, np.ndarray]], parts: int) -> Iterator[dict]:
+    """One row of a pack for each part of the hash range from distinct classes (reference, shingles).
 
     Shingles of one class go with its reference; those of several are counted here, and go
     once and without one.
@@ -166,7 +171,7 @@ def packs(classes: list[tuple[int, np.ndarray]], parts: int) -> Iterator[dict]:
         by_owner = np.argsort(own, kind="stable")
         present, counts = np.unique(own, return_counts=True)
         yield {
-            "part": p,
+            "pack": pack, "part": p,
             "refs": refs[present].tobytes(),
             "sizes": counts.astype(np.uint32).tobytes(),
             "shingles": tokens[cut[p] : cut[p + 1]][by_owner].astype(np.uint32).tobytes(),
@@ -178,12 +183,13 @@ def packs(classes: list[tuple[int, np.ndarray]], parts: int) -> Iterator[dict]:
 
 
 def count_shared(table: pa.Table) -> pa.Table:
-    """For one part: how many of its shingles each class shares with another class."""
+    """For one part: how many of the shingles of each class of a pack occur in another class, packed like the question."""
 
     def gather(name: str, kind) -> np.ndarray:
         return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table[name]] or [np.zeros(0, kind)])
 
-    refs, of_row = np.unique(gather("refs", np.int64), return_inverse=True)
+    asked = gather("refs", np.int64)
+    refs, of_row = np.unique(asked, return_inverse=True)
     of = np.repeat(of_row, gather("sizes", np.uint32)).astype(np.uint64)
     # copies of a class in other packs count once
     pairs = np.unique(gather("shingles", np.uint32).astype(np.uint64) << np.uint64(32) | of)
@@ -196,32 +202,48 @@ def count_shared(table: pa.Table) -> pa.Table:
         at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
         again |= common[at] == tokens
     shared = np.bincount((pairs[again] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(refs))
-    some = shared > 0
-    return pa.table({
-        "ref": np.concatenate([refs[some], gather("done", np.int64)]),
-        "shared": np.concatenate([shared[some], gather("shared", np.uint32).astype(np.int64)]),
-        "n": np.concatenate([np.zeros(int(some.sum()), np.int64), gather("whole", np.uint32).astype(np.int64)]),
-    })
+    told = shared[of_row].astype(np.uint32)
+    ends = np.cumsum([len(x.as_buffer()) // 8 for x in table["refs"]]).tolist()
+    answers = [told[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+    return table.select(["pack", "refs", "done", "shared", "whole"]).append_column("told", pa.array(answers, pa.binary()))
+
+
+COUNTED = "pack long, refs binary, done binary, shared binary, whole binary, told binary"
+
+
+def enough_shared(limit: Threshold) -> Callable[[pa.Table], pa.Table]:
+    """References of the classes of a pack that share enough, from what each part told and the pack itself knew."""
+
+    def run(table: pa.Table) -> pa.Table:
+        def gather(name: str, kind) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table[name]])
+
+        refs, order = np.unique(gather("done", np.int64), return_index=True)
+        shared = gather("shared", np.uint32)[order].astype(np.int64)
+        n = gather("whole", np.uint32)[order].astype(np.int64)
+        shared += np.bincount(np.searchsorted(refs, gather("refs", np.int64)), gather("told", np.uint32), len(refs)).astype(np.int64)
+        return pa.table({"ref": refs[shared * limit.whole >= n * limit.part]})
+
+    return run
 
 
 def supported(df: DataFrame, text: str, size: int, limit: Threshold, parts: int) -> DataFrame:
     """Column ref: references of the classes that share enough shingles with others.
 
-    Hashes are shortened to the part and 32 bits here, and a class in several packs may
-    count a shingle twice; both can only let a class pass that need not.
+    Hashes are shortened to the part and 32 bits here, which can only let a class pass that need not.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
         held: dict[int, np.ndarray] = {}
         total = 0
+        # the same for a repeated task, which reads the same rows
+        number = itertools.count(TaskContext.get().partitionId() << 32)
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                for row in packs(list(held.items()), parts):
-                    yield pa.RecordBatch.from_pydict(
-                        {k: pa.array([v], pa.int32() if k == "part" else pa.binary()) for k, v in row.items()}
-                    )
+                for row in packs(next(number), list(held.items()), parts):
+                    yield pa.RecordBatch.from_pydict({k: pa.array([v], KINDS.get(k, pa.binary())) for k, v in row.items()})
             held.clear()
 
         for batch in batches:
@@ -238,9 +260,8 @@ def supported(df: DataFrame, text: str, size: int, limit: Threshold, parts: int)
         yield from flush()
 
     packed = df.select(F.col(text).alias("text")).mapInArrow(run, PACKED)
-    counted = packed.groupBy("part").applyInArrow(count_shared, "ref long, shared long, n long")
-    sums = counted.groupBy("ref").agg(F.sum("shared").alias("shared"), F.max("n").alias("n"))
-    return sums.where(F.col("shared") * limit.whole >= F.col("n") * limit.part).select("ref")
+    counted = packed.groupBy("part").applyInArrow(count_shared, COUNTED)
+    return counted.groupBy("pack").applyInArrow(enough_shared(limit), "ref long").distinct()
 
 
 def gathered(sets: DataFrame) -> DataFrame:

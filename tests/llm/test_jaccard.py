@@ -129,7 +129,7 @@ def test_unit_keeps_links_under_every_order():
 def test_packs_hold_every_shingle_once():
     shingler = Shingler(4)
     sets = [shingler.shingles(t) for t in ("a b c d e f", "a b c d e g", "x y")]
-    rows = list(packs([(k - 1, s) for k, s in enumerate(sets)], 7))
+    rows = list(packs(5, [(k - 1, s) for k, s in enumerate(sets)], 7))
     assert sum(len(r["shingles"]) + len(r["common"]) for r in rows) == 4 * len(np.unique(np.concatenate(sets)))
     shared = {int(i): int(n) for r in rows for i, n in zip(np.frombuffer(r["done"], np.int64), np.frombuffer(r["shared"], np.uint32))}
     assert shared == {-1: 2, 0: 2, 1: 0}
