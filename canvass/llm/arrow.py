@@ -24,15 +24,14 @@ RowFunction = Callable[..., tuple]
 SliceFunction = Callable[..., list[tuple]]
 
 
-# Tables that a Python worker keeps between tasks, by kind and key.
+# The table that a Python worker keeps between tasks, by kind and key.
 HELD: dict[tuple[str, Hashable], object] = {}
 
 
 def held(kind: str, key: Hashable, make: Callable[[], T]) -> T:
-    """The worker's table of a kind.  Workers outlive stages, so asking for one kind releases all others."""
-    for known in [k for k in HELD if k[0] != kind]:
-        del HELD[known]
+    """The worker's table of a kind and key.  Workers outlive stages, so asking for one releases the one before."""
     if (kind, key) not in HELD:
+        HELD.clear()
         HELD[kind, key] = make()
     return HELD[kind, key]
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from canvass.llm.arrow import SliceFunction, add_columns, stored
+from canvass.llm.arrow import SliceFunction, add_columns, held, stored
 
 MARK = "▁"
 WORD = re.compile(r"[^\W\d_]{1,64}")
@@ -247,10 +247,6 @@ def expected_counts(counts: DataFrame, vocabulary: bytes, number: dict[str, int]
     return partial.groupBy("lang", "piece").agg(F.sum("n").alias("n"))
 
 
-# The scorer of the model a Python worker used last, so that its words outlive a task.
-LAST: list[Scorer] = []
-
-
 def predict_languages(df: DataFrame, model: Model, text: str = "text", into: str = "lang_pred", score: str = "score") -> DataFrame:
     """`df` with the language of the whole text and its probability among the learned languages.
 
@@ -261,9 +257,8 @@ def predict_languages(df: DataFrame, model: Model, text: str = "text", into: str
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def make() -> SliceFunction:
-        if not LAST or LAST[0].model is not shared.value:
-            LAST[:] = [Scorer(shared.value)]
-        return LAST[0].predict
+        # its words outlive a task; the scorer holds the model, so no other has its address meanwhile
+        return held("language", id(shared.value), lambda: Scorer(shared.value)).predict
 
     return add_columns(df, [text], [StructField(into, StringType()), StructField(score, DoubleType())], make)
 

@@ -21,11 +21,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
-from canvass.llm.arrow import SliceFunction, add_columns
+from canvass.llm.arrow import Recent, SliceFunction, add_columns, held
 
 MARK = "▁"
-# Chunks kept with their ids in one task; the table is emptied beyond it.
-CACHED_CHUNKS = 1_000_000
+# Bytes that the known chunks, and the known parts of chunks, of one worker may take, and what one takes besides its characters.
+CHUNK_BYTES, PART_BYTES, ENTRY_BYTES = 112 << 20, 32 << 20, 200
 # Up to so many symbols the agenda is a plain list; searching it is then cheaper than a heap.
 SHORT = 48
 
@@ -131,20 +131,14 @@ class Encoder:
     def __init__(self, processor) -> None:
         self.processor = processor
         self.vocabulary = MergeVocabulary(processor)
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known, self.parts = Recent(CHUNK_BYTES, taken), Recent(PART_BYTES, taken)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids without begin and end."""
         split = [self.words(t) for t in texts]
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if new:
-            if len(known) + len(new) > CACHED_CHUNKS:
-                known.clear()
-                self.parts.clear()
-                new = {w for words in split for w in words}
-            self.learn(list(new))
+        new = self.known.absent(lambda known: {w for words in split for w in words if w not in known})
+        self.learn(new)
+        known = self.known.young
         return [b"".join([known[w] for w in words]) for words in split]
 
     @staticmethod
@@ -155,16 +149,14 @@ class Encoder:
         return words
 
     def learn(self, words: list[str]) -> None:
-        parts, vocabulary, known = self.parts, self.vocabulary, self.known
-        for w in words:
-            own = []
-            # most words are letters alone, which few cuts would divide
-            for part in (MARK + w,) if w.isalpha() else vocabulary.cut(MARK + w):
-                ids = parts.get(part)
-                if ids is None:
-                    ids = parts[part] = vocabulary.encode_part(part)
-                own.append(ids)
-            known[w] = b"".join(own)
+        vocabulary = self.vocabulary
+        # most words are letters alone, which few cuts would divide
+        cuts = {w: (MARK + w,) if w.isalpha() else vocabulary.cut(MARK + w) for w in words}
+        for part in self.parts.absent(lambda known: {p for own in cuts.values() for p in own if p not in known}):
+            self.parts.put(part, vocabulary.encode_part(part))
+        parts = self.parts.young
+        for w, own in cuts.items():
+            self.known.put(w, b"".join([parts[p] for p in own]))
         plain = [w for w in words if w and w[0] != MARK]
         self.check(" ".join(plain), plain)
         for w in words:
@@ -172,25 +164,26 @@ class Encoder:
                 self.check(w.replace(MARK, " "), [w])
 
     def check(self, text: str, words: list[str]) -> None:
-        if words and b"".join([self.known[w] for w in words]) != packed(array("I", self.processor.encode(text))):
+        known = self.known.young
+        if words and b"".join([known[w] for w in words]) != packed(array("I", self.processor.encode(text))):
             for w in words:
                 told = self.processor.encode(w.replace(MARK, " "))
-                if unpacked(self.known[w]) != told:
-                    raise ValueError(f"encoding of {w!r} differs from the library: {unpacked(self.known[w])} and {told}")
+                if unpacked(known[w]) != told:
+                    raise ValueError(f"encoding of {w!r} differs from the library: {unpacked(known[w])} and {told}")
             raise ValueError("the encoding of words together differs from the library")
 
 
-# One encoder for each vocabulary and Python worker, so that its tables outlive a task.
-ENCODERS: dict[bytes, Encoder] = {}
+def taken(chunk: str, ids: bytes) -> int:
+    return ENTRY_BYTES + 2 * len(chunk) + len(ids)
 
 
 def encoder_of(model: bytes) -> Encoder:
-    key = hashlib.sha256(model).digest()
-    if key not in ENCODERS:
-        import sentencepiece
+    """The worker's encoder of a vocabulary, so that its tables outlive a task."""
+    import sentencepiece
 
-        ENCODERS[key] = Encoder(sentencepiece.SentencePieceProcessor(model_proto=model))
-    return ENCODERS[key]
+    return held(
+        "pieces", hashlib.sha256(model).digest(), lambda: Encoder(sentencepiece.SentencePieceProcessor(model_proto=model))
+    )
 
 
 def piece_columns(
