@@ -23,8 +23,6 @@ from pyspark.sql.types import ArrayType, StringType, StructField
 from canvass.llm.arrow import SLICE, add_columns, by_row, small, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Letters in a word that the vocabulary may have; longer runs are no words.
-LONGEST = 24
 
 
 @dataclass(frozen=True)
@@ -63,6 +61,8 @@ def names(kind: str, text: Column) -> Column:
     )
 
 
+# Letters by which words of the vocabulary are looked up.
+HEAD = 24
 WORD = re.compile(r"[^\W\d_]+")
 TAGS = re.compile(r"<(?:script|style)\b.*?</(?:script|style)\s*>|<[^>]*>", re.S | re.I)
 
@@ -74,7 +74,7 @@ def page_words(pages: DataFrame, html: str) -> DataFrame:
         for part in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             counts: Counter = Counter()
             for value in part.column(0).to_pylist():
-                counts.update(w for w in WORD.findall(TAGS.sub(" ", value or "").lower()) if len(w) <= LONGEST)
+                counts.update(w for w in WORD.findall(TAGS.sub(" ", value or "").lower()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
             )
@@ -83,19 +83,24 @@ def page_words(pages: DataFrame, html: str) -> DataFrame:
 
 
 def viterbi(name: str, candidates: dict[tuple[int, int], int], total: int) -> list[str]:
-    """Likeliest words that make up the name; `candidates` maps place and length to counts.
+    """Likeliest words that make up the name; `candidates` maps place and length of words of the vocabulary to counts.
 
-    A piece outside the vocabulary costs tenfold more with every letter.  Of equal
+    A piece outside the vocabulary, of any length, costs tenfold more with every letter.  Of equal
     ways, the one with the longer last word is taken.
     """
+    rare, letter = math.log(10 / max(total, 1)), math.log(10)
+    ending: dict[int, list[int]] = {}
+    for begin, size in candidates:
+        ending.setdefault(begin + size, []).append(size)
     best: list[tuple[float, int]] = [(0.0, 0)]
+    unknown = 0  # where the best piece outside the vocabulary that ends here begins
     for end in range(1, len(name) + 1):
-        ways = []
-        for size in range(min(LONGEST, end), 0, -1):
-            n = candidates.get((end - size, size))
-            chance = math.log(n / total) if n else math.log(10 / max(total, 1)) - size * math.log(10)
-            ways.append((best[end - size][0] + chance, end - size))
-        best.append(max(ways, key=lambda w: w[0]))
+        # a letter more costs every piece the same, so only a new one can be better than the last
+        ways = [(best[begin][0] + rare - (end - begin) * letter, begin) for begin in {unknown, end - 1}]
+        score, unknown = max(ways, key=lambda w: (w[0], -w[1]))
+        ways = [(score, unknown)]
+        ways += [(best[end - n][0] + math.log(candidates[end - n, n] / total), end - n) for n in ending.get(end, ())]
+        best.append(max(ways, key=lambda w: (w[0], -w[1])))
     words, end = [], len(name)
     while end:
         begin = best[end][1]
@@ -109,10 +114,17 @@ def segmented(distinct: DataFrame, counts: DataFrame) -> DataFrame:
     total = counts.agg(F.sum("n")).first()[0] or 0
     starts = distinct.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("i"))
     left = F.length("name") - F.col("i") + 1
-    pieces = starts.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), left)))).withColumn(
+    pieces = starts.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(HEAD), left)))).withColumn(
         "word", F.substring("name", F.col("i"), F.col("size"))
     )
-    found = pieces.join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("i", "size", "n")).alias("found"))
+    length = F.length("word")
+    hits = pieces.join(counts.where(length <= HEAD), "word").select("name", "i", "size", "n")
+    # longer words are found by their first letters and compared where these occur
+    longer = counts.where(length > HEAD).select(F.substring("word", 1, HEAD).alias("head"), F.col("word").alias("whole"), "n")
+    heads = pieces.where(F.col("size") == HEAD).select("name", "i", F.col("word").alias("head")).join(longer, "head")
+    long_hits = heads.where(F.substring("name", F.col("i"), F.length("whole")) == F.col("whole"))
+    hits = hits.unionByName(long_hits.select("name", "i", F.length("whole").alias("size"), "n"))
+    found = hits.groupBy("name").agg(F.collect_list(F.struct("i", "size", "n")).alias("found"))
 
     def make() -> Callable[..., tuple]:
         def row(name: str, found: list | None) -> tuple:

@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 
 from canvass.llm import queries
-from canvass.llm.urls import LONGEST, TAGS, WORD, Rule, judge_urls, segmented, viterbi
+from canvass.llm.urls import TAGS, WORD, Rule, judge_urls, segmented, viterbi
 
 SCHEMA = "page_id long, url string, html string, verdict string, host int"
 
@@ -37,11 +37,13 @@ def tokens(host, path, cut):
 
 
 def plain(rows, rules):
-    counts = Counter(w for _, _, html, *_ in rows for w in WORD.findall(TAGS.sub(" ", html or "").lower()) if len(w) <= LONGEST)
+    counts = Counter(w for _, _, html, *_ in rows for w in WORD.findall(TAGS.sub(" ", html or "").lower()))
     total = sum(counts.values())
 
+    lengths = sorted({len(w) for w in counts})
+
     def cut(name):
-        spans = {(i, n): counts[name[i : i + n]] for i in range(len(name)) for n in range(1, LONGEST + 1)
+        spans = {(i, n): counts[name[i : i + n]] for i in range(len(name)) for n in lengths
                  if i + n <= len(name) and name[i : i + n] in counts}
         return viterbi(name, spans, total)
 
@@ -129,3 +131,14 @@ def test_query(spark):
     got = queries.op1_url_filter(spark, sf).collect()
     same(got, plain(rows, queries.URL_RULES))
     assert {r.rule for r in got} >= {None, "org/", "example.org/es/"}
+
+
+def test_long_words_are_words(spark):
+    long = "donaudampfschifffahrtsgesellschaft"
+    rows = [(1, f"http://{long}verein.org/", f"{long} verein " * 50)]
+    counts = spark.createDataFrame([(long, 50), ("verein", 50)], "word string, n long")
+    names = spark.createDataFrame([(f"{long}verein",), ("q" * 60,), ("",)], "name string")
+    got = {r.name: r.words for r in segmented(names, counts).collect()}
+    assert got == {f"{long}verein": [long, "verein"], "q" * 60: ["q" * 60], "": []}
+    judged = judge_urls(spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA), [Rule("allow", "org", "/")]).collect()
+    assert len(judged) == 1 and judged[0].host == f"{long}verein.org"
