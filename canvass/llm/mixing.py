@@ -10,6 +10,7 @@ the last document that still fits.  Everything is a function of ids and texts, s
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,7 +23,8 @@ WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK_TOKENS = 100_000
 # Exponents tried at once (five halvings), and how often: the exponent is known to 2 ** -30 of the range.
 SECTIONS, SEARCHES = 32, 6
-STEEPEST = 32.0
+# Entropies that differ by less are equal.
+TOLERANCE = 1e-12
 # Ranges of the block order over which running totals are summed first.
 CHUNKS = 1024
 
@@ -73,17 +75,33 @@ def bisected(sizes: DataFrame, low: float, high: float, below, budget: float | N
     return high
 
 
+def bracket(sizes: DataFrame, wanted: float, budget: float | None) -> tuple[float, float]:
+    """Exponents between which the entropy falls to the wanted one.
+
+    The steeper the weights, the fewer sources count; the largest ones stay equal, so
+    their number bounds the entropy from below, and asking for less is an error.
+    """
+    largest = sizes.where("x = 0").count()
+    if wanted < math.log(largest) - TOLERANCE:
+        raise ValueError(f"{largest} sources are the largest alike: no exponent gives an entropy of {wanted}")
+    low = 0.0
+    while True:
+        tried = [max(low, 1.0) * 2.0**k for k in range(SECTIONS)]
+        for exponent, (entropy, _) in zip(tried, measures(sizes, tried, budget)):
+            if entropy <= wanted + TOLERANCE:
+                return low, exponent
+            low = exponent
+
+
 def find_exponent(sizes: DataFrame, target: Target) -> float:
-    """Exponent for sizes (columns x: log share, total): 1 if nothing is asked for."""
+    """Exponent for sizes (columns x: log of the share of the largest, total: the largest): 1 if nothing is asked for."""
     sources = sizes.count()
     if not sources:
         return 1.0
     exponent = 1.0
     if target.entropy is not None:
-        from math import log
-
-        wanted = target.entropy * log(sources)
-        exponent = bisected(sizes, 0.0, STEEPEST, lambda h, r: h <= wanted + 1e-12, target.budget)
+        wanted = target.entropy * math.log(sources)
+        exponent = bisected(sizes, *bracket(sizes, wanted, target.budget), lambda h, r: h <= wanted + TOLERANCE, target.budget)
     if target.repeats is not None:
         least = bisected(sizes, 0.0, 1.0, lambda h, r: r <= target.repeats + 1e-9, target.budget)
         exponent = max(exponent, least) if target.entropy is not None else least
@@ -93,7 +111,8 @@ def find_exponent(sizes: DataFrame, target: Target) -> float:
 def weigh(rows: DataFrame, target: Target) -> DataFrame:
     """Columns source, tokens, weight, epochs (with a fraction): one row for each source with tokens."""
     sums = stored(rows.groupBy("source").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"))
-    total = sums.agg(F.sum("tokens")).first()[0] or 0
+    total = sums.agg(F.max("tokens")).first()[0] or 0
+    # sizes as shares of the largest, so that no steep weight vanishes from all of them
     sizes = sums.select("source", "tokens", F.log(F.col("tokens") / F.lit(float(total or 1))).alias("x"), F.lit(float(total)).alias("total"))
     exponent = find_exponent(sizes, target)
     w = sizes.withColumn("w", F.exp(F.lit(exponent) * F.col("x")))

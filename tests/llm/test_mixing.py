@@ -150,3 +150,12 @@ def test_query(spark):
     assert math.isclose(sum(weights.values()), 1, abs_tol=1e-6)
     assert all(used[s] <= w * total + 1 for s, w in weights.items())
     assert all(n == 1 for n in Counter((r.doc_id, r.epoch) for r in out).values())
+
+
+def test_steep_targets(spark):
+    rows = [(i, "w", "a" if i < 100 else "b", "x", "en") for i in range(199)]
+    weights = {s: r.weight for s, r in weights_of(spark, rows, Target(entropy=0.5, budget=100)).items()}
+    assert math.isclose(entropy(weights), 0.5 * math.log(2), abs_tol=1e-5)
+    equal = [(i, "w", f"s{i % 2}", "x", "en") for i in range(20)]
+    with pytest.raises(ValueError, match="no exponent"):
+        weights_of(spark, equal, Target(entropy=0.5, budget=10))
