@@ -44,12 +44,33 @@ def both(a: DataFrame, b: DataFrame, node: str, other: str) -> Column:
     return a["tree"].eqNullSafe(b["t"]) & (a[node] == b[other])
 
 
+def without_cycles(edges: DataFrame, linked: DataFrame) -> DataFrame:
+    """`linked` (tree, node, above) without the nodes on a cycle, which become roots.
+
+    A cycle has a node whose parent is not smaller.  In trees with such nodes, those that are
+    still reached after as many steps as the tree has nodes are the nodes on cycles.
+    """
+    suspect = linked.where("above >= node").select(F.col("tree").alias("t")).distinct()
+    if suspect.isEmpty():
+        return linked
+    sizes = edges.join(suspect, edges["tree"].eqNullSafe(suspect["t"]), "left_semi").groupBy("tree").count()
+    size = sizes.agg(F.max("count")).first()[0]
+    far = stored(linked.join(suspect, linked["tree"].eqNullSafe(suspect["t"]), "left_semi"))
+    reach = 1
+    while reach < size:
+        step = far.select(F.col("tree").alias("t"), F.col("node").alias("from"), F.col("above").alias("to"))
+        far = stored(far.join(step, both(far, step, "above", "from")).select("tree", "node", F.col("to").alias("above")))
+        reach *= 2
+    cycle = far.select(F.col("tree").alias("t"), F.col("above").alias("c")).distinct()
+    return linked.join(cycle, both(linked, cycle, "node", "c"), "left_anti")
+
+
 def branches(nodes: DataFrame) -> DataFrame:
     """Columns tree, leaf, node, up: for every leaf all nodes on its path, `up` steps above it."""
     edges = stored(nodes.select("tree", "node", "parent"))
-    # parents that are there and come before their replies
     known = edges.select(F.col("tree").alias("t"), F.col("node").alias("above"))
-    jump = stored(edges.where("parent < node").join(known, both(edges, known, "parent", "above")).select("tree", "node", "above"))
+    linked = edges.join(known, both(edges, known, "parent", "above")).select("tree", "node", "above")
+    jump = stored(without_cycles(edges, stored(linked)))
     replied = jump.select(F.col("tree").alias("t"), F.col("above").alias("r")).distinct()
     paths = edges.join(replied, both(edges, replied, "node", "r"), "left_anti").select(
         "tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")
@@ -70,7 +91,7 @@ def format_trees(nodes: DataFrame, keep: int | None = None) -> DataFrame:
     Returns tree, leaf, rank, score, formatted and loss: the places of learned texts as (begin, end) in code points.
     Branches rank by score, then length, then leaf; `keep` gives the number to format in each tree, all without it.
 
-    Node ids are numbers; a parent that is missing, null or not before its reply makes the reply a root.  Of rows
+    Node ids are numbers; a parent that is missing or null makes the reply a root, and so does lying on a cycle.  Of rows
     with the same tree and node, the first by role and text counts.  Null roles, texts and scores count as empty and 0.
     A null tree is a tree.  A table without rows gives none.  Other columns are left out.
     """

@@ -18,7 +18,16 @@ def plain(rows):
     for tree, node, parent, role, text, score, _ in sorted(rows, key=lambda r: (r[3] is not None, r[3] or "", r[4] is not None, r[4] or "")):
         if node is not None:
             nodes.setdefault((tree, node), (parent, role or "", text or "", score or 0.0))
-    up = {k: p[0] for k, p in nodes.items() if p[0] is not None and p[0] < k[1] and (k[0], p[0]) in nodes}
+    up = {k: p[0] for k, p in nodes.items() if p[0] is not None and (k[0], p[0]) in nodes}
+
+    def comes_back(tree, node):
+        seen, at = set(), up.get((tree, node))
+        while at is not None and at != node and at not in seen:
+            seen.add(at)
+            at = up.get((tree, at))
+        return at == node
+
+    up = {k: p for k, p in up.items() if not comes_back(*k)}
     replied = {(tree, p) for (tree, _), p in up.items()}
     out = {}
     for tree, leaf in nodes:
@@ -121,3 +130,16 @@ def test_native(spark, name):
     df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_parents_with_larger_ids_and_cycles(spark):
+    rows = [
+        (1, 9, None, "user", "first", 0.0), (1, 5, 9, "assistant", "second", 0.0), (1, 7, 5, "user", "third", 0.0),
+        (2, 1, 2, "user", "a", 0.0), (2, 2, 3, "assistant", "b", 0.0), (2, 3, 1, "user", "c", 0.0), (2, 4, 3, "assistant", "d", 0.0),
+        (3, 1, 1, "user", "own", 0.0), (None, 2, 3, "user", "late", 0.0), (None, 3, None, "user", "early", 0.0),
+    ]
+    nodes = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+    got = sorted(
+        ((r.tree or 0, r.leaf, [t.text for t in r.turns]) for r in format_trees(nodes).select("tree", "leaf", turns_of("formatted").alias("turns")).collect())
+    )
+    assert got == [(0, 2, ["early", "late"]), (1, 7, ["first", "second", "third"]), (2, 1, ["a"]), (2, 2, ["b"]), (2, 4, ["c", "d"]), (3, 1, ["own"])]
