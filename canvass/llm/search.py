@@ -203,7 +203,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id",
     """Columns query_id, doc_id, rank, score: the k best rows of `docs` for each row of `queries`, ids being integers.
 
     A query is the set of the terms of its whole text.  Rows without a common term are no results, so a null or empty
-    query has none.  Of equal scores (rounded to nine decimals), the lower id ranks first, a null id last.
+    query has none; rows of `queries` with a null id are no queries.  Of equal scores (rounded to nine decimals), the lower id ranks first, a null id last.
     Repeated rows of `docs` are results each; repeated rows of `queries` are one query.  Empty tables give no rows.
     """
     stats = stored(statistics(docs, text))
