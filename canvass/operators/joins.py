@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.missing import as_col, quoted
+from .patterns import matches
 
 
 class DuplicateKeys(ValueError):
@@ -155,16 +156,12 @@ def regex_join(
     """Rows paired with every pattern found in the column; no match drops the row.
 
     Patterns come from a form's choice list.  A Python mapping is compiled into
-    the row expression.  A table is gathered into one array by a scalar
-    subquery, which every row is tested against.  Without patterns there are no rows.
+    the row expression.  A table of any size is joined by the literal text of its
+    patterns (`patterns.matches`).  Without patterns there are no rows.
     """
     text = quoted(column)
     if isinstance(patterns, DataFrame):
-        pair = F.struct(F.col(name).alias(name), F.col(label).alias(label))
-        listed = patterns.select(pair.alias("p")).agg(F.collect_list("p").alias("ps")).scalar()
-        tested = df.withColumn("_patterns", listed)
-        hits = F.filter("_patterns", lambda p: F.rlike(text, p[name]))
-        return tested.select("*", F.inline(hits)).drop("_patterns")
+        return matches(df, patterns, column, name, label)
     if not patterns:
         nothing = F.lit(None).cast("string")
         return df.select("*", nothing.alias(name), nothing.alias(label)).filter(F.lit(False))

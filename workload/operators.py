@@ -16,6 +16,7 @@ from canvass.functions.local import local_table
 from canvass.operators import aggregate as a
 from canvass.operators import catalog as c
 from canvass.operators import clean, joins, partials, privacy, ranges, reshape, sets, windows
+from canvass.operators.proposals import propose
 from canvass.plans import combine, trends
 from canvass.sources import editions, forms
 
@@ -1179,3 +1180,78 @@ def quantiles_open(spark, sf):
     lines = table(spark, sf, "lineitem").select(mode, "l_extendedprice")
     told = ranges.quantiles(lines, "l_extendedprice", [0.25, 0.5, 0.9], ["mode"])
     return told.select("mode", "n", *[F.round(F.col("quantiles")[i], 6).alias(c) for i, c in enumerate(["q25", "q50", "q90"])])
+
+
+@query("""
+SELECT page_id, url, name, label FROM pages JOIN (
+  SELECT 'example\\.(com|org|net)/[a-z]+/' || s_suppkey || '($|[?#])' AS name, s_name AS label FROM supplier
+  UNION ALL SELECT '^https?://m\\.|/' || s_suppkey || '\\?page=', 'mobile' FROM supplier WHERE s_suppkey % 10 = 0
+  UNION ALL VALUES ('/(de|fr)/', 'short'), ('', 'all'), (NULL, 'none')
+) ON regexp_matches(url, name)
+""")
+def regex_join_table(spark, sf):
+    """Urls against as many patterns as there are suppliers."""
+    who = table(spark, sf, "supplier")
+    number = F.col("s_suppkey").cast("string")
+    found = who.select(F.concat(F.lit(r"example\.(com|org|net)/[a-z]+/"), number, F.lit("($|[?#])")).alias("name"), F.col("s_name").alias("label"))
+    mobile = who.filter("s_suppkey % 10 = 0").select(F.concat(F.lit(r"^https?://m\.|/"), number, F.lit(r"\?page=")), F.lit("mobile"))
+    few = local_table(spark, [("/(de|fr)/", "short"), ("", "all"), (None, "none")], "name string, label string")
+    return joins.regex_join(table(spark, sf, "pages").select("page_id", "url"), found.union(mobile).union(few), "url")
+
+
+TYPED = """(SELECT p_name || ' ' || p_type AS known, p_partkey % 10 + 1 AS pos FROM part)"""
+
+
+@query(f"""
+WITH typed AS (SELECT CASE pos % 3 WHEN 0 THEN left(known, pos - 1) || substr(known, pos + 1)
+    WHEN 1 THEN left(known, pos - 1) || 'xyz' || substr(known, pos) ELSE left(known, pos - 1) || 'q' || substr(known, pos + 1) END AS typed
+  FROM {TYPED} WHERE pos > 2),
+known AS (SELECT DISTINCT known FROM {TYPED}),
+un AS (SELECT typed, count(*) AS count FROM typed WHERE typed NOT IN (SELECT known FROM known) GROUP BY 1),
+near AS (SELECT typed, known AS proposal, levenshtein(typed, known) AS distance FROM un JOIN known ON levenshtein(typed, known) <= 2)
+SELECT un.typed, count, proposal, distance, CASE WHEN proposal IS NOT NULL THEN row_number() OVER (PARTITION BY un.typed ORDER BY distance, proposal) END AS rank
+FROM un LEFT JOIN near ON un.typed = near.typed
+""")
+def name_proposals(spark, sf):
+    """Names typed with one wrong, one lost or three added letters."""
+    rows = table(spark, sf, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("known"), (F.col("p_partkey") % 10 + 1).cast("int").alias("at"))
+    way = F.col("at") % 3
+    ahead = F.substring("known", F.lit(1), F.col("at") - 1)
+    wrong = F.concat(
+        ahead, F.when(way == 0, "").when(way == 1, "xyz").otherwise("q"),
+        F.substring("known", F.col("at") + F.when(way == 1, 0).otherwise(1), F.length("known")),
+    )
+    typed = rows.filter("at > 2").select(wrong.alias("typed"))
+    known = rows.select("known").distinct()
+    return propose(joins.unmapped(typed, known, "typed", "known"), known, "typed", "known")
+
+
+@query("""
+WITH c AS (SELECT n_regionkey AS g, n_name AS r, c_mktsegment AS c, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
+  WHERE c_custkey % 3 > 0 OR c_nationkey % 2 > 0 GROUP BY ALL),
+cells AS (SELECT g, r, c, sum(n) AS n, grouping(c) = 1 AS rt, grouping(r) = 1 AS ct FROM c GROUP BY GROUPING SETS ((g, r, c), (g, r), (g, c), (g))),
+small AS (SELECT * FROM cells WHERE n < 9),
+pairs AS (
+  SELECT g, r, c, (SELECT (list(x.c ORDER BY x.n, x.c))[1] FROM c x WHERE x.g = s.g AND x.r = s.r AND x.c <> s.c) AS c2,
+    (SELECT (list(x.r ORDER BY x.n, x.r))[1] FROM c x WHERE x.g = s.g AND x.c = s.c AND x.r <> s.r) AS r2 FROM small s WHERE NOT rt AND NOT ct
+  UNION ALL
+  SELECT g, r, c, c2, (SELECT (list(x.r ORDER BY x.n, x.r))[1] FROM c x WHERE x.g = t.g AND x.c = c2 AND x.r <> t.r) FROM (
+    SELECT *, (SELECT (list(x.c ORDER BY x.n, x.c))[1] FROM c x WHERE x.g = s.g AND x.r = s.r) AS c2 FROM small s WHERE rt AND NOT ct) t
+  UNION ALL
+  SELECT g, r, c, (SELECT (list(x.c ORDER BY x.n, x.c))[1] FROM c x WHERE x.g = t.g AND x.r = r2 AND x.c <> t.c), r2 FROM (
+    SELECT *, (SELECT (list(x.r ORDER BY x.n, x.r))[1] FROM c x WHERE x.g = s.g AND x.c = s.c) AS r2 FROM small s WHERE ct AND NOT rt) t
+  UNION ALL
+  SELECT g, r, c, (SELECT (list(x.c ORDER BY x.n, x.r, x.c))[1] FROM c x WHERE x.g = s.g),
+    (SELECT (list(x.r ORDER BY x.n, x.r, x.c))[1] FROM c x WHERE x.g = s.g) FROM small s WHERE rt AND ct),
+taken AS (SELECT DISTINCT * FROM (SELECT g, r, c2 AS c FROM pairs UNION ALL SELECT g, r2, c FROM pairs UNION ALL SELECT g, r2, c2 FROM pairs))
+SELECT coalesce(k.g, t.g) AS n_regionkey, coalesce(k.r, t.r) AS n_name, coalesce(k.c, t.c) AS c_mktsegment,
+  coalesce(k.c, t.c) IS NULL AS row_total, coalesce(k.r, t.r) IS NULL AS column_total,
+  CASE WHEN k.n >= 9 AND t.g IS NULL THEN k.n::BIGINT END AS released,
+  CASE WHEN k.n < 9 THEN 'small' WHEN t.g IS NOT NULL THEN 'companion' END AS withheld
+FROM cells k FULL JOIN taken t ON k.g = t.g AND k.r IS NOT DISTINCT FROM t.r AND k.c IS NOT DISTINCT FROM t.c
+""")
+def protected_totals(spark, sf):
+    """Customers of each nation and segment, one table with totals for each region."""
+    who = customers(spark, sf).filter((F.col("c_custkey") % 3 > 0) | (F.col("c_nationkey") % 2 > 0))
+    counted = who.groupBy("n_regionkey", "n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    return privacy.protected_totals(counted, ["n_regionkey"], "n_name", "c_mktsegment", k=9)
