@@ -12,8 +12,9 @@ rows share is one row here.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.missing import quoted
@@ -21,63 +22,85 @@ from .joins import lookup
 
 # Ranges of one order.  A window inside a range holds about the distinct keys divided by it.
 RANGES = 1024
-# Borders are searched in two steps of this width.
-STEP = 32
 
 
-def _compared(one: Column, other: Column, descending: bool) -> tuple[Column, Column]:
-    """(one comes before other, both are equal); missing values come last, as everywhere in this library."""
-    smaller = one > other if descending else one < other
-    known = F.coalesce(smaller, F.lit(False))
-    return known | (one.isNotNull() & other.isNull()), one.eqNullSafe(other)
+def _comparable(columns: Sequence[str], descending: Sequence[str]) -> tuple[Column, list[bool]]:
+    """A key as a struct of structs, one for each run of columns of one direction, and whether a run is descending.
+
+    Two structs are compared by one call; missing values come last, as everywhere in this library.
+    """
+    parts, ways = [], []
+    for down, run in groupby(columns, lambda c: c in descending):
+        fields = [f for c in run for f in (quoted(c).isNotNull() if down else quoted(c).isNull(), quoted(c))]
+        parts.append(F.struct(*[f.alias(f"f{i}") for i, f in enumerate(fields)]).alias(f"r{len(ways)}"))
+        ways.append(down)
+    return F.struct(*parts), ways
 
 
-def _before(one: Column, other: Column, columns: Sequence[str], descending: Sequence[str]) -> Column:
-    """Whether one key, a struct of the columns, comes before another."""
+def _before(one: Column, other: Column, ways: Sequence[bool]) -> Column:
+    """Whether one comparable key comes before another."""
     result = F.lit(False)
-    for c in reversed(columns):
-        first, equal = _compared(one[c], other[c], c in descending)
-        result = first | (equal & result)
+    for i, down in reversed(list(enumerate(ways))):
+        a, b = one[f"r{i}"], other[f"r{i}"]
+        result = (a > b if down else a < b) | ((a == b) & result)
     return result
 
 
 def _borders(keys: DataFrame, columns: Sequence[str], descending: Sequence[str], ranges: int) -> Column:
-    """Every `ranges`-th of the sampled keys in order, in rows of STEP, as a scalar subquery."""
-    key = F.struct(*[quoted(c).alias(c) for c in columns])
+    """The sampled keys, comparable and in order, as a scalar subquery."""
     hashed = F.xxhash64(*[quoted(c) for c in columns])
-    sample = keys.groupBy(F.pmod(hashed, F.lit(ranges))).agg(F.min_by(key, hashed).alias("k"))
+    # one value for each column: numbers are then kept in a hash table, a struct would need all keys sorted
+    least = [F.min_by(quoted(c), hashed).alias(c) for c in columns]
+    sample = keys.groupBy(F.pmod(hashed, F.lit(ranges)).alias("_part")).agg(*least)
+    key, ways = _comparable(columns, descending)
 
     def order(a: Column, b: Column) -> Column:
-        return F.when(_before(a, b, columns, descending), -1).when(_before(b, a, columns, descending), 1).otherwise(0)
+        return F.when(_before(a, b, ways), -1).when(_before(b, a, ways), 1).otherwise(0)
 
-    rows = sample.agg(F.array_sort(F.collect_list("k"), order).alias("ks"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("ks"), F.lit(1)), F.lit(STEP))
-    return rows.select(F.transform(starts, lambda at: F.slice(F.col("ks"), at, STEP))).scalar()
+    return sample.agg(F.array_sort(F.collect_list(key), order)).scalar()
 
 
 def with_range(
-    keys: DataFrame, order: Sequence[str], descending: Sequence[str] = (), name: str = "_range", ranges: int = RANGES
+    keys: DataFrame,
+    order: Sequence[str],
+    descending: Sequence[str] = (),
+    name: str = "_range",
+    ranges: int = RANGES,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
-    """Number of the range that each key lies in, from 0; equal keys get the same."""
-    columns = list(order)
-    key = F.struct(*[quoted(c).alias(c) for c in columns])
-
-    def reached(border: Column) -> Column:
-        return ~_before(F.col("_key"), border, columns, descending)
+    """Number of the range that each key lies in, from 0; equal keys get the same.
 
-    marked = keys.withColumns({"_key": key, "_borders": _borders(keys, columns, descending, ranges)})
-    row = F.size(F.filter("_borders", lambda r: (F.size(r) > 0) & reached(r[0])))
-    marked = marked.withColumn("_row", row)
-    inside = F.size(F.filter(F.col("_borders")[F.greatest(F.col("_row") - 1, F.lit(0))], reached))
-    return marked.withColumn(name, F.when(F.col("_row") == 0, 0).otherwise((F.col("_row") - 1) * STEP + inside)).drop(
-        "_key", "_borders", "_row"
-    )
+    The borders come from `sampled`, if that holds the same keys and is easier to compute.
+    They are searched by halving, one plain projection a step: a lambda over the borders
+    would not be compiled.
+    """
+    columns = list(order)
+    key, ways = _comparable(columns, descending)
+    borders = _borders(keys if sampled is None else sampled, columns, descending, ranges)
+    found = keys.withColumns({"_borders": borders, "_key": key, "_reached": F.lit(0)})
+    for step in [2**i for i in reversed(range(ranges.bit_length()))]:
+        # beyond the last border there is none
+        found = found.withColumn("_border", F.get("_borders", F.col("_reached") + (step - 1)))
+        reached = F.col("_border").isNotNull() & ~_before(F.col("_key"), F.col("_border"), ways)
+        found = found.withColumn("_reached", F.col("_reached") + F.when(reached, step).otherwise(0))
+    return found.withColumn(name, F.col("_reached")).drop("_borders", "_border", "_key", "_reached")
 
 
 def _sorted(order: Sequence[str], descending: Sequence[str]) -> list[Column]:
     return [quoted(c).desc_nulls_last() if c in descending else quoted(c).asc_nulls_last() for c in order]
 
 
+def _headed(ranged: DataFrame, heads: DataFrame, by: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, WindowSpec]:
+    """Rows of the ranges, each range led by its row of `heads`, and the window of all rows before one.
+
+    What is known of a range reaches its rows by the sort that they need anyway.  A join on the
+    range would have Spark follow that column back through every step that found it.
+    """
+    rows = ranged.unionByName(heads.withColumn("_head", F.lit(True)), allowMissingColumns=True)
+    window = Window.partitionBy(*by, "_range").orderBy(F.col("_head").desc_nulls_last(), *order)
+    return rows, window.rowsBetween(Window.unboundedPreceding, -1)
+
+
 def running_sums(
     counted: DataFrame,
     order: Sequence[str],
@@ -85,16 +108,14 @@ def running_sums(
     by: Sequence[str] = (),
     descending: Sequence[str] = (),
     ranges: int = RANGES,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
     """For each column of `sums` its total over all earlier rows of the group, as `<column>_before`.
 
     The rows of a group must differ in their order keys.  Groups are cut like
-    everything else, so one group may hold most rows.
+    everything else, so one group may hold most rows.  `sampled` is that of `with_range`.
     """
-    ranged = with_range(counted, [*by, *order], descending, ranges=ranges)
-    inner = Window.partitionBy(*by, "_range").orderBy(*_sorted(order, descending)).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    ranged = with_range(counted, [*by, *order], descending, ranges=ranges, sampled=sampled)
     # a group has at most `ranges` rows of these
     parts = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
     earlier = Window.partitionBy(*[quoted(b) for b in by] or [F.lit(0)]).orderBy("_range").rowsBetween(
@@ -103,10 +124,11 @@ def running_sums(
     carried = parts.select(
         *by, "_range", *[F.coalesce(F.sum(f"_{s}").over(earlier), F.lit(0)).alias(f"_{s}_carried") for s in sums]
     )
-    local = ranged.withColumns({f"_{s}_local": F.coalesce(F.sum(s).over(inner), F.lit(0)) for s in sums})
-    out = lookup(local, carried, [*by, "_range"], null_safe=True)
-    out = out.withColumns({f"{s}_before": F.col(f"_{s}_carried") + F.col(f"_{s}_local") for s in sums})
-    return out.drop("_range", *[f"_{s}_local" for s in sums], *[f"_{s}_carried" for s in sums])
+    rows, before = _headed(ranged, carried, by, _sorted(order, descending))
+    out = rows.withColumns(
+        {f"{s}_before": F.coalesce(F.first(f"_{s}_carried", True).over(before), F.lit(0)) + F.coalesce(F.sum(s).over(before), F.lit(0)) for s in sums}
+    )
+    return out.filter("_head IS NULL").drop("_range", "_head", *[f"_{s}_carried" for s in sums])
 
 
 def row_numbers(
@@ -124,7 +146,7 @@ def row_numbers(
     """
     rest = [c for c in df.columns if c not in order and c not in by]
     rows = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_rows"))
-    placed = running_sums(rows, [*order, *rest], ["_rows"], by, descending, ranges)
+    placed = running_sums(rows, [*order, *rest], ["_rows"], by, descending, ranges, sampled=df)
     number = F.explode(F.sequence(F.col("_rows_before") + 1, F.col("_rows_before") + F.col("_rows")))
     return placed.select(*[quoted(c) for c in df.columns], number.alias(name))
 
@@ -145,7 +167,7 @@ def ranks(
     """
     keys = [*by, *order]
     counted = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"), F.lit(1).cast("long").alias("_keys"))
-    placed = running_sums(counted, order, ["_rows", "_keys"], by, descending, ranges)
+    placed = running_sums(counted, order, ["_rows", "_keys"], by, descending, ranges, sampled=df)
     told = placed.select(*keys, (F.col("_rows_before") + 1).alias(rank), (F.col("_keys_before") + 1).alias(dense_rank))
     return lookup(df, told, keys, null_safe=True)
 
@@ -164,7 +186,7 @@ def quantiles(
     ids = [quoted(b).alias(b) for b in by]
     known = df.select(*ids, quoted(value).cast("double").alias("_value")).filter("_value IS NOT NULL")
     counted = known.groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_rows"))
-    ranged = with_range(counted, [*by, "_value"], ranges=ranges)
+    ranged = with_range(counted, [*by, "_value"], ranges=ranges, sampled=known)
     # a group has at most `ranges` rows of these
     parts = ranged.groupBy(*by, "_range").agg(F.sum("_rows").alias("_part"))
     group = [quoted(b) for b in by] or [F.lit(0)]
@@ -177,11 +199,12 @@ def quantiles(
     held = placed.withColumn("_places", F.array_distinct(places)).withColumn(
         "_places", F.filter("_places", lambda p: (p >= F.col("_start")) & (p < F.col("_start") + F.col("_part")))
     ).filter(F.size("_places") > 0)
-    chosen = lookup(ranged, held, [*by, "_range"], null_safe=True, how="inner")
-    inside = Window.partitionBy(*by, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("_start") + F.coalesce(F.sum("_rows").over(inside), F.lit(0))
+    rows, before = _headed(ranged, held.select(*by, "_range", "_start", "_n", "_places"), by, _sorted(["_value"], ()))
+    chosen = rows.withColumns({c: F.first(c, True).over(before) for c in ("_start", "_n", "_places")} | {"_earlier": F.sum("_rows").over(before)})
+    first = F.col("_start") + F.coalesce("_earlier", F.lit(0))
     at = F.filter("_places", lambda p: (p >= F.col("_first")) & (p < F.col("_first") + F.col("_rows")))
-    found = chosen.withColumn("_first", first).select(*by, "_n", "_value", F.explode(at).alias("_place"))
+    chosen = chosen.filter("_head IS NULL AND _places IS NOT NULL").withColumn("_first", first)
+    found = chosen.select(*by, "_n", "_value", F.explode(at).alias("_place"))
     values = found.groupBy(*by, "_n").agg(F.map_from_entries(F.collect_list(F.struct("_place", "_value"))).alias("_at"))
     told = F.array(*[_between(q) for q in wanted])
     out = values.select(*by, told.alias("quantiles"), F.col("_n").alias("n"))

@@ -77,6 +77,35 @@ def test_no_window_runs_over_everything(spark):
             assert inside or re.search(r"sum\((_part|__rows|__keys)#", window)
 
 
+def test_ranges_are_searched_by_compiled_code_without_a_join_on_them(spark):
+    df = spark.range(0, 20000, 1, 8).select((F.col("id") % 977).alias("v"), "id")
+    for out in (r.row_numbers(df, ["v"], descending=["v"]), r.quantiles(df, "v", [0.5], ["id"])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        # a lambda runs uncompiled for every row; array_sort is left, over the borders alone
+        searched = [line for line in plan.splitlines() if "_borders" in line and "lambda" in line and "array_sort" not in line]
+        joined = [line for line in plan.splitlines() if "Join" in line and "_range#" in line]
+        assert searched == [] and joined == []
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 3, 8, 33])
+def test_range_is_the_number_of_borders_reached(spark, ranges):
+    random.seed(ranges)
+    rows = [(random.choice(["a", "b", None]), random.choice([None, *range(30)]), random.choice(["x", "y", None])) for _ in range(300)]
+    got = r.with_range(frame(spark, rows).repartition(4), ["v", "g", "w"], ["g"], ranges=ranges).collect()
+
+    def key(x):
+        return (x["v"] is None, x["v"] or 0), (x["g"] is None, -ord(x["g"]) if x["g"] else 0), (x["w"] is None, x["w"] or "")
+
+    keys = {}
+    for x in sorted(got, key=key):
+        keys.setdefault(key(x), set()).add(x["_range"])
+    numbers = [n for ns in keys.values() for n in ns]
+    assert len(got) == 300 and all(len(ns) == 1 for ns in keys.values())
+    assert numbers == sorted(numbers) and 1 <= max(numbers) <= ranges
+    # every border is a key, and the first to reach it
+    assert set(numbers) | {0} == set(range(max(numbers) + 1))
+
+
 def test_quantiles(spark):
     rows = [("a", i * i % 1013, "x") for i in range(3000)] + [("b", 5, "x")] * 7 + [("c", None, "x")] + [(None, 1, "x"), (None, 2, "x")]
     got = {x["g"]: (x["quantiles"], x["n"]) for x in r.quantiles(frame(spark, rows), "v", [0.0, 0.25, 0.5, 1.0], ["g"], ranges=32).collect()}
