@@ -17,6 +17,8 @@ from ..functions.missing import quoted
 
 # Length of the runs that are indexed.
 RUN = 3
+# Parts that patterns are read in, and that the texts holding one run are spread over.
+PARTS = 16
 # Stands for whatever is not literal; no pattern that holds it is indexed.
 GAP = "\u0001"
 # Nested groups that are looked into; a pattern with deeper ones counts as not literal.
@@ -58,7 +60,10 @@ def alternative_runs(pattern: Column) -> Column:
 
 
 def _candidates(rows: DataFrame, text: Column, patterns: DataFrame) -> DataFrame:
-    """(_hash, _pattern): texts, told by their hash, that hold the rarest run of an alternative."""
+    """(_hash, _pattern): texts, told by their hash, that hold the rarest run of an alternative.
+
+    A run that many texts hold and many patterns ask for is looked up in PARTS parts of the texts, by a task each.
+    """
     wanted = patterns.select("_pattern", F.posexplode("_runs").alias("_at", "_alternative"))
     wanted = wanted.select("_pattern", "_at", F.explode("_alternative").alias("_run"))
     held = rows.filter(text.isNotNull()).select(F.xxhash64(text).alias("_hash"), F.explode(runs(text)).alias("_run"))
@@ -67,7 +72,10 @@ def _candidates(rows: DataFrame, text: Column, patterns: DataFrame) -> DataFrame
     # a run that no text holds cannot be in a match: it counts 0 and is the rarest
     rarity = wanted.join(often, "_run", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     chosen = rarity.groupBy("_pattern", "_at").agg(F.min_by("_run", F.struct("count", "_run")).alias("_run"))
-    return held.join(chosen.select("_pattern", "_run").distinct(), "_run").select("_hash", "_pattern").distinct()
+    parts = F.sequence(F.lit(0), F.lit(PARTS - 1))
+    asking = chosen.select("_pattern", "_run").distinct().withColumn("_part", F.explode(parts))
+    spread = held.withColumn("_part", F.pmod("_hash", F.lit(PARTS)).cast("int"))
+    return spread.join(asking, ["_run", "_part"]).select("_hash", "_pattern").distinct()
 
 
 def candidates(df: DataFrame, patterns: DataFrame, column: str, name: str = "name") -> DataFrame:
@@ -88,7 +96,7 @@ def matches(
     """
     text = quoted(column)
     given = patterns.select(quoted(name).alias("_pattern"), quoted(label).alias("_label")).filter("_pattern is not null")
-    given = given.withColumn("_runs", alternative_runs(F.col("_pattern")))
+    given = given.repartition(PARTS, "_pattern").withColumn("_runs", alternative_runs(F.col("_pattern")))
 
     indexed = given.filter("_runs is not null")
     pairs = _candidates(df, text, indexed.select("_pattern", "_runs").distinct())

@@ -61,6 +61,15 @@ def test_many_patterns_give_few_candidates(spark):
         assert {v for j, v in got if j == i} == {w for w, t in zip(word, tests) if t.search(c)}
 
 
+def test_run_of_all_patterns_and_texts_is_spread(spark):
+    df = local_table(spark, [(i, f"needle {i}") for i in range(400)], "id int, c string")
+    table = local_table(spark, [(f"^needle [0-9]+$|zzzz{i}", str(i)) for i in range(50)], "name string, label string")
+    found = joins.regex_join(df, table, "c")
+    assert found.count() == found.distinct().count() == 400 * 50
+    plan = patterns.candidates(df, table, "c")._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner" in line and "_run#" in line and "_part#" in line for line in plan.splitlines())
+
+
 def test_long_and_repeated_texts_and_no_rows(spark):
     long = "ab" * 200_000 + "needle"
     df = local_table(spark, [(1, long), (1, long), (2, "needle")], "id int, name string")
