@@ -2,13 +2,14 @@
 
 import hashlib
 import struct
+from collections import Counter
 
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from canvass.llm import queries
-from canvass.llm.pieces import SHORT, Encoder, piece_columns, unpacked
+from canvass.llm.pieces import SHORT, TOGETHER, Encoder, piece_columns, taken, unpacked
 
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
 ENCODER = Encoder(LIBRARY)
@@ -30,6 +31,25 @@ def test_long_chunks():
         assert unpacked(ENCODER.encode([text])[0]) == LIBRARY.encode(text)
 
 
+def test_parts_together():
+    """Parts of one length are merged as rows of a matrix; letters that are no piece become bytes."""
+    words = sorted({w for d in ("thereof another ▁the 12,345.67 été 漢字かな 𝒳𝒴𝒵a ", "ab" * 30) for a in range(len(d)) for n in (1, 2, 5, 9, 48, 60) if (w := d[a : a + n])})
+    parts = words + [f"{w}{c}" for w in words for c in "aé漢𝒳0"]
+    vocabulary = ENCODER.vocabulary
+    assert max(Counter(map(len, set(parts))).values()) >= TOGETHER
+    assert vocabulary.encode_parts([*set(parts)]) == {p: vocabulary.encode_part(p) for p in parts}
+
+
+def test_words_are_kept_once():
+    """A word of letters alone is not also kept as a part, and both tables count what they hold."""
+    encoder = Encoder(LIBRARY)
+    encoder.encode(["plain words and x86 of 12 letters"] * 3)
+    assert set(encoder.known.young) == {"plain", "words", "and", "x86", "of", "12", "letters"}
+    assert not any("plain" in part for part in encoder.parts.young)
+    for table in (encoder.known, encoder.parts):
+        assert table.taken == sum(taken(k, v) for k, v in table.young.items())
+
+
 def test_rows(spark):
     long = "many words, one after the other. " * 6000
     rows = [(1, None, "x", 1), (2, "", None, 2), (3, long, "x", None), (3, long, "x", None), (None, " a  b ", "x", 4)]
