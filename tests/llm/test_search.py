@@ -82,6 +82,26 @@ def test_pruning_is_exact():
         assert docs.tolist() == want.tolist() and np.allclose(scores, full[want])
 
 
+def test_documents_that_cannot_reach_are_passed_over():
+    """Postings of frequent terms are not read once rare ones decide; those of terms that no query has are not kept."""
+    draw = np.random.default_rng(5)
+    frequent = np.arange(100, 140)
+    terms = [np.unique(np.r_[draw.choice(frequent, 30, False), 1000 + i // 20]).astype(np.int64) for i in range(4000)]
+    times, words = [np.ones(len(t), np.uint32) for t in terms], np.array([float(len(t)) for t in terms])
+    query, weights = np.r_[frequent, 1007], np.r_[np.full(40, 0.3), 20.0]
+    index = Index(terms, times, words, words.mean(), query)
+    docs, scores = index.top(query, weights, 10)
+    assert set(docs) <= set(range(140, 160)) and len(docs) == 10
+    assert index.touched < 0.1 * len(index.doc) and len(index.doc) == sum(np.isin(t, query).sum() for t in terms)
+    whole = [round(sum(w * index.most.max() for q, w in zip(query, weights) if q in terms[d]), 6) for d in range(140, 160)]
+    assert np.isclose(scores[0], max(whole), rtol=0.05)
+
+
+def test_no_fiftieth_term_in_a_shard():
+    index = Index([np.array([5], np.int64)], [np.ones(1, np.uint32)], np.ones(1), 1.0, np.array([3, 9], np.int64))
+    assert index.top(np.array([3]), np.array([1.0]), 10)[0].tolist() == []
+
+
 def test_empty(spark):
     df, none = spark.createDataFrame(corpus(5), SCHEMA), spark.createDataFrame([], SCHEMA)
     assert search(none, none, 10).count() == 0 and search(df, none, 10).count() == 0 and search(none, df, 10).count() == 0
