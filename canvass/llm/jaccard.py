@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField
 
-from canvass.llm.arrow import add_columns, by_row, small, stored
+from canvass.llm.arrow import add_columns, by_row, give_back, release, small, stored
 from canvass.llm.graph import components
 
 # Factors of the orders: shingles are sorted by their hash times the factor, in the first order after their frequency.
@@ -105,6 +105,7 @@ def classes_of(df: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
     """Columns id, digest (of the text), n (shingles), key (of the class), ref (part of the key)."""
 
     def make() -> Callable[[str | None], tuple]:
+        release()
         shingler = Shingler(size)
 
         def row(value: str | None) -> tuple:
@@ -123,6 +124,7 @@ def shingle_rows(df: DataFrame, text: str, size: int) -> DataFrame:
     """Columns key, n, shingles (packed, sorted) of each text that has any."""
 
     def make() -> Callable[[str | None], tuple]:
+        release()
         shingler = Shingler(size)
 
         def row(value: str | None) -> tuple:
@@ -205,6 +207,8 @@ def count_shared(table: pa.Table) -> pa.Table:
     told = shared[of_row].astype(np.uint32)
     ends = np.cumsum([len(x.as_buffer()) // 8 for x in table["refs"]]).tolist()
     answers = [told[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+    del pairs, tokens, again, common, of
+    give_back()
     return table.select(["pack", "refs", "done", "shared", "whole"]).append_column("told", pa.array(answers, pa.binary()))
 
 
@@ -234,6 +238,7 @@ def supported(df: DataFrame, text: str, size: int, limit: Threshold, parts: int)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         shingler = Shingler(size)
         held: dict[int, np.ndarray] = {}
         total = 0
@@ -258,6 +263,7 @@ def supported(df: DataFrame, text: str, size: int, limit: Threshold, parts: int)
                     yield from flush()
                     total = 0
         yield from flush()
+        give_back()
 
     packed = df.select(F.col(text).alias("text")).mapInArrow(run, PACKED)
     counted = packed.groupBy("part").applyInArrow(count_shared, COUNTED)
@@ -287,6 +293,9 @@ def gathered(sets: DataFrame) -> DataFrame:
                     keys, found, total = [], [], 0
         if keys:
             yield flush()
+            keys.clear()
+            found.clear()
+        give_back()
 
     return sets.select("key", "shingles").mapInArrow(run, "pack long, keys binary, sizes binary, shingles binary")
 
@@ -308,6 +317,7 @@ def scattered(packs: DataFrame) -> DataFrame:
                     "key": pa.array(keys, pa.binary()), "n": pa.array(sizes, pa.int32()),
                     "shingles": pa.array([part.tobytes() for part in np.split(flat, np.cumsum(sizes)[:-1])], pa.binary()),
                 })
+        give_back()
 
     return packs.mapInArrow(run, "key binary, n int, shingles binary")
 
@@ -333,6 +343,7 @@ def levels_of(packs: DataFrame, parts: int) -> DataFrame:
                     "shingles": pa.array([tokens[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
                     "counts": pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
                 })
+        give_back()
 
     def count(table: pa.Table) -> pa.Table:
         found = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["shingles"]]

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from canvass.llm.arrow import add_columns, by_row
+from canvass.llm.arrow import add_columns, by_row, release
 
 DIGITS62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -143,6 +143,7 @@ def secret_spans(df: DataFrame, text: str = "text", into: str = "secrets") -> Da
     """
 
     def make() -> Callable[[str | None], tuple]:
+        release()
         scanner = Scanner()
         return lambda value: ([dict(zip(("kind", "start", "end"), s)) for s in scanner.spans(value or "")],)
 
@@ -158,6 +159,7 @@ def redact_secrets(df: DataFrame, text: str = "text", size: str = "n_chars") ->
     counted = size in kinds
 
     def make() -> Callable[..., tuple]:
+        release()
         scanner = Scanner()
 
         def row(value: str | None, before: int | None = None) -> tuple:
