@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from canvass.llm import search as s
@@ -105,3 +106,45 @@ def test_no_fiftieth_term_in_a_shard():
 def test_empty(spark):
     df, none = spark.createDataFrame(corpus(5), SCHEMA), spark.createDataFrame([], SCHEMA)
     assert search(none, none, 10).count() == 0 and search(df, none, 10).count() == 0 and search(none, df, 10).count() == 0
+
+
+def test_neither_shards_nor_queries_are_copied_for_the_pairs(spark, monkeypatch):
+    """What the pairs of shards and queries send does not grow with the number of shards; the plan shuffles no copies."""
+    monkeypatch.setattr(s, "SHARD_BYTES", 400)
+    monkeypatch.setattr(s, "GROUPS", 2)
+    kept = []
+    merge = s.best_of_groups
+    monkeypatch.setattr(s, "best_of_groups", lambda shards, *rest: kept.append((shards.count(), merge(shards, *rest))) or kept[0][1])
+    rows = corpus(600)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = search(df, df.where("doc_id % 50 = 0"), 3)
+    same(found.collect(), plain(rows, [r for r in rows if r[0] % 50 == 0], 3))
+    (shards, sent), = kept
+    assert shards > 100 and sent.count() <= 2 * 12 * 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CoGroup" not in plan
+
+
+def test_equal_scores_in_later_shards():
+    """The floor of shards read before keeps documents with the same score, of which the lower id counts, null ids last."""
+    query = {"query_id": 7, "query_digest": 1, "q_terms": np.array([3, 5], np.int64).tobytes(), "q_weights": np.array([1.0, 2.0]).tobytes()}
+    block = s.Block(pa.array([query]), 3, 2.0)
+    for ids, texts in ([[9, 12, None], [[3, 5], [3, 8], [3, 5]]], [[4, 11], [[3, 5], [4, 8]]], [[], [[3, 5]]], [[1], [[8, 9]]], [[2], [[3, 5]]]):
+        terms, sizes, places, times = s.inverted([np.array(t, np.int64) for t in texts], [np.ones(2, np.uint32) for _ in texts])
+        arrays = {
+            "words": np.full(len(texts), 2, np.int64), "ids": np.array([i for i in ids if i is not None], np.int64), "terms": terms,
+            "sizes": sizes.astype(np.uint32), "places": places.astype(np.uint16), "times": times,
+        }
+        block.meet({name: pa.scalar(a.tobytes()) for name, a in arrays.items()})
+    found = block.found()
+    assert found["doc_id"].to_pylist() == [2, 4, 9] and len(set(found["score"].to_pylist())) == 1
+
+
+def test_shards_that_cannot_reach_the_floor_are_not_read():
+    terms = [np.array([1, 2], np.int64), np.array([2], np.int64)]
+    index = Index(terms, [np.ones(len(t), np.uint32) for t in terms], np.array([2.0, 1.0]), 1.5)
+    docs, scores = index.top(np.array([1, 2]), np.array([1.0, 1.0]), 1)
+    assert docs.tolist() == [0] and index.touched
+    index.touched = 0
+    assert len(index.top(np.array([1, 2]), np.array([1.0, 1.0]), 1, scores[0] + 1)[0]) == 0 and index.touched == 0
+    assert index.top(np.array([1, 2]), np.array([1.0, 1.0]), 2, scores[0])[0].tolist() == [0]
