@@ -148,3 +148,16 @@ def test_shards_that_cannot_reach_the_floor_are_not_read():
     index.touched = 0
     assert len(index.top(np.array([1, 2]), np.array([1.0, 1.0]), 1, scores[0] + 1)[0]) == 0 and index.touched == 0
     assert index.top(np.array([1, 2]), np.array([1.0, 1.0]), 2, scores[0])[0].tolist() == [0]
+
+
+def test_a_worker_gets_few_pairs_at_once(spark):
+    """Batches of pairs have bounded bytes, unless the session names a number of its own."""
+    was = spark.conf.get(s.BATCH)
+    try:
+        for named, after in ((s.SPARK_BYTES, s.BATCH_BYTES), ("3m", "3m")):
+            spark.conf.set(s.BATCH, named)
+            df = spark.createDataFrame(corpus(100), SCHEMA).repartition(3)
+            search(df, df.where("doc_id % 50 = 0"), 3).collect()
+            assert spark.conf.get(s.BATCH) == after
+    finally:
+        spark.conf.set(s.BATCH, was)
