@@ -135,7 +135,7 @@ def test_equal_scores_in_later_shards():
             "words": np.full(len(texts), 2, np.int64), "ids": np.array([i for i in ids if i is not None], np.int64), "terms": terms,
             "sizes": sizes.astype(np.uint32), "places": places.astype(np.uint16), "times": times,
         }
-        block.meet({name: pa.scalar(a.tobytes()) for name, a in arrays.items()})
+        block.meet({name: a.tobytes() for name, a in arrays.items()})
     found = block.found()
     assert found["doc_id"].to_pylist() == [2, 4, 9] and len(set(found["score"].to_pylist())) == 1
 
