@@ -161,3 +161,34 @@ def test_a_worker_gets_few_pairs_at_once(spark):
             assert spark.conf.get(s.BATCH) == after
     finally:
         spark.conf.set(s.BATCH, was)
+
+
+@pytest.mark.parametrize("rare", [False, True])
+def test_dense_terms_are_bounded_in_single_precision_and_scored_in_double(rare):
+    """Lengths that differ by a ten-millionth give scores that single precision does not tell apart; ranks and scores are exact."""
+    draw = np.random.default_rng(8)
+    dense = np.arange(100, 150)
+    terms = [np.sort(draw.choice(dense, 40, False)) if rare else dense for _ in range(3000)]
+    for i in range(0, 3000, 30) if rare else ():
+        terms[i] = np.r_[terms[i], 1007]
+    times = [draw.integers(1, 4, len(t)).astype(np.uint32) if rare else np.ones(len(t), np.uint32) for t in terms]
+    words = 1e7 + draw.permutation(3000)
+    index = Index(terms, times, words, words.mean())
+    assert index.dense.dtype == np.float32 and index.dense.shape == (3000, 50)
+    query, weights = np.r_[dense, 1007], np.r_[draw.random(50) / 50, 9.0]
+    by = dict(zip(query.tolist(), weights.tolist()))
+    norm = s.K1 * (1 - s.B + s.B * words / words.mean())
+    full = np.round([sum(by[t] * n * (s.K1 + 1) / (n + b) for t, n in zip(ts.tolist(), ns.tolist())) for ts, ns, b in zip(terms, times, norm)], 9)
+    want = np.lexsort((np.arange(3000), -full))[:10]
+    assert rare or len(set(full[want].astype(np.float32))) < len(set(full[want])) == 10
+    for floor in (0.0, full[want[-1]]):
+        docs, scores = index.top(query, weights, 10, floor)
+        assert docs.tolist() == want.tolist() and np.allclose(scores, full[want], rtol=0, atol=2e-9)
+
+
+def test_terms_are_found_in_any_bytes():
+    import re
+
+    text = "".join(map(chr, range(0x250))) + "aB9é😀\x85\xa0 x\x1fy\x00z"
+    assert terms_of(text) == re.findall(rb"[0-9a-z\x80-\xff]+", text.encode().lower()) and terms_of(None) == []
+    assert s.term_hashes(terms_of(text)).tolist() == [term_hash(t) for t in terms_of(text)]
