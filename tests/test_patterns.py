@@ -70,6 +70,29 @@ def test_run_of_all_patterns_and_texts_is_spread(spark):
     assert any("Join Inner" in line and "_run#" in line and "_part#" in line for line in plan.splitlines())
 
 
+def test_candidates_hold_a_whole_piece_and_grow_with_the_rows(spark):
+    """Numbers share their runs of three digits; a text meets the patterns of its own number, not all of those of a run."""
+    df = local_table(spark, [(i, f"http://x/en/{i}/") for i in range(10_000, 12_000)], "id int, c string")
+    table = local_table(spark, [(f"x/[a-z]+/{i}($|/)", str(i)) for i in range(10_000, 12_000)], "name string, label string")
+    assert patterns.candidates(df, table, "c").count() == 2_000
+    assert {(r["id"], r["label"]) for r in joins.regex_join(df, table, "c").collect()} == {(i, str(i)) for i in range(10_000, 12_000)}
+
+
+def test_parts_pair_each_text_and_pattern_once(spark, monkeypatch):
+    monkeypatch.setattr(patterns, "TEXTS", 3)
+    monkeypatch.setattr(patterns, "PATTERNS", 2)
+    words = ["needle", "haystack", "a literal that is longer than a key", "😀😀😀ä"]
+    rows = [(i, " ".join(w for k, w in enumerate(words) if i >> k & 1)) for i in range(16)] + [(16, "needle"), (16, "needle")]
+    df = local_table(spark, rows, "id int, c string")
+    given = [("|".join(w for k, w in enumerate(words) if i >> k & 1), str(i)) for i in range(1, 16)] + [("needle|xneedle", "a"), ("needle|xneedle", None)]
+    table = local_table(spark, given, "name string, label string")
+    want = sorted((i, p, str(v)) for i, c in rows for p, v in given if re.search(p, c))
+    got = joins.regex_join(df, table, "c")
+    assert sorted((r["id"], r["name"], str(r["label"])) for r in got.collect()) == want
+    pairs = patterns.candidates(df, table, "c")
+    assert pairs.count() == len({(c, p) for i, c in rows for p, _ in given if re.search(p, c)})
+
+
 def test_long_and_repeated_texts_and_no_rows(spark):
     long = "ab" * 200_000 + "needle"
     df = local_table(spark, [(1, long), (1, long), (2, "needle")], "id int, name string")
